@@ -1,0 +1,48 @@
+"""Every query against its SQL, on the same tables: columns, types and rows."""
+
+from collections import Counter
+from datetime import date, datetime
+from decimal import Decimal
+
+import duckdb
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+FOLDERS = ("/root/testdata/sf0.001", "/root/testdata/sf0.01")
+SQL = oracle_sql()
+
+# How a Spark type shows in the SQL result.
+SAME_TYPE = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "decimal(18,2)": "DECIMAL(18,2)",
+}
+
+
+def test_every_query_has_sql():
+    assert set(queries()) == set(SQL)
+
+
+@pytest.fixture(scope="module", params=FOLDERS, ids=lambda f: f.rsplit("/", 1)[1])
+def data(request):
+    con = duckdb.connect()
+    for name in ("customer", "nation", "events", "part"):
+        con.execute(f"create view {name} as select * from '{request.param}/{name}.parquet'")
+    return request.param, con
+
+
+@pytest.mark.parametrize("name", list(SQL))
+def test_query_equals_sql(spark, data, name):
+    folder, con = data
+    got = queries()[name](spark, folder)
+    want = con.sql(SQL[name])
+    types = dict(zip(want.columns, map(str, want.types)))
+    assert {c: SAME_TYPE[t] for c, t in got.dtypes} == types
+    columns = sorted(got.columns)
+    got_rows = Counter(tuple(r) for r in got.select(*columns).collect())
+    want_rows = Counter(want.select(*(duckdb.ColumnExpression(c) for c in columns)).fetchall())
+    assert got_rows == want_rows
+
+
+def test_entry_has_rows(spark):
+    assert entry(spark).count() > 0
