@@ -1,13 +1,14 @@
 """The six raw extracts, derived from the whole ``customer``, ``nation`` and ``events`` tables.
 
 An account is a block of 75 customers, a membership is a customer, and every event is a shift or a
-rest. ``FIXTURES.md`` gives the rules; ``testbed.oracles`` states the same mapping as SQL.
+rest. ``FIXTURES.md`` gives the rules.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 
 SHIFT_TYPES = ("purchase", "click", "view")
 REST_TYPES = ("signup", "error")
@@ -17,27 +18,12 @@ def _read(spark: SparkSession, folder: str, name: str, ddl: str) -> DataFrame:
     return spark.read.schema(ddl).parquet(f"{folder}/{name}.parquet")
 
 
-def _pick(value: Column, *texts: str | None) -> Column:
-    """texts[value], NULL where the text is None or the value is beyond the list."""
-    picked = F.lit(None).cast("string")
-    for number, text in enumerate(texts):
-        if text is not None:
-            picked = F.when(value == number, text).otherwise(picked)
-    return picked
-
-
-def _text(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast("string")
-
-
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("c_custkey")
-    j = k % 75
-    place = F.when(j < 50, 0).when(j < 65, 1).when(j < 72, 2)
-    return _read(spark, folder, "customer", "c_custkey bigint").select(
-        k.alias("k"),
-        F.floor(k / 75).alias("acc"),
-        place.cast("bigint").alias("n"),
+    """Customers with their account and, by position in its block, their home site 0, 1, 2 or none."""
+    return _read(spark, folder, "customer", "c_custkey bigint").selectExpr(
+        "c_custkey as k",
+        "c_custkey div 75 as acc",
+        "case when c_custkey % 75 < 50 then 0 when c_custkey % 75 < 65 then 1 when c_custkey % 75 < 72 then 2 end as n",
     )
 
 
@@ -50,140 +36,145 @@ def _nations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def accounts(spark: SparkSession, folder: str) -> DataFrame:
-    acc = F.col("acc")
-    day = F.lpad(_text(acc % 28 + 1), 2, "0")
     return (
         _accounts(spark, folder)
-        .join(_nations(spark, folder), F.col("n_nationkey") == acc % 25)
-        .select(
-            _text(acc).alias("id"),
-            F.concat(F.lit("Account "), _text(acc)).alias("name"),
-            F.concat(F.lit("2020-01-"), day, F.lit(" 08:00:00")).alias("created_at"),
-            _pick(acc % 3, "Europe/Madrid", "Europe/Paris", "UTC").alias("time_zone"),
-            F.col("n_name").alias("country"),
+        .selectExpr("*", "acc % 25 as n_nationkey")
+        .join(_nations(spark, folder), "n_nationkey")
+        .selectExpr(
+            "string(acc) as id",
+            "concat('Account ', acc) as name",
+            "concat('2020-01-', lpad(string(acc % 28 + 1), 2, '0'), ' 08:00:00') as created_at",
+            "element_at(array('Europe/Madrid', 'Europe/Paris', 'UTC'), int(acc % 3) + 1) as time_zone",
+            "n_name as country",
         )
     )
 
 
 def locations(spark: SparkSession, folder: str) -> DataFrame:
-    acc, n = F.col("acc"), F.col("n")
-    archived = (
-        F.when(n <= 2, _pick((acc + n) % 3, "No", "FALSE", " 0 "))
-        .when(n == 3, _pick(acc % 3, "Yes", "true", "1"))
-        .otherwise(_pick(acc % 2, "unknown"))
-    )
     return (
         _accounts(spark, folder)
-        .select("acc", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("n"))
-        .join(_nations(spark, folder), F.col("n_nationkey") == n)
-        .select(
-            _text(acc * 10 + n).alias("id"),
-            F.concat(F.lit("Site "), _text(acc * 10 + n)).alias("name"),
-            _text(acc).alias("account_id"),
-            archived.alias("archived"),
-            F.concat(F.lit("City "), _text(acc)).alias("city"),
-            F.lpad(_text(acc), 5, "0").alias("zipcode"),
-            F.col("n_name").alias("country"),
+        .selectExpr("acc", "explode(array(0, 1, 2, 3, 4)) as n_nationkey")
+        .join(_nations(spark, folder), "n_nationkey")
+        .selectExpr("*", "acc * 10 + n_nationkey as site")
+        .selectExpr(
+            "string(site) as id",
+            "concat('Site ', site) as name",
+            "string(acc) as account_id",
+            """case n_nationkey
+                 when 3 then element_at(array('Yes', 'true', '1'), int(acc % 3) + 1)
+                 when 4 then if(acc % 2 = 0, 'unknown', null)
+                 else element_at(array('No', 'FALSE', ' 0 '), int((acc + n_nationkey) % 3) + 1)
+               end as archived""",
+            "concat('City ', acc) as city",
+            "lpad(string(acc), 5, '0') as zipcode",
+            "n_name as country",
         )
     )
 
 
 def memberships(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("k")
-    return _customers(spark, folder).select(
-        _text(k).alias("id"),
-        _text(k + 100000).alias("user_id"),
-        _text("acc").alias("account_id"),
-        _pick(k % 4, "true", "NO", " 1 ", "n/a").alias("active"),
-        _pick(k % 3, " Employee ", "MANAGER", "admin").alias("role"),
-        F.concat(F.lit("First"), _text(k)).alias("firstname"),
-        F.concat(F.lit("Last"), _text(k)).alias("lastname"),
+    return _customers(spark, folder).selectExpr(
+        "string(k) as id",
+        "string(k + 100000) as user_id",
+        "string(acc) as account_id",
+        "element_at(array('true', 'NO', ' 1 ', 'n/a'), int(k % 4) + 1) as active",
+        "element_at(array(' Employee ', 'MANAGER', 'admin'), int(k % 3) + 1) as role",
+        "concat('First', k) as firstname",
+        "concat('Last', k) as lastname",
     )
 
 
 def user_contracts(spark: SparkSession, folder: str) -> DataFrame:
-    k, acc, n = F.col("k"), F.col("acc"), F.col("n")
-    home = acc * 10 + n
-
-    def contract(suffix: int, when: Column, mem: Column = k, loc: Column = home, own: Column = acc):
-        made = F.struct(
-            (k * 10 + suffix).alias("id"),
-            mem.cast("bigint").alias("mem"),
-            loc.cast("bigint").alias("loc"),
-            own.cast("bigint").alias("own"),
-        )
-        return F.when(when, made)
-
-    other_site = acc * 10 + F.when(k % 10 == 1, 3).when(k % 10 == 2, 4).otherwise(1)
-    made = F.array(
-        contract(1, F.lit(True)),
-        contract(2, k % 10 == 0),
-        contract(3, (k % 10).isin(1, 2, 3), loc=other_site),
-        contract(4, k % 25 == 4, mem=F.lit(None)),
-        contract(5, k % 25 == 5, own=acc + 1),
-        contract(6, k % 25 == 6, loc=(acc + 1) * 10),
-        contract(7, k % 25 == 7, mem=k + 1000000000),
-    )
+    """A main contract (suffix 1) per member, and further ones (2 to 7) for some."""
     return (
         _customers(spark, folder)
-        .select("k", F.explode(F.filter(made, lambda c: c.isNotNull())).alias("c"))
-        .select(
-            _text("c.id").alias("id"),
-            _text("c.mem").alias("membership_id"),
-            _text("c.loc").alias("location_id"),
-            _text("c.own").alias("account_id"),
-            _pick(k % 4, "2023-01-15", "15/01/2023", " 2023-02-01 ", "n/a").alias("contract_start"),
-            _pick(k % 4, None, "31/12/2024", None, "2024-12-31").alias("contract_end"),
-            _pick(k % 2, " Full_Time ", "PART_TIME").alias("contract_type"),
-            _pick(k % 5, "35h", " 39H ", "37,5", None, "35h30").alias("contract_time"),
+        .selectExpr(
+            "k",
+            "acc",
+            "acc * 10 + n as home",
+            """explode(array_compact(array(
+                 1,
+                 if(k % 10 = 0, 2, null),
+                 if(k % 10 in (1, 2, 3), 3, null),
+                 if(k % 25 = 4, 4, null),
+                 if(k % 25 = 5, 5, null),
+                 if(k % 25 = 6, 6, null),
+                 if(k % 25 = 7, 7, null)))) as suffix""",
+        )
+        .selectExpr(
+            "string(k * 10 + suffix) as id",
+            "string(case suffix when 4 then null when 7 then k + 1000000000 else k end) as membership_id",
+            """string(case suffix
+                 when 3 then acc * 10 + case k % 10 when 1 then 3 when 2 then 4 else 1 end
+                 when 6 then (acc + 1) * 10
+                 else home end) as location_id""",
+            "string(if(suffix = 5, acc + 1, acc)) as account_id",
+            "element_at(array('2023-01-15', '15/01/2023', ' 2023-02-01 ', 'n/a'), int(k % 4) + 1) as contract_start",
+            "element_at(array(null, '31/12/2024', null, '2024-12-31'), int(k % 4) + 1) as contract_end",
+            "element_at(array(' Full_Time ', 'PART_TIME'), int(k % 2) + 1) as contract_type",
+            "element_at(array('35h', ' 39H ', '37,5', null, '35h30'), int(k % 5) + 1) as contract_time",
         )
     )
 
 
-def _events(spark: SparkSession, folder: str, types: tuple[str, ...], kind: Column) -> DataFrame:
+def _events(spark: SparkSession, folder: str, types: tuple[str, ...], kind: str) -> DataFrame:
     """Events of the given types. Regular members mostly work on their main contract (suffix 1)."""
-    event, user = F.col("event_id"), F.col("user_id")
-    starts, ends = F.col("ts"), F.col("ts") + F.expr("interval 8 hours")
-
-    def to_second(moment: Column) -> Column:
-        return F.substring(_text(moment), 1, 19)
-
-    digit = event % 10
-    suffix = (
-        F.when(digit > 3, digit - 2)
-        .when((user % 5 < 3) | (event % 20 == 0), 1)
-        .otherwise(8)
-    )
+    listed = ", ".join(f"'{t}'" for t in types)
+    ddl = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
     return (
-        _read(spark, folder, "events", "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string")
-        .filter(F.col("event_type").isin(*types))
-        .select(
-            _text(event).alias("id"),
-            F.when(event % 37 != 0, _text(user * 10 + suffix)).alias("user_contract_id"),
-            _text(F.floor(user / 75)).alias("account_id"),
-            F.when(event % 53 != 0, to_second(starts)).alias("starts_at"),
-            to_second(ends).alias("ends_at"),
+        _read(spark, folder, "events", ddl)
+        .filter(f"event_type in ({listed})")
+        .selectExpr(
+            "string(event_id) as id",
+            """string(if(event_id % 37 = 0, null, user_id * 10 + case
+                 when event_id % 10 > 3 then event_id % 10 - 2
+                 when user_id % 5 < 3 or event_id % 20 = 0 then 1
+                 else 8 end)) as user_contract_id""",
+            "string(user_id div 75) as account_id",
+            "if(event_id % 53 = 0, null, left(string(ts), 19)) as starts_at",
+            "left(string(ts + interval 8 hours), 19) as ends_at",
             kind,
         )
     )
 
 
 def shifts(spark: SparkSession, folder: str) -> DataFrame:
-    kind = _pick(F.col("event_id") % 2, " Planned ", "ADHOC").alias("planification_type")
+    kind = "if(event_id % 2 = 0, ' Planned ', 'ADHOC') as planification_type"
     return _events(spark, folder, SHIFT_TYPES, kind)
 
 
 def rests(spark: SparkSession, folder: str) -> DataFrame:
-    kind = _pick(F.col("event_id") % 3, "Vacation", " SICK ", "rest").alias("rest_type")
+    kind = "element_at(array('Vacation', ' SICK ', 'rest'), int(event_id % 3) + 1) as rest_type"
     return _events(spark, folder, REST_TYPES, kind)
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {
-        "raw_accounts": accounts(spark, folder),
-        "raw_locations": locations(spark, folder),
-        "raw_memberships": memberships(spark, folder),
-        "raw_rests": rests(spark, folder),
-        "raw_shifts": shifts(spark, folder),
-        "raw_user_contracts": user_contracts(spark, folder),
+class RawTables(Mapping):
+    """The six raw tables; each is planned when first asked for."""
+
+    _builders = {
+        "raw_accounts": accounts,
+        "raw_locations": locations,
+        "raw_memberships": memberships,
+        "raw_rests": rests,
+        "raw_shifts": shifts,
+        "raw_user_contracts": user_contracts,
     }
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name](self._spark, self._folder)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def raw_tables(spark: SparkSession, folder: str) -> RawTables:
+    return RawTables(spark, folder)

@@ -12,7 +12,7 @@ from testbed.fixture import raw_tables
 from weekmeter.operators import pricing, quality
 from weekmeter.plans.lazy import LazyTables
 from weekmeter.plans.rebuild import rebuild
-from weekmeter.schemas import RAW_COLUMNS, TABLES
+from weekmeter.schemas import GROUPS, RAW_COLUMNS, TABLES
 from weekmeter.session import use_billing_settings
 from weekmeter.sources.csv_extracts import read_raw, write_raw
 from weekmeter.sources.tables import read_table, shared_folder
@@ -28,11 +28,17 @@ def _table(name: str) -> Query:
     return lambda spark, folder: lazy_tables(spark, folder).table(name)
 
 
-def _stored(spark: SparkSession, folder: str, purpose: str) -> dict[str, DataFrame]:
-    """All tables, written to a new shared folder and read back."""
+def _stored(
+    spark: SparkSession, folder: str, purpose: str, groups: tuple[str, ...] = GROUPS
+) -> dict[str, DataFrame]:
+    """The tables of some groups, written to a new shared folder and read back."""
     target = shared_folder(spark, purpose)
-    rebuild(spark, raw_tables(use_billing_settings(spark), folder), target)
-    return {name: read_table(spark, target, name) for name in TABLES}
+    rebuild(spark, raw_tables(use_billing_settings(spark), folder), target, groups)
+    return {
+        name: read_table(spark, target, name)
+        for name, table in TABLES.items()
+        if table.group in groups
+    }
 
 
 def raw_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,12 +98,15 @@ def dq_contract_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_multi_contract_members(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.multi_contract_members(lazy_tables(spark, folder).contract_activity)
+    t = lazy_tables(spark, folder)
+    return quality.multi_contract_members(
+        t.weekly_of_events, t.stg_user_contracts, t.stg_memberships
+    )
 
 
 def dq_inactive_members(spark: SparkSession, folder: str) -> DataFrame:
     t = lazy_tables(spark, folder)
-    return quality.inactive_members(t.stg_memberships, t.contract_activity)
+    return quality.inactive_members(t.stg_memberships, t.stg_user_contracts, t.events)
 
 
 def dq_grain_duplicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,7 +114,8 @@ def dq_grain_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_layer_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.layer_reconciliation(_stored(spark, folder, "layers"))
+    groups = ("staging", "intermediate", "facts")
+    return quality.layer_reconciliation(_stored(spark, folder, "layers", groups))
 
 
 def dq_attribution_losses(spark: SparkSession, folder: str) -> DataFrame:

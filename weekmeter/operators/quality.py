@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from weekmeter.functions.dates import contract_date
 from weekmeter.functions.text import category, flag, hours
-from weekmeter.operators.attribution import CONTRACT_KEY, LOCATION_KEY, MEMBER_KEY
+from weekmeter.operators.attribution import (
+    CONTRACT_KEY,
+    LOCATION_KEY,
+    MEMBER_KEY,
+    contract_activity,
+)
 from weekmeter.schemas import MONEY, TABLES
 
 # Fixed value: hours with minutes after the "h", which the hours parser runs together.
@@ -98,10 +103,24 @@ def contract_parse(raw_contracts: DataFrame) -> DataFrame:
     return counts.filter(suspicious)
 
 
-def multi_contract_members(contract_activity: DataFrame) -> DataFrame:
-    """Members with more than one contract active in a week, with their contracts and locations."""
+def multi_contract_members(
+    weekly: DataFrame, contracts: DataFrame, memberships: DataFrame
+) -> DataFrame:
+    """Members with more than one contract active in a week, with their contracts and locations.
+
+    Contracts of members that hold just one are left out before activity is joined: most members
+    do, and counting two columns distinctly doubles the rows it is given.
+    """
+    contract = F.col("user_contract_id")
+    several = (
+        contracts.groupBy(*MEMBER_KEY)
+        .agg(F.min(contract).alias("first"), F.max(contract).alias("last"))
+        .filter("first < last")
+    )
+    candidates = contracts.join(several.select(*MEMBER_KEY), MEMBER_KEY, "left_semi")
     return (
-        contract_activity.groupBy("account_id", "week_start", "membership_id")
+        contract_activity(weekly, candidates, memberships)
+        .groupBy("account_id", "week_start", "membership_id")
         .agg(
             F.count_distinct("user_contract_id").alias("contract_count"),
             F.count_distinct("location_id").alias("location_count"),
@@ -110,9 +129,14 @@ def multi_contract_members(contract_activity: DataFrame) -> DataFrame:
     )
 
 
-def inactive_members(memberships: DataFrame, contract_activity: DataFrame) -> DataFrame:
-    """Memberships without any attributed activity."""
-    active = contract_activity.select(*MEMBER_KEY).distinct()
+def inactive_members(memberships: DataFrame, contracts: DataFrame, activity: DataFrame) -> DataFrame:
+    """Memberships without any attributed activity.
+
+    ``activity`` may be events or any roll-up of them: only which contract and account it names
+    counts, so weeks are dropped before anything is shuffled.
+    """
+    worked = activity.select(*CONTRACT_KEY).distinct()
+    active = contracts.join(worked, CONTRACT_KEY, "left_semi").select(*MEMBER_KEY).distinct()
     return memberships.select(*MEMBER_KEY).join(active, MEMBER_KEY, "left_anti")
 
 

@@ -116,7 +116,7 @@ class LazyTables:
 
     @cached_property
     def dim_calendar_weekly(self) -> DataFrame:
-        return dimensions.weekly_calendar(self.int_employee_activity_weekly)
+        return dimensions.weekly_calendar_of_events(self.events, self.stg_user_contracts)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
