@@ -1,0 +1,136 @@
+"""Shapes the plans must keep when no table is small enough to broadcast."""
+
+import re
+
+import pytest
+
+from __spark_entry__ import queries
+from testbed.queries import CHECKS
+from weekmeter.operators import quality
+from weekmeter.plans.lazy import LazyTables
+from weekmeter.schemas import RAW_COLUMNS, TABLES
+from weekmeter.session import shuffle_partitions
+
+SMALL = "/root/testdata/sf0.001"
+WRITES = {"raw_csv_roundtrip", "row_count_audit", "dq_grain_duplicates", "dq_layer_reconciliation"}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+@pytest.fixture(scope="module")
+def stored_raw(spark, tmp_path_factory):
+    """Empty raw tables in Parquet: enough to plan on."""
+    folder = tmp_path_factory.mktemp("raw")
+    raw = {}
+    for name, columns in RAW_COLUMNS.items():
+        ddl = ", ".join(f"{c} string" for c in columns)
+        spark.createDataFrame([], ddl).write.parquet(f"{folder}/{name}")
+        raw[name] = spark.read.schema(ddl).parquet(f"{folder}/{name}")
+    return raw
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def depth(line):
+    return len(re.match(r"^[\s:|+\-*()0-9]*", line).group())
+
+
+def below(text, operator):
+    """The part of a plan under the last line that has the operator."""
+    lines = text.splitlines()
+    at = max(i for i, line in enumerate(lines) if operator in line)
+    inner = []
+    for line in lines[at + 1:]:
+        if depth(line) <= depth(lines[at]):
+            break
+        inner.append(line)
+    return "\n".join(inner)
+
+
+@pytest.mark.parametrize("name", sorted(set(queries()) - WRITES))
+def test_no_cross_join_and_no_python(spark, no_broadcast, name):
+    text = plan(queries()[name](spark, SMALL))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow", "ExistingRDD"):
+        assert operator not in text, operator
+
+
+def test_billing_reads_three_event_columns_and_joins_only_grouped_events(stored_raw, no_broadcast):
+    text = plan(LazyTables(stored_raw).fct_account_billing_weekly)
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?/(raw_\w+)\]", text)
+    read = {table: {c.split("#")[0] for c in columns.split(",")} for columns, table in scans}
+    events = {"user_contract_id", "account_id", "starts_at"}
+    assert read == {
+        "raw_shifts": events,
+        "raw_rests": events,
+        "raw_user_contracts": {"id", "membership_id", "location_id", "account_id"},
+        "raw_memberships": {"id", "account_id"},
+        "raw_locations": {"id", "account_id", "archived"},
+    }
+    for table in ("raw_shifts", "raw_rests", "raw_user_contracts", "raw_memberships", "raw_locations"):
+        assert len(re.findall(rf"/{table}\]", text)) == 1, f"{table} is read once"
+    assert "Join" not in below(text, "Union")
+    union = text.index("Union")
+    assert text.rindex("HashAggregate(keys=[user_contract_id", 0, union) > text.rindex("Exchange", 0, union)
+
+
+def test_null_contract_ids_are_dropped_in_the_scan(stored_raw, no_broadcast):
+    t = LazyTables(stored_raw)
+    for df in (t.fct_account_billing_weekly, t.int_all_schedules, t.int_employee_activity_daily, t.int_employee_activity_weekly):
+        pushed = re.findall(r"raw_(?:shifts|rests)\], PartitionFilters: \[\], PushedFilters: \[([^\]]*)\]", plan(df))
+        assert len(pushed) == 2
+        assert all("IsNotNull(user_contract_id)" in p for p in pushed)
+
+
+@pytest.mark.parametrize("name", ["int_employee_activity_daily", "int_employee_activity_weekly"])
+def test_rollups_group_events_before_any_join(stored_raw, no_broadcast, name):
+    text = plan(LazyTables(stored_raw).table(name))
+    assert "Join" not in below(text, "Union")
+    union = text.index("Union")
+    partial = text.rindex("HashAggregate(keys=[user_contract_id", 0, union)
+    assert "partial_" in text[partial:union]
+
+
+def test_reports_group_events_before_any_join(stored_raw, no_broadcast):
+    t = LazyTables(stored_raw)
+    contracts, members = t.stg_user_contracts, t.stg_memberships
+    reports = (
+        quality.orphan_events(t.events, contracts),
+        quality.inactive_members(members, contracts, t.events),
+        quality.multi_contract_members(t.weekly_of_events, contracts, members),
+        quality.attribution_losses(t.int_employee_activity_weekly, contracts, members, t.stg_locations),
+        t.dim_calendar_weekly,
+    )
+    for report in reports:
+        text = plan(report)
+        assert "Join" not in below(text, "Union")
+        union = text.index("Union")
+        assert text.rindex("HashAggregate", 0, union) > text.rindex("Exchange", 0, union)
+
+
+def test_schedules_read_contracts_once(stored_raw, no_broadcast):
+    text = plan(LazyTables(stored_raw).int_all_schedules)
+    assert len(re.findall(r"/raw_user_contracts\]", text)) == 1
+    assert text.count("Join [") == 1
+    # Nothing above the join needs its partitioning, so a hot contract can be split.
+    assert "Exchange" not in text[: text.index("Join [")]
+
+
+def test_every_table_and_check_is_registered():
+    assert set(queries()) == set(TABLES) | {check.__name__ for check in CHECKS}
+    assert len(queries()) == 29
+
+
+def test_shuffle_partitions():
+    assert shuffle_partitions(0) == 8
+    assert shuffle_partitions(100 << 40) == 409600
+    assert shuffle_partitions((256 << 20) * 10 + 1) == 11
