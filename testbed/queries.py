@@ -100,7 +100,7 @@ def dq_contract_parse(spark: SparkSession, folder: str) -> DataFrame:
 def dq_multi_contract_members(spark: SparkSession, folder: str) -> DataFrame:
     t = lazy_tables(spark, folder)
     return quality.multi_contract_members(
-        t.weekly_of_events, t.stg_user_contracts, t.stg_memberships
+        t.active_days, t.stg_user_contracts, t.stg_memberships
     )
 
 

@@ -95,6 +95,22 @@ def test_week_does_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_weekday_bits(spark):
-    df = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-07')) d")
-    assert sorted(r[0] for r in df.select(dates.weekday_bit(F.col("d"))).collect()) == [1, 2, 4, 8, 16, 32, 64]
+def test_spans_hold_each_day_once(spark):
+    days = spark.sql("select explode(sequence(date'1969-11-01', date'1970-06-30')) as d")
+    day, number = F.col("d"), F.explode(F.sequence(F.lit(0), F.lit(dates.SPAN_WEEKS - 1))).alias("n")
+    weeks = (
+        days.select("d", dates.span_start(day).alias("s"), dates.span_bit(day).alias("b"), number)
+        .select("d", dates.week_of_span(F.col("s"), F.col("n")).alias("w"), dates.active_days(F.col("b"), F.col("n")).alias("k"))
+        .filter("k > 0")
+    )
+    assert weeks.filter("k <> 1").count() == 0
+    assert weeks.filter(F.col("w") != dates.week_start(day)).count() == 0
+    assert weeks.count() == days.count()
+
+
+def test_a_full_span_fits_a_bigint(spark):
+    days = spark.sql("select explode(sequence(date'2024-01-01', date'2025-12-28')) as d")
+    day = F.col("d")
+    spans = days.groupBy(dates.span_start(day).alias("s")).agg(F.bit_or(dates.span_bit(day)).alias("b"))
+    full = spans.filter(F.bit_count("b") == 63)
+    assert full.count() >= 10 and full.filter("b = 9223372036854775807").count() == full.count()

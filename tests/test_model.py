@@ -328,3 +328,17 @@ def test_hot_contract_account_and_null_ids(spark):
     assert sum(n for _, n in rows) == len(by_hand)
     assert sum(n for c, n in rows if c == "c0") == sum(1 for i in by_hand if i % 3 == 0 or i % 200 == 0)
     both(t, "fct_account_billing_weekly")
+
+
+def test_weeks_across_spans_and_before_1970(spark):
+    days = ["1969-12-28", "1969-12-29", "1970-01-04", "1970-01-05", "2023-10-08", "2023-10-09", "2024-02-29", "2031-03-31"]
+    t = tables(
+        spark,
+        user_contracts=[contract("c1"), contract("c2", member="m2")],
+        memberships=[member("m1"), member("m2")],
+        locations=[location("l1")],
+        shifts=[event(f"{c}{i}", c, f"{d} 23:59:59") for c in ("c1", "c2") for i, d in enumerate(days)],
+    )
+    rows = both(t, "int_employee_activity_weekly", "week_start", "active_days_in_week")
+    assert len(rows) == 14 and sum(n for _, n in rows) == 2 * len(days)
+    assert len(both(t, "fct_account_billing_weekly")) == 7

@@ -106,7 +106,7 @@ def test_reports_group_events_before_any_join(stored_raw, no_broadcast):
     reports = (
         quality.orphan_events(t.events, contracts),
         quality.inactive_members(members, contracts, t.events),
-        quality.multi_contract_members(t.weekly_of_events, contracts, members),
+        quality.multi_contract_members(t.active_days, contracts, members),
         quality.attribution_losses(t.int_employee_activity_weekly, contracts, members, t.stg_locations),
         t.dim_calendar_weekly,
     )

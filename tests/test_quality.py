@@ -81,7 +81,7 @@ def test_multi_contract_members(spark):
     args = (t.stg_user_contracts, t.stg_memberships)
     want = [("a1", W1, "m1", 4, 2)]
     columns = ("account_id", "week_start", "membership_id", "contract_count", "location_count")
-    assert values(quality.multi_contract_members(t.weekly_of_events, *args), *columns) == want
+    assert values(quality.multi_contract_members(t.active_days, *args), *columns) == want
     assert values(quality.multi_contract_members(t.int_employee_activity_weekly, *args), *columns) == want
 
 

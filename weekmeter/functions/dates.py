@@ -34,6 +34,30 @@ def week_start(day: Column) -> Column:
     return F.trunc(day, "week")
 
 
-def weekday_bit(day: Column) -> Column:
-    """One bit per weekday, Monday lowest, so that OR-ing a week's rows marks its active days."""
-    return F.call_function("shiftleft", F.lit(1), F.weekday(day))
+# A span is nine weeks: the most whole weeks whose days fit the bits of a bigint.
+SPAN_WEEKS = 9
+
+
+def _day_of_span(day: Column) -> Column:
+    # Day 4 of the epoch, 1970-01-05, was a Monday.
+    return F.pmod(F.unix_date(day) - 4, F.lit(7 * SPAN_WEEKS))
+
+
+def span_start(day: Column) -> Column:
+    """Monday on which the day's nine-week span begins."""
+    return F.date_sub(day, _day_of_span(day))
+
+
+def span_bit(day: Column) -> Column:
+    """One bit per day of a span, its first Monday lowest; OR-ing rows marks the active days."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), _day_of_span(day))
+
+
+def week_of_span(start: Column, number: Column) -> Column:
+    return F.date_add(start, number * 7)
+
+
+def active_days(bits: Column, number: Column) -> Column:
+    """How many of the seven days of a span's week are marked."""
+    week = F.call_function("shiftright", bits, number * 7).bitwiseAND(0b1111111)
+    return F.bit_count(week).cast("bigint")

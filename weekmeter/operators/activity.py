@@ -12,7 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekmeter.functions.dates import week_start, weekday_bit
+from weekmeter.functions.dates import (
+    SPAN_WEEKS,
+    active_days,
+    span_bit,
+    span_start,
+    week_of_span,
+    week_start,
+)
 
 CONTRACT = "user_contract_id"
 ACCOUNT = "account_id"
@@ -97,18 +104,41 @@ def weekly_activity(daily: DataFrame) -> DataFrame:
     )
 
 
-def weekly_activity_of_events(tagged: DataFrame) -> DataFrame:
-    """The weekly rows of all events, known contract or not, in one aggregation.
+def active_days_of_events(tagged: DataFrame) -> DataFrame:
+    """The active days of all events, known contract or not: one row per contract, account and span.
 
-    The distinct days of a week are seven bits OR-ed together, which combines on the map side and
-    skips the daily level and its shuffle. Events without a start have no week; the daily table
-    holds them as one (NULL) day.
+    A span is nine weeks and its days are the bits of one number, so the aggregation combines well
+    on the map side and shuffles (and later joins) about a ninth of the weekly rows. Events without
+    a start have no span; the daily table holds them as one (NULL) day, so one bit is set.
     """
-    days = F.bit_count(F.coalesce(F.bit_or(weekday_bit(F.col("activity_date"))), F.lit(1)))
+    day = F.col("activity_date")
+    spans = tagged.select(
+        CONTRACT, ACCOUNT, span_start(day).alias("span_start"), span_bit(day).alias("bit")
+    )
+    return spans.groupBy(CONTRACT, ACCOUNT, "span_start").agg(
+        F.coalesce(F.bit_or("bit"), F.lit(1).cast("bigint")).alias("span_days")
+    )
+
+
+def weeks_of(spans: DataFrame) -> DataFrame:
+    """Unpack spans into their active weeks; other columns are kept."""
+    others = [c for c in spans.columns if c not in ("span_start", "span_days")]
+    number = F.col("number")
     return (
-        tagged.groupBy(CONTRACT, ACCOUNT, "week_start")
-        .agg(days.cast("bigint").alias("active_days_in_week"))
-        .withColumn("had_activity_in_week", F.lit(1))
+        spans.select("*", F.explode(F.sequence(F.lit(0), F.lit(SPAN_WEEKS - 1))).alias("number"))
+        .select(
+            *others,
+            week_of_span(F.col("span_start"), number).alias("week_start"),
+            active_days(F.col("span_days"), number).alias("active_days_in_week"),
+        )
+        .filter("active_days_in_week > 0")
+    )
+
+
+def weekly_activity_of_events(tagged: DataFrame, contracts: DataFrame) -> DataFrame:
+    """The rows of ``weekly_activity`` from events: roll up, keep known contracts, unpack."""
+    return weeks_of(of_known_contracts(active_days_of_events(tagged), contracts)).withColumn(
+        "had_activity_in_week", F.lit(1)
     )
 
 

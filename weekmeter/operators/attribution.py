@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekmeter.operators.activity import weeks_of
 from weekmeter.operators.pricing import STANDARD_RATES, RateCard
 
 MEMBER_KEY = ["membership_id", "account_id"]
@@ -22,9 +23,16 @@ def staffed_contracts(contracts: DataFrame, memberships: DataFrame) -> DataFrame
     )
 
 
-def contract_activity(weekly: DataFrame, contracts: DataFrame, memberships: DataFrame) -> DataFrame:
-    """Weekly activity with the member and home location of its contract; accounts must agree."""
-    return weekly.join(staffed_contracts(contracts, memberships), CONTRACT_KEY).select(
+def contract_activity(activity: DataFrame, contracts: DataFrame, memberships: DataFrame) -> DataFrame:
+    """Weekly activity with the member and home location of its contract; accounts must agree.
+
+    ``activity`` is the weekly table, or the active days of events, which are unpacked into weeks
+    after the join.
+    """
+    attributed = activity.join(staffed_contracts(contracts, memberships), CONTRACT_KEY)
+    if "span_days" in activity.columns:
+        attributed = weeks_of(attributed)
+    return attributed.select(
         "account_id",
         "week_start",
         "membership_id",

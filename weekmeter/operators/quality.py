@@ -104,11 +104,11 @@ def contract_parse(raw_contracts: DataFrame) -> DataFrame:
 
 
 def multi_contract_members(
-    weekly: DataFrame, contracts: DataFrame, memberships: DataFrame
+    activity: DataFrame, contracts: DataFrame, memberships: DataFrame
 ) -> DataFrame:
     """Members with more than one contract active in a week, with their contracts and locations.
 
-    Contracts of members that hold just one are left out before activity is joined: most members
+    ``activity`` is as for ``contract_activity``. Contracts of members that hold just one are left out before activity is joined: most members
     do, and counting two columns distinctly doubles the rows it is given.
     """
     contract = F.col("user_contract_id")
@@ -119,7 +119,7 @@ def multi_contract_members(
     )
     candidates = contracts.join(several.select(*MEMBER_KEY), MEMBER_KEY, "left_semi")
     return (
-        contract_activity(weekly, candidates, memberships)
+        contract_activity(activity, candidates, memberships)
         .groupBy("account_id", "week_start", "membership_id")
         .agg(
             F.count_distinct("user_contract_id").alias("contract_count"),

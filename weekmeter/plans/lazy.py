@@ -16,9 +16,9 @@ class LazyTables:
 
     Nothing is stored between the steps, so Spark prunes columns across all of them: account
     billing reads three columns of the events. Roll-ups go straight from the events (see
-    ``operators.activity``). For account billing, weekly rows are not checked against contract ids
+    ``operators.activity``). For account billing, activity is not checked against contract ids
     first, as the attribution join on contract *and* account is stricter; so events meet contracts
-    once, as weekly rows.
+    once, already rolled up.
 
     A pruned column is never parsed. Bad text in, say, ``ends_at`` fails a rebuild of the stored
     tables but not a lazy query that does not use it.
@@ -63,13 +63,13 @@ class LazyTables:
         return activity.events(self.stg_shifts, self.stg_rests)
 
     @cached_property
-    def weekly_of_events(self) -> DataFrame:
-        return activity.weekly_activity_of_events(self.events)
+    def active_days(self) -> DataFrame:
+        return activity.active_days_of_events(self.events)
 
     @cached_property
     def contract_activity(self) -> DataFrame:
         return attribution.contract_activity(
-            self.weekly_of_events, self.stg_user_contracts, self.stg_memberships
+            self.active_days, self.stg_user_contracts, self.stg_memberships
         )
 
     @cached_property
@@ -82,7 +82,7 @@ class LazyTables:
 
     @cached_property
     def int_employee_activity_weekly(self) -> DataFrame:
-        return activity.of_known_contracts(self.weekly_of_events, self.stg_user_contracts)
+        return activity.weekly_activity_of_events(self.events, self.stg_user_contracts)
 
     @cached_property
     def int_billable_employees_weekly(self) -> DataFrame:
