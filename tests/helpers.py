@@ -1,5 +1,7 @@
 """Tiny raw tables for tests: name the columns that matter, the rest is NULL."""
 
+import pyarrow as pa
+
 from weekmeter.plans.lazy import LazyTables
 from weekmeter.schemas import RAW_COLUMNS
 
@@ -8,8 +10,8 @@ MONDAY = "2024-01-01"
 
 def raw_frame(spark, name, rows):
     columns = RAW_COLUMNS[name]
-    ddl = ", ".join(f"{c} string" for c in columns)
-    return spark.createDataFrame([tuple(row.get(c) for c in columns) for row in rows], ddl)
+    schema = pa.schema([(c, pa.string()) for c in columns])
+    return spark.createDataFrame(pa.Table.from_pylist([{c: row.get(c) for c in columns} for row in rows], schema))
 
 
 def raw_tables(spark, **rows):
