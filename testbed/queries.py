@@ -45,7 +45,7 @@ def raw_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Write the raw tables as CSV, read them back, and compare them as bags of rows."""
     written = raw_tables(use_billing_settings(spark), folder)
     target = shared_folder(spark, "extracts")
-    write_raw(written, target)
+    write_raw(spark, written, target)
     read = read_raw(spark, target)
 
     def compare(name: str) -> DataFrame:

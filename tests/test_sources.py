@@ -97,7 +97,7 @@ def test_round_trip(spark, tmp_path):
         user_contracts=[contract("1", contract_start=" 2023-02-01 ")],
         shifts=[event("1", "c")],
     )
-    write_raw(raw, str(tmp_path))
+    write_raw(spark, raw, str(tmp_path))
     back = read_raw(spark, str(tmp_path))
     for name, columns in RAW_COLUMNS.items():
         assert values(back[name], *columns) == values(raw[name], *columns)

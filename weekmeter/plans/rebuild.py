@@ -10,6 +10,10 @@ from weekmeter.operators import activity, attribution, dimensions, pricing, stag
 from weekmeter.operators.pricing import STANDARD_RATES, RateCard
 from weekmeter.schemas import GROUPS, TABLES
 from weekmeter.sources.tables import read_table, write_table
+from weekmeter.sources.together import run_together
+
+# Groups whose tables do not read one another, so they are written at the same time.
+INDEPENDENT = ("staging", "dimensions")
 
 AUDIT = "table_name string, rows_before bigint, rows_after bigint"
 
@@ -75,11 +79,21 @@ def rebuild(
         raise ValueError(f"unknown groups {sorted(unknown)}; choose from {list(GROUPS)}")
 
     written: dict[str, int] = {}
-    audit = []
-    for name, table in TABLES.items():
-        if table.group not in chosen:
-            continue
+
+    def write(name: str) -> None:
         written[name] = write_table(steps[name](), folder, name)
-        before = written[table.counts_input] if table.counts_input else None
-        audit.append((name, before, written[name]))
+
+    for group in GROUPS:
+        names = [name for name, table in TABLES.items() if table.group == group and group in chosen]
+        if group in INDEPENDENT:
+            run_together(spark, write, names)
+        else:
+            for name in names:
+                write(name)
+
+    audit = [
+        (name, written.get(table.counts_input), written[name])
+        for name, table in TABLES.items()
+        if name in written
+    ]
     return spark.createDataFrame(audit, AUDIT)

@@ -21,6 +21,9 @@ PLAN_SETTINGS = {
     # Replaces a sort-merge join by a hash join when every build partition was measured below this,
     # which spares sorting the event side when contracts are too many to broadcast.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Size estimates come from compressed files. Until a size is measured, count them five times,
+    # so that a table that is small on disk but large in memory is not broadcast.
+    "spark.sql.sources.fileCompressionFactor": "5.0",
 }
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from weekmeter.schemas import RAW_COLUMNS, RAW_FILES
+from weekmeter.sources.together import run_together
 
 # Extracts with free text, where a quoted value may hold a line break. Such files cannot be split,
 # so each is one task. The others carry ids, times and codes, hold nearly all the rows, and are
@@ -54,7 +55,11 @@ def read_raw(
     }
 
 
-def write_raw(raw: Mapping[str, DataFrame], folder: str) -> None:
+def write_raw(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> None:
     """Write raw tables as extracts that ``read_raw`` reads (each "file" is a folder of parts)."""
-    for name, file in RAW_FILES.items():
-        raw[name].write.mode("overwrite").options(**_FORMAT).csv(f"{folder.rstrip('/')}/{file}")
+
+    def write(name: str) -> None:
+        path = f"{folder.rstrip('/')}/{RAW_FILES[name]}"
+        raw[name].write.mode("overwrite").options(**_FORMAT).csv(path)
+
+    run_together(spark, write, RAW_FILES)
