@@ -43,13 +43,18 @@ def test_hours(spark):
     assert apply(spark, lambda c: text.hours(c, permissive=True), given) == want
 
 
-@pytest.mark.parametrize("bad", ["", "abc", "35d", "35f", "1_000", "n/a", "1,000.5"])
+@pytest.mark.parametrize("bad", ["", "abc", "35d", "35f", "1_000", "n/a", "1,000.5", "--5", "nanx"])
 def test_bad_hours_fail_or_are_null(spark, bad):
     with pytest.raises(ERRORS):
         apply(spark, text.hours, [bad])
     assert apply(spark, lambda c: text.hours(c, permissive=True), [bad]) == [None]
 
 
+def test_hours_that_are_not_finite(spark):
+    low, high, nan = apply(spark, text.hours, ["-inf", " Infinity ", "NaN"])
+    assert low == float("-inf") and high == float("inf") and nan != nan
+
+
 def test_contract_date(spark):
     given = ["2024-01-05", " 2024-01-05 ", "05/06/2024", "2024-1-5", "2024/01/05", "2024-01-01\n", "n/a", "", None]
     want = [date(2024, 1, 5), date(2024, 1, 5), date(2024, 6, 5), None, None, None, None, None, None]
@@ -70,10 +75,24 @@ def test_utc_timestamp_keeps_the_wall_clock(spark):
     assert apply(spark, dates.utc_timestamp, given) == want
 
 
-def test_bad_timestamp_fails_or_is_null(spark):
+def test_utc_timestamp_spellings(spark):
+    given = [
+        "2024/01/05 10:00:00", "2024/1/5", "2024-1-5", "2024-01-05 24:00:00", "2024-02-29T24:00:00",
+        "2024/12/31 24:00:00", "2024-01-05 10:00:00 Europe/Paris", "2024-01-05 10:24:00", "2024-01-05 10:00:00.123456",
+    ]
+    want = [
+        datetime(2024, 1, 5, 10), datetime(2024, 1, 5), datetime(2024, 1, 5), datetime(2024, 1, 6), datetime(2024, 3, 1),
+        datetime(2025, 1, 1), datetime(2024, 1, 5, 10), datetime(2024, 1, 5, 10, 24), datetime(2024, 1, 5, 10, 0, 0, 123456),
+    ]
+    assert apply(spark, dates.utc_timestamp, given) == want
+    assert apply(spark, lambda c: dates.utc_timestamp(c, permissive=True), given) == want
+
+
+@pytest.mark.parametrize("bad", ["01/02/2024", "2024", "2024-01", "", "10:00:00", "soon", "2024-01-05 25:00:00", "2024-01-05 24:00:01"])
+def test_bad_timestamp_fails_or_is_null(spark, bad):
     with pytest.raises(ERRORS):
-        apply(spark, dates.utc_timestamp, ["01/02/2024"])
-    assert apply(spark, lambda c: dates.utc_timestamp(c, permissive=True), ["01/02/2024"]) == [None]
+        apply(spark, dates.utc_timestamp, [bad])
+    assert apply(spark, lambda c: dates.utc_timestamp(c, permissive=True), [bad]) == [None]
 
 
 def test_week_starts_on_monday(spark):

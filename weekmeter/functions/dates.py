@@ -13,10 +13,34 @@ ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
 DAY_FIRST_DATE = r"^\d{2}/\d{2}/\d{4}\z"
 DAY_FIRST_FORMAT = "dd/MM/yyyy"
 
+# A leading year/month/day (a slash later on belongs to a zone name), and the end of a
+# day written as an hour of that day.
+SLASHED_DATE = r"^(\s*\d+)/(\d+)/(\d+)"
+DAY_END = "24:00:00"
+
 
 def utc_timestamp(text: Column, permissive: bool = False) -> Column:
-    """Text to a zone-less timestamp; an offset in the text is ignored, the wall clock kept."""
-    return text.try_cast("timestamp_ntz") if permissive else text.cast("timestamp_ntz")
+    """Text to a zone-less timestamp; an offset in the text is ignored, the wall clock kept.
+
+    Three things a plain cast does otherwise are found by cheap checks, as this runs on every event:
+    slashes between year, month and day are read as dashes, 24:00:00 is the next midnight, and a
+    text without a full date fails (the cast would fill in January or the first).
+    """
+
+    def cast(value: Column) -> Column:
+        return value.try_cast("timestamp_ntz") if permissive else value.cast("timestamp_ntz")
+
+    dashed = F.regexp_replace(text, SLASHED_DATE, "$1-$2-$3")
+    next_midnight = cast(F.replace(dashed, F.lit(DAY_END), F.lit("00:00:00"))) + F.expr(
+        "interval 1 day"
+    )
+    too_short = F.octet_length(text) < len("2024-1-1")
+    return (
+        F.when(too_short, cast(F.concat(F.lit("not a date: "), text)))
+        .when(text.contains(DAY_END), next_midnight)
+        .when(text.contains("/"), cast(dashed))
+        .otherwise(cast(text))
+    )
 
 
 def contract_date(text: Column, permissive: bool = False) -> Column:

@@ -13,7 +13,7 @@ SPACE_SEPARATORS = (
 )
 TRUE_SPELLINGS = ("true", "1", "yes")
 FALSE_SPELLINGS = ("false", "0", "no")
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*\z"
+NUMBER = r"^\s*([+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?|[+-]?inf(inity)?|nan)\s*\z"
 
 
 def trim_spaces(text: Column) -> Column:
