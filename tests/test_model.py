@@ -342,3 +342,16 @@ def test_weeks_across_spans_and_before_1970(spark):
     rows = both(t, "int_employee_activity_weekly", "week_start", "active_days_in_week")
     assert len(rows) == 14 and sum(n for _, n in rows) == 2 * len(days)
     assert len(both(t, "fct_account_billing_weekly")) == 7
+
+
+def test_copies_of_contracts_and_members_do_not_multiply_activity(spark):
+    t = tables(
+        spark,
+        user_contracts=[contract("c1")] * 50 + [contract("c1", location="l2")] * 2,
+        memberships=[member("m1")] * 50,
+        locations=[location("l1"), location("l2")],
+        shifts=[event("1", "c1"), event("2", "c1", "2024-01-02 10:00:00")],
+    )
+    assert t.contract_activity.count() == 2
+    both(t, "fct_location_revenue_weekly")
+    assert both(t, "int_employee_activity_daily", "schedule_count") == [(52,), (52,)]

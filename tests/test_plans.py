@@ -134,3 +134,12 @@ def test_shuffle_partitions():
     assert shuffle_partitions(0) == 8
     assert shuffle_partitions(100 << 40) == 409600
     assert shuffle_partitions((256 << 20) * 10 + 1) == 11
+
+
+def test_merging_copies_of_members_takes_no_shuffle_of_its_own(stored_raw, no_broadcast):
+    text = plan(LazyTables(stored_raw).fct_account_billing_weekly)
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", text)
+    keys = [tuple(k.split("#")[0] for k in found.split(", ")) for found in shuffles]
+    members = ("membership_id", "account_id")
+    assert keys.count(members) == 2  # contracts and memberships, once each
+    assert len(keys) == 11

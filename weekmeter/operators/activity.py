@@ -144,4 +144,4 @@ def weekly_activity_of_events(tagged: DataFrame, contracts: DataFrame) -> DataFr
 
 def of_known_contracts(rows: DataFrame, contracts: DataFrame) -> DataFrame:
     """Rows whose contract id exists; for rows already grouped, where copies make no difference."""
-    return rows.join(contracts.select(CONTRACT), CONTRACT, "left_semi")
+    return rows.join(contracts.select(CONTRACT).distinct(), CONTRACT, "left_semi")

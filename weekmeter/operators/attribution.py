@@ -14,12 +14,17 @@ LOCATION_KEY = ["location_id", "account_id"]
 
 
 def staffed_contracts(contracts: DataFrame, memberships: DataFrame) -> DataFrame:
-    """Contracts whose membership exists in the same account.
+    """Contracts whose membership exists in the same account, each once.
 
-    A semi join: repeated memberships would only repeat rows that the next steps group away.
+    Copies of a contract or membership would only repeat rows that the next steps group away, so
+    they are merged (on the map side first) before any join can multiply them. For memberships
+    this takes no shuffle of its own: the join needs the same partitioning.
     """
-    return contracts.select(*CONTRACT_KEY, "membership_id", "location_id").join(
-        memberships.select(*MEMBER_KEY), MEMBER_KEY, "left_semi"
+    known = memberships.select(*MEMBER_KEY).distinct()
+    return (
+        contracts.select(*CONTRACT_KEY, "membership_id", "location_id")
+        .distinct()
+        .join(known, MEMBER_KEY, "left_semi")
     )
 
 

@@ -1,7 +1,8 @@
 """Data-quality reports.
 
-Each groups before it joins and keeps NULL keys out of the joins, so that a hot or missing key
-costs a few rows instead of one overfull task.
+Each groups before it joins and keeps NULL keys out of the joins, so that a hot key, a missing key
+or a mass of copies costs a few rows instead of one overfull task. Grouping the side that is only
+looked up takes no shuffle of its own: the join needs the same partitioning.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def orphan_events(events: DataFrame, contracts: DataFrame) -> DataFrame:
     """Events whose contract id is NULL or unknown, counted by type and reason."""
     per_contract = events.groupBy("event_type", "user_contract_id").agg(_rows())
     orphans = per_contract.join(
-        contracts.select("user_contract_id"), "user_contract_id", "left_anti"
+        contracts.select("user_contract_id").distinct(), "user_contract_id", "left_anti"
     )
     reason = F.when(F.col("user_contract_id").isNull(), "null_id").otherwise("unknown_id")
     return orphans.groupBy("event_type", reason.alias("reason")).agg(
@@ -51,7 +52,7 @@ def orphan_contracts(contracts: DataFrame, memberships: DataFrame) -> DataFrame:
     rows = contracts.select("user_contract_id", "account_id", "membership_id")
     without = rows.filter(F.col("membership_id").isNull())
     unknown = rows.filter(F.col("membership_id").isNotNull()).join(
-        memberships.select("membership_id"), "membership_id", "left_anti"
+        memberships.select("membership_id").distinct(), "membership_id", "left_anti"
     )
     return without.unionByName(unknown)
 
@@ -200,19 +201,21 @@ def attribution_losses(
 ) -> DataFrame:
     """Weekly rows that reach no location, counted by the first reason that applies.
 
-    The reason is found per contract; activity joins last, as one row per contract and account.
-    A repeated contract counts each of its copies.
+    The reason is found per distinct contract; activity joins last, as one row per contract and
+    account. A repeated contract counts each of its copies.
     """
 
     def known(df: DataFrame, key: list[str], name: str) -> DataFrame:
         return df.select(*key).distinct().withColumn(name, F.lit(True))
 
     reasons = (
-        contracts.select(*CONTRACT_KEY, "membership_id", "location_id")
+        contracts.groupBy(*CONTRACT_KEY, "membership_id", "location_id")
+        .agg(F.count(F.lit(1)).alias("copies"))
         .join(known(memberships, MEMBER_KEY, "member_known"), MEMBER_KEY, "left")
         .join(known(locations, LOCATION_KEY, "location_known"), LOCATION_KEY, "left")
         .select(
             *CONTRACT_KEY,
+            "copies",
             F.when(F.col("membership_id").isNull(), "membership_missing")
             .when(F.col("member_known").isNull(), "membership_not_in_account")
             .when(F.col("location_id").isNull(), "location_missing")
@@ -225,7 +228,8 @@ def attribution_losses(
     return (
         per_contract.join(reasons, CONTRACT_KEY, "left")
         .select(
-            F.coalesce("reason", F.lit("contract_not_in_account")).alias("reason"), "row_count"
+            F.coalesce("reason", F.lit("contract_not_in_account")).alias("reason"),
+            (F.col("row_count") * F.coalesce("copies", F.lit(1))).alias("row_count"),
         )
         .filter("reason <> 'none'")
         .groupBy("reason")
