@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weekmeter.llm.bpe import op6_bpe
+from weekmeter.llm.mixing import ORACLE as MIXING_SQL
+from weekmeter.llm.mixing import op7_mixing
 from weekmeter.llm.quality_rules import op9_quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op6_bpe, op9_quality_rules)}
+    return {q.__name__: q for q in (op6_bpe, op7_mixing, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": MIXING_SQL}
