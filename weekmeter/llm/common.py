@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,3 +82,20 @@ def running_total(parts: DataFrame, order: str, amount: str, name: str) -> DataF
 
     earlier = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn(name, F.coalesce(F.sum(amount).over(earlier), F.lit(0)))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for sessions that do not find it there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="weekmeter-ship-")) / "weekmeter.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)

@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from weekmeter.llm.bpe import op6_bpe
+from weekmeter.llm.common import ship
 from weekmeter.llm.mixing import ORACLE as MIXING_SQL
 from weekmeter.llm.mixing import op7_mixing
+from weekmeter.llm.ngram_join import op8_ngram_join
 from weekmeter.llm.quality_rules import op9_quality_rules
 
 
+QUERIES = (op6_bpe, op7_mixing, op8_ngram_join, op9_quality_rules)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op6_bpe, op7_mixing, op9_quality_rules)}
+    return {query.__name__: _shipped(query) for query in QUERIES}
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:
