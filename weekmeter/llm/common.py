@@ -19,17 +19,25 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder of ``spark.checkpoint.dir`` and go on from there.
+def shared_path(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``.
 
-    A lost executor then costs a read, not a rerun. Spark removes the files once the frame is gone.
     A folder of our own is set only where the session names none and runs on one machine.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if not context.getCheckpointDir():
         if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="weekmeter-llm-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and go on from there.
+
+    A lost executor then costs a read, not a rerun. Spark removes the files once the frame is gone.
+    """
+    shared_path(df.sparkSession)
     return df.checkpoint()
 
 
