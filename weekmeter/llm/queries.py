@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weekmeter.llm.bpe import op6_bpe
+from weekmeter.llm.chat import op1_chat
 from weekmeter.llm.common import ship
 from weekmeter.llm.mixing import ORACLE as MIXING_SQL
 from weekmeter.llm.mixing import op7_mixing
@@ -16,7 +17,7 @@ from weekmeter.llm.quality_rules import op9_quality_rules
 from weekmeter.llm.substring_dedup import op4_substring_dedup
 
 
-QUERIES = (op4_substring_dedup, op6_bpe, op7_mixing, op8_ngram_join, op9_quality_rules)
+QUERIES = (op1_chat, op4_substring_dedup, op6_bpe, op7_mixing, op8_ngram_join, op9_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
