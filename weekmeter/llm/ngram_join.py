@@ -164,17 +164,33 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """For each cell of a table of at least as many bits as shingles: whether an odd number falls there.
+
+    Two tables differ in at most as many bits as the sets differ in shingles.
+    """
+    bits = 64
+    while bits < len(shingles):
+        bits *= 2
+    odd = np.bincount((shingles & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def shingled(docs: DataFrame) -> DataFrame:
-    """One row per document: id (NULL as the smallest), number of shingles, fingerprint of the set."""
+    """One row per document: id (NULL as the smallest), number of shingles, fingerprint and parity of the set."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes = np.zeros(batch.num_rows, np.int64)
         prints = np.zeros(batch.num_rows, np.int64)
+        parities = [b""] * batch.num_rows
         for row, shingles in shingle_sets(batch.column(1)):
-            sizes[row], prints[row] = len(shingles), fingerprint(shingles)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(prints)], ["id", "n", "node"])
+            sizes[row], prints[row], parities[row] = len(shingles), fingerprint(shingles), parity(shingles)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sizes), pa.array(prints), pa.array(parities, pa.binary())],
+            ["id", "n", "node", "parity"],
+        )
 
-    schema = _schema("id long, n long, node long")
+    schema = _schema("id long, n long, node long, parity binary")
     return in_arrow(docs.select(id_key("doc_id").alias("id"), "text"), work, schema)
 
 
@@ -226,35 +242,62 @@ def bucket_stars(index: DataFrame) -> DataFrame:
 
     bucket = Window.partitionBy("sign", "salt")
     rows = index.withColumns({"centre": F.max("node").over(bucket), "least": F.min("node").over(bucket)})
-    plain = rows.where("salt < 0 and least <> centre")
+    rows = cut(rows.where("salt >= 0 or least <> centre").select("sign", "salt", "node", "centre").distinct())
     # Hot buckets were dealt out by salt; their centres meet in a second, small step.
-    hot = rows.where("salt >= 0").select("sign", "node", "centre").distinct()
+    hot = rows.where("salt >= 0")
     centres = hot.groupBy("sign").agg(F.max("centre").alias("centre"))
-    hot = hot.drop("centre").join(centres, "sign")
-    return plain.select("sign", "node", "centre").unionByName(hot.select("sign", "node", "centre")).where(
-        "node <> centre"
-    ).distinct()
+    hot = hot.select("sign", "node").join(centres, "sign")
+    return rows.where("salt < 0").select("sign", "node", "centre").unionByName(hot).where("node <> centre")
+
+
+def likely(pairs: DataFrame, holders: DataFrame) -> DataFrame:
+    """Drop the pairs (a, b) that sizes or parities show not to be linked; no linked pair goes."""
+    kept = [c for c in pairs.columns if c not in ("a", "b")]
+    sides = pairs
+    for side in ("a", "b"):
+        sides = sides.join(
+            holders.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("parity").alias(f"p{side}")), side
+        )
+    sides = sides.where("5 * na >= 4 * nb and 5 * nb >= 4 * na").select("a", "b", *kept, "na", "nb", "pa", "pb")
+    last = len(kept) + 2
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        most = (batch.column(last).to_numpy() + batch.column(last + 1).to_numpy()) // 9
+        keep = np.zeros(batch.num_rows, bool)
+        for k, (one, two) in enumerate(zip(batch.column(last + 2), batch.column(last + 3), strict=True)):
+            one, two = np.frombuffer(one.as_py(), np.uint8), np.frombuffer(two.as_py(), np.uint8)
+            if len(one) < len(two):
+                one, two = two, one
+            one = np.bitwise_xor.reduce(one.reshape(-1, len(two)), axis=0)
+            keep[k] = int(np.bitwise_count(one ^ two).sum()) <= most[k]
+        return pa.RecordBatch.from_arrays(batch.columns[:last], ["a", "b", *kept]).filter(pa.array(keep))
+
+    return in_arrow(sides, work, pairs.select("a", "b", *kept).schema)
 
 
 def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The sets of some nodes: node, shingles. ``wanted`` has the node and the id of a row that holds it."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        nodes, sets = [], []
-        expected = batch.column(1).to_pylist()
-        for row, shingles in shingle_sets(batch.column(0)):
-            if len(shingles) and fingerprint(shingles) == expected[row]:
-                nodes.append(expected[row])
-                sets.append(shingles)
-        if not nodes:
-            return None
-        lengths = np.array([len(x) for x in sets])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), W.lists(np.concatenate(sets), lengths)], ["node", "shingles"]
-        )
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # rows of one id come together: their set is wanted once
+        for batch in batches:
+            nodes, sets = [], []
+            expected = batch.column(1).to_pylist()
+            for row, shingles in shingle_sets(batch.column(0)):
+                node = expected[row]
+                if node not in seen and len(shingles) and fingerprint(shingles) == node:
+                    if len(seen) < COPIES_SEEN:
+                        seen.add(node)
+                    nodes.append(node)
+                    sets.append(shingles)
+            if nodes:
+                lengths = np.array([len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes, pa.int64()), W.lists(np.concatenate(sets), lengths)], ["node", "shingles"]
+                )
 
     texts = docs.select(id_key("doc_id").alias("id"), "text").join(wanted.select("id", "node"), "id")
-    return in_arrow(texts.select("text", "node"), work, _schema("node long, shingles array<long>"))
+    return texts.select("text", "node").mapInArrow(run, "node long, shingles array<long>")
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -266,67 +309,82 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= 80 * union).select("a", "b")
 
 
+class _Links:
+    """The links found so far, the components they make, and the sets read so far."""
+
+    def __init__(self, docs: DataFrame, holders: DataFrame, first: DataFrame):
+        self.docs, self.holders = docs, holders
+        self.sets = cut(shingle_table(docs, self._holding(first)))
+        self.links: DataFrame | None = None
+        self.found: DataFrame | None = None
+
+    def _holding(self, pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return self.holders.join(nodes, "node")
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Those pairs that lie in different components."""
+        own = self.found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+        other = self.found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+        joined = pairs.join(own, "a", "left").join(other, "b", "left")
+        return joined.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Compare likely pairs exactly; add their links."""
+        if self.found is not None and pairs.isEmpty():
+            return
+        missing = cut(self._holding(pairs).join(self.sets.select("node").distinct(), "node", "left_anti"))
+        if not missing.isEmpty():
+            self.sets = self.sets.unionByName(cut(shingle_table(self.docs, missing)))
+        more = cut(similar(pairs, self.sets))
+        if self.found is not None and more.isEmpty():
+            return
+        self.links = more if self.links is None else self.links.union(more)
+        self.found = components(self.links, "a", "b")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per document: id (NULL as the smallest), n, node, component (smallest id reachable)."""
     spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(shingle_counts(docs))
     nodes = cut(shingled(docs))
     stars = cut(bucket_stars(indexed(docs, counts)))
-    pairs = cut(stars.groupBy("node", "centre").agg(F.count(F.lit(1)).alias("shared")))
-    members = pairs.select("node").union(pairs.select("centre")).distinct()
-    holders = nodes.where("n > 0").groupBy("node").agg(F.min("id").alias("id")).join(members, "node")
-    sets = cut(shingle_table(docs, holders).dropDuplicates(["node"]))
-
-    best = pairs.groupBy("node").agg(F.max(F.struct("shared", "centre")).alias("m"))
-    first = best.select(F.col("node").alias("a"), F.col("m.centre").alias("b"))
-    links = cut(similar(first, sets))
-    found = components(links, "a", "b")
-
-    rest = pairs.select(F.col("node").alias("a"), F.col("centre").alias("b")).join(first, ["a", "b"], "left_anti")
-    links, found = _further(links, found, rest, sets)
-
-    of = found.select(F.col("node").alias("member"), "component")
-    bucket = stars.select("sign", F.col("node").alias("member")).unionByName(
-        stars.select("sign", F.col("centre").alias("member")).distinct()
+    pairs = stars.groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    members = stars.select("node").union(stars.select("centre")).distinct()
+    holders = cut(
+        nodes.where("n > 0").groupBy("node")
+        .agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("parity").alias("parity"))
+        .join(members, "node")
     )
-    bucket = bucket.join(of, "member", "left").withColumn("component", F.coalesce("component", "member"))
-    # Buckets that lie in two components or more; their pairs with the centre are settled.
+
+    # Every member with the centre it shares most signatures with, then with its other centres.
+    pairs = cut(likely(pairs, holders))
+    links = _Links(docs, holders, pairs)
+    best = pairs.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    links.compare(best)
+    links.compare(cut(links.apart(pairs.join(best, ["a", "b"], "left_anti"))))
+
+    # The pairs of a bucket that still lie in two components; those with the centre are settled.
+    of = links.found.select(F.col("node").alias("member"), "component")
+    bucket = stars.select("sign", F.col("node").alias("member"), "centre").join(of, "member", "left")
+    bucket = bucket.withColumn("component", F.coalesce("component", "member"))
     open_ = bucket.groupBy("sign").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    centres = stars.groupBy("sign").agg(F.max("centre").alias("centre"))
-    left = bucket.join(open_.join(centres, "sign"), "sign").where("member <> centre").select("sign", "member", "component")
-    left = cut(left)
+    left = cut(bucket.join(open_.select("sign"), "sign").select("sign", "member", "component"))
     other = left.select("sign", F.col("member").alias("b"), F.col("component").alias("cb"))
     rest = (
-        left.join(other, "sign").where("member < b and component <> cb")
-        .select(F.col("member").alias("a"), "b").distinct()
+        left.withColumnRenamed("member", "a").join(other, "sign")
+        .where("a < b and component <> cb").select("a", "b").distinct()
     )
-    links, found = _further(links, found, rest, sets)
+    links.compare(cut(likely(rest, holders)))
 
-    placed = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = cut(placed)
+    placed = nodes.select("id", "n", "node").join(links.found, "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node"))
     least = placed.where("n > 0").groupBy("component").agg(F.min("id").alias("least"))
     return placed.join(least, "component", "left").select(
         "id", "n", "node", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component")
     )
 
 
-def _further(links: DataFrame, found: DataFrame, pairs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Compare those pairs that lie in different components; add their links."""
-    own = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    other = found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    apart = cut(
-        pairs.join(own, "a", "left").join(other, "b", "left")
-        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    )
-    if apart.isEmpty():
-        return links, found
-    more = cut(similar(apart, sets))
-    if more.isEmpty():
-        return links, found
-    links = links.union(more)
-    return links, components(links, "a", "b")
-
-
 def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard_components(read(spark, folder, "documents"))
     return found.select(
