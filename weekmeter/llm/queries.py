@@ -13,11 +13,22 @@ from weekmeter.llm.common import ship
 from weekmeter.llm.mixing import ORACLE as MIXING_SQL
 from weekmeter.llm.mixing import op7_mixing
 from weekmeter.llm.ngram_join import op8_ngram_join
+from weekmeter.llm.quality_knn import op2_quality_knn
 from weekmeter.llm.quality_rules import op9_quality_rules
+from weekmeter.llm.sharding import op3_sharding
 from weekmeter.llm.substring_dedup import op4_substring_dedup
 
 
-QUERIES = (op1_chat, op4_substring_dedup, op6_bpe, op7_mixing, op8_ngram_join, op9_quality_rules)
+QUERIES = (
+    op1_chat,
+    op2_quality_knn,
+    op3_sharding,
+    op4_substring_dedup,
+    op6_bpe,
+    op7_mixing,
+    op8_ngram_join,
+    op9_quality_rules,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
