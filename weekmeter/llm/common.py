@@ -107,3 +107,12 @@ def ship(spark: SparkSession) -> None:
             out.write(file, file.relative_to(package.parent))
     context.addPyFile(str(target))
     _shipped.add(context.applicationId)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package has written under the shared folder."""
+    if not path.startswith(shared_path(spark) + "/"):
+        raise ValueError(f"{path} is not under the shared folder")
+    gateway = spark.sparkContext._jvm
+    target = gateway.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
