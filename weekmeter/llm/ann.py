@@ -4,11 +4,12 @@ Codes. Vectors are scaled to a common sphere (one more coordinate makes up for s
 largest inner product is the smallest angle). Rotations are learned on a bounded sample by iterative
 quantisation; the signs of the rotated coordinates are ``BITS`` bits.
 
-Index. The code is split into substrings of 16 bits, each with its table. Codes that differ in at most
-16 t + 15 bits differ in at most t bits of some substring, so probing all tables with every value within
-t bits retrieves every code within that radius. A query widens t until the angle of its K-th best vector
-so far makes it unlikely that a nearer one lies outside: the expected distance of two codes at that
-angle plus ``MARGIN`` standard deviations. All codes within the radius are reranked by inner product.
+Index. The code is split into 32 substrings of 8 bits, each with its table. Codes that differ in at most
+32 t + 31 bits differ in at most t bits of some substring, so probing all tables with every value within
+t bits retrieves every code within that radius. Retrieved codes are reranked by inner product, nearest
+first, until the angle of the K-th best vector so far makes it unlikely that a better one lies further
+out: the radius is the expected distance of two codes at that angle plus ``MARGIN`` standard deviations.
+If t does not reach that far, the next t is probed.
 
 Layout. Rows are dealt to blocks of about ``BLOCK`` vectors, queries to groups of ``GROUP``; each pair of
 block and group is one task's work, and gives K rows per query. Nothing is broadcast but the rotations.
@@ -35,10 +36,11 @@ from weekmeter.llm.common import cut, from_key, id_key, read
 K = 20
 QUERY_EVERY = 20
 BITS = 256
-SUB = 16
+SUB = 8
 SAMPLE = 4096
 ROUNDS = 15
-MARGIN = 1.5
+MARGIN = 1.25
+SHELL = 4  # bits by which the radius grows while reranking
 BLOCK = 1 << 16
 GROUP = 128
 
@@ -46,7 +48,7 @@ GROUP = 128
 @functools.lru_cache(maxsize=1)
 def _masks() -> list[np.ndarray]:
     """All substrings by their number of set bits."""
-    values = np.arange(1 << SUB, dtype=np.uint32)
+    values = np.arange(1 << SUB, dtype=np.uint8)
     set_ = np.bitwise_count(values)
     return [values[set_ == t] for t in range(SUB + 1)]
 
@@ -76,59 +78,64 @@ def on_sphere(vectors: np.ndarray, longest: float, query: bool = False) -> np.nd
 
 def codes(points: np.ndarray, rotations: np.ndarray) -> np.ndarray:
     """The substrings of each point's code."""
-    return np.packbits(points @ rotations >= 0, axis=1).view(np.uint16).astype(np.uint32)
+    return np.packbits(points @ rotations >= 0, axis=1)
 
 
 class MultiIndex:
     """The tables of one block of codes."""
 
     def __init__(self, subs: np.ndarray):
-        self.subs = subs
+        self.whole = np.ascontiguousarray(subs).view(np.uint64)
         self.order = [np.argsort(column, kind="stable") for column in subs.T]
         self.offsets = [
             np.concatenate(([0], np.cumsum(np.bincount(column, minlength=1 << SUB)))) for column in subs.T
         ]
 
     def probe(self, code: np.ndarray, t: int) -> np.ndarray:
-        """Rows that differ from the code in exactly t bits of some substring."""
-        found = np.zeros(len(self.subs), bool)
+        """Which rows differ from the code in exactly t bits of some substring."""
+        found = np.zeros(len(self.whole), bool)
         for value, order, offsets in zip(code, self.order, self.offsets, strict=True):
-            keys = _masks()[t] ^ value
+            keys = (_masks()[t] ^ value).astype(np.int64)
             starts = offsets[keys]
-            lengths = offsets[keys + 1] - starts
-            full = lengths > 0
-            found[order[W.segments(lengths[full], starts[full])]] = True
+            found[order[W.segments(offsets[keys + 1] - starts, starts)]] = True
         return found
 
     def distances(self, code: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(self.subs[rows] ^ code).sum(axis=1)
+        return np.bitwise_count(self.whole[rows] ^ code.view(np.uint64)).sum(axis=1)
 
 
-def search(index: MultiIndex, vectors: np.ndarray, ids: np.ndarray, longest: float, query: np.ndarray, own: int, code: np.ndarray, k: int):
+def search(
+    index: MultiIndex, vectors: np.ndarray, ids: np.ndarray, longest: float, query: np.ndarray, own: int,
+    code: np.ndarray, k: int,
+) -> tuple[np.ndarray, np.ndarray]:
     """The k best of a block for one query: ids and inner products, best first."""
-    bits = SUB * index.subs.shape[1]
-    seen = np.zeros(len(ids), bool)
+    bits = SUB * len(code)
     scale = longest * np.linalg.norm(query)
-    rows, scores, apart = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+    seen = ids == own
+    rows, apart = np.zeros(0, np.int64), np.zeros(0, np.int64)  # retrieved, not yet reranked
+    best_rows, best = np.zeros(0, np.int64), np.zeros(0)
+    radius = -1
     for t in range(SUB + 1):
-        new = index.probe(code, t) & ~seen
-        seen |= new
-        new = np.flatnonzero(new)
-        new = new[ids[new] != own]
-        rows = np.concatenate((rows, new))
-        apart = np.concatenate((apart, index.distances(code, new)))
-        # Summed row by row, so that equal vectors have equal products.
-        scores = np.concatenate((scores, (vectors[new] * query).sum(axis=1)))
-        radius = (t + 1) * SUB - 1
-        within = apart <= radius
-        if within.sum() >= k:
-            worst = -np.partition(-scores[within], k - 1)[k - 1]
-            share = np.arccos(np.clip(worst / scale, -1, 1)) / np.pi
-            if radius >= bits * share + MARGIN * np.sqrt(bits * share * (1 - share)):
-                break
-    rows, scores = rows[within], scores[within]
-    best = np.lexsort((ids[rows], -scores))[:k]
-    return ids[rows[best]], scores[best]
+        new = np.flatnonzero(index.probe(code, t) & ~seen)
+        seen[new] = True
+        rows, apart = np.concatenate((rows, new)), np.concatenate((apart, index.distances(code, new)))
+        reach = (t + 1) * (bits // SUB) - 1  # every code within this has been retrieved
+        while radius < reach:
+            radius = min(radius + SHELL, reach)
+            inside = apart <= radius
+            shell = rows[inside]
+            rows, apart = rows[~inside], apart[~inside]
+            if len(shell):
+                # Summed row by row, so that equal vectors have equal products.
+                best_rows = np.concatenate((best_rows, shell))
+                best = np.concatenate((best, (vectors[shell] * query).sum(axis=1)))
+                top = np.lexsort((ids[best_rows], -best))[:k]
+                best_rows, best = best_rows[top], best[top]
+            if len(best) == k:
+                share = np.arccos(np.clip(best[-1] / scale, -1, 1)) / np.pi
+                if radius >= bits * share + MARGIN * np.sqrt(bits * share * (1 - share)):
+                    return ids[best_rows], best
+    return ids[best_rows], best
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
