@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weekmeter.llm.ann import op10_ann
 from weekmeter.llm.bpe import op6_bpe
 from weekmeter.llm.chat import op1_chat
 from weekmeter.llm.common import ship
@@ -17,6 +18,7 @@ from weekmeter.llm.quality_knn import op2_quality_knn
 from weekmeter.llm.quality_rules import op9_quality_rules
 from weekmeter.llm.sharding import op3_sharding
 from weekmeter.llm.substring_dedup import op4_substring_dedup
+from weekmeter.llm.warc import op5_warc
 
 
 QUERIES = (
@@ -24,10 +26,12 @@ QUERIES = (
     op2_quality_knn,
     op3_sharding,
     op4_substring_dedup,
+    op5_warc,
     op6_bpe,
     op7_mixing,
     op8_ngram_join,
     op9_quality_rules,
+    op10_ann,
 )
 
 
