@@ -1,0 +1,32 @@
+import pyarrow as pa
+import pytest
+
+from weekmeter.llm.common import ship
+
+DOCUMENTS = pa.schema(
+    [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())]
+)
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    ship(spark)
+
+
+@pytest.fixture
+def documents(spark):
+    """Make a documents table of (doc_id, text) or (doc_id, text, source) rows, with more columns if named."""
+
+    def make(rows, **more):
+        schema = DOCUMENTS
+        full = []
+        for row in rows:
+            doc_id, text, source = (*row, "s")[:3]
+            full.append(
+                {"doc_id": doc_id, "text": text, "lang": None, "source": source, "n_chars": None if text is None else len(text)} | more
+            )
+        for name, value in more.items():
+            schema = schema.append(pa.field(name, pa.int64() if isinstance(value, int) else pa.string()))
+        return spark.createDataFrame(pa.Table.from_pylist(full, schema))
+
+    return make

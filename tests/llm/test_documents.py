@@ -1,0 +1,347 @@
+"""The other operators on documents against plain Python, and their defined results."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import plain
+from weekmeter.llm import bpe, mixing, quality_knn, quality_rules, sharding, substring_dedup
+from weekmeter.llm import words as W
+
+WORDS = [f"w{k}" for k in range(40)]
+LONG = " ".join(f"x{k}" for k in range(200_000))
+ODD = [
+    (None, "null id has words"), (2, None), (3, ""), (4, " \t\n\x0b\x0c\r "), (5, "z" * 3_000_000), (6, LONG),
+    (7, "same row"), (7, "same row"), (8, "one id"), (8, "two texts"), (9, "\x00\x1c\x85 é 日本語 🎉 ΑΣ\n\n#|<>\r\n"),
+]
+
+
+@pytest.fixture
+def labelled(spark, documents):
+    rnd = random.Random(4)
+    rows, labels = [], []
+    for k in range(200):
+        good = k % 2
+        lines = []
+        for _ in range(rnd.randint(3, 8)):
+            words = [rnd.choice(WORDS) + str(rnd.randint(0, 999)) for _ in range(rnd.randint(8, 20))]
+            lines.append(" ".join(words).capitalize() + "." if good else " ".join(w + "$$$ |" for w in words))
+        rows.append((k, "\n".join(lines)))
+        labels.append((k, good, 0))
+    return documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_words_and_hashes():
+    texts = ["a bb  ccc", " x\ty", None, "", "zz\nq ", "no", "the the The", "é ü\x0bx\x1cz", "q" * 3000 + " é"] * 3
+    got, hashes = [], []
+    for part in W.texts(pa.array(texts).slice(1), most=30):
+        found = W.words(part)
+        own = [bytes(part.data[a:b]).decode() for a, b in zip(found.starts, found.ends)]
+        got += [own[a:b] for a, b in zip(found.firsts[:-1], found.firsts[1:])]
+        hashes += list(zip(own, W.word_hashes(part.data, found).tolist()))
+    assert got == [plain.split(t) for t in texts[1:]]
+    assert len(set(hashes)) == len({w for w, _ in hashes}) == len({h for _, h in hashes})
+
+
+def test_hash_of_a_word_does_not_depend_on_its_place(monkeypatch):
+    monkeypatch.setattr(W, "PIECE", 64)
+    W._tables.clear()
+    try:
+        text = " ".join(["abc", "de", "y" * 200, "abc", "f" * 63] * 30)
+        part = next(W.texts(pa.array([text])))
+        found = W.words(part)
+        assert len(set(W.word_hashes(part.data, found).tolist())) == 4
+        lower = W.word_hashes(*(lambda p: (p.data, W.words(p)))(next(W.texts(pa.array(["ABC abc " + "Y" * 200 + " " + "y" * 200])))), lower=True)
+        assert len(set(lower.tolist())) == 2
+    finally:
+        W._tables.clear()
+
+
+# Quality rules
+
+
+def test_base_measures_on_odd_texts(documents):
+    field = quality_rules.LineField(np.zeros(len(quality_rules.FEATURES)), np.zeros((2, 2)))
+    rows = [*ODD, (20, "a b c a b c\na b c\na b c\n \n \n# # #"), (21, "x\r\nx\r\nx"), (22, "a a a a")]
+    found = quality_rules.quality_rules(documents(rows, quality=1, measures=2, n_words=3), field).collect()
+    got = sorted(tuple(r["quality"][:5]) for r in found)
+    assert got == sorted(plain.measures(t) for _, t in rows)
+    for r in found:
+        q = r["quality"]
+        assert q["base_failed"] == (q["n_words"] < 50 or 100 * q["n_repeat_words"] > 50 * q["n_words"])
+        assert not (q["base_failed"] and q["kept"])
+
+
+def test_field_learns_lines(spark, labelled):
+    docs, labels = labelled
+    field = quality_rules.fit_field(docs, labels)
+    kept = quality_rules.quality_rules(docs, field).select("doc_id", "quality.*").join(
+        labels.withColumnRenamed("quality", "label"), "doc_id"
+    ).collect()
+    good = [r for r in kept if not r["base_failed"]]
+    assert good and all(r["kept"] == (r["label"] == 1) for r in good)
+
+
+def test_viterbi_finds_the_best_of_all_sequences():
+    import itertools
+
+    rnd = np.random.default_rng(2)
+    for _ in range(200):
+        scores, steps = rnd.normal(size=rnd.integers(1, 7)), rnd.normal(size=(2, 2))
+        value = lambda y: sum(s for s, m in zip(scores, y) if m) + sum(steps[a][b] for a, b in zip(y, y[1:]))
+        best = max(itertools.product((0, 1), repeat=len(scores)), key=value)
+        assert [int(x) for x in quality_rules._viterbi(scores, steps.tolist())] == list(best)
+
+
+def test_rules_without_labels_keep_what_passes_the_base(spark, documents):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    docs = documents([(1, " ".join(f"word{k}" for k in range(60))), (2, "too short")])
+    field = quality_rules.fit_field(docs, labels)
+    assert {r["doc_id"]: r["quality"]["kept"] for r in quality_rules.quality_rules(docs, field).collect()} == {1: True, 2: False}
+    assert quality_rules.quality_rules(documents([]), field).collect() == []
+
+
+# Quality classifier
+
+
+def test_neighbours_vote_right_on_held_out_documents(labelled):
+    docs, labels = labelled
+    voters = quality_knn.fit_voters(docs, labels)
+    scored = quality_knn.quality_scores(docs, voters).join(labels, "doc_id")
+    rows = scored.where(quality_knn.held_out(F.col("doc_id"))).collect()
+    assert len(rows) > 20 and sum((r["score"] >= 0.7) == (r["quality"] == 1) for r in rows) >= 0.95 * len(rows)
+
+
+def test_labels_of_held_out_documents_are_not_used(labelled):
+    docs, labels = labelled
+    other = labels.withColumn("quality", F.when(quality_knn.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = quality_knn.fit_voters(docs, labels), quality_knn.fit_voters(docs, other)
+    assert np.array_equal(a.good, b.good) and np.array_equal(a.vectors, b.vectors)
+
+
+def test_scores_of_odd_texts(spark, documents, labelled):
+    voters = quality_knn.fit_voters(*labelled)
+    rows = quality_knn.quality_scores(documents(ODD, score=3), voters).collect()
+    assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
+    assert {r["score"] for r in rows if r["doc_id"] in (2, 3)} == {float(voters.good.mean())}
+    none = quality_knn.fit_voters(documents([]), spark.createDataFrame([], "doc_id long, quality int"))
+    assert {r["score"] for r in quality_knn.quality_scores(documents(ODD), none).collect()} == {0.5}
+    assert quality_knn.quality_scores(documents([]), voters).collect() == []
+
+
+# Sharding
+
+
+@pytest.mark.parametrize("count", [0, 1, 5, 8, 203])
+def test_shards_equal_those_of_placing_keys_one_by_one(spark, documents, count):
+    folder_rows = [(k * 7, f"text {k}") for k in range(count)]
+    docs = documents(folder_rows)
+    keyed = docs.select(F.col("doc_id").alias("id")).withColumns({"_ring": F.xxhash64("id"), "_order": F.xxhash64("id", F.lit("turn"))})
+    got = {r["id"]: (r["shard"], r["slot"]) for r in sharding.assign(keyed, ["_order", "id"]).collect()}
+    ring, limits, load, want = sharding.ring(8), sharding.capacities(count, 8), [0] * 8, {}
+    for r in sorted(keyed.collect(), key=lambda r: r["_order"]):
+        for s in ring[(r["_ring"] % 2**64) >> (64 - sharding.RING_BITS)]:
+            if load[s] < limits[s]:
+                want[r["id"]] = (s, load[s])
+                load[s] += 1
+                break
+    assert got == want
+
+
+def test_ring_has_every_shard_everywhere():
+    assert all(sorted(x) == list(range(8)) for x in sharding.ring(8))
+
+
+def test_narrow_ranges_give_the_same_shards(documents, monkeypatch):
+    keyed = documents([(k, "t") for k in range(300)]).select(F.col("doc_id").alias("id"))
+    keyed = keyed.withColumns({"_ring": F.xxhash64("id"), "_order": F.xxhash64("id", F.lit(1))})
+    wide = sorted(map(tuple, sharding.assign(keyed, ["_order"]).collect()))
+    monkeypatch.setattr(sharding, "RANGES", 3)
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 4)
+    assert sorted(map(tuple, sharding.assign(keyed, ["_order"]).collect())) == wide
+
+
+def test_sharding_query_on_odd_rows(spark, documents, tmp_path):
+    documents(ODD * 3).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sharding.op3_sharding(spark, str(tmp_path)).collect()
+    by = {s: sorted(r["slot"] for r in rows if r["shard"] == s) for s in range(8)}
+    assert sum(map(len, by.values())) == 3 * len(ODD) and max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    assert all(slots == list(range(len(slots))) for slots in by.values())
+    assert {(r["size"], r["text_crc32"]) for r in rows if r["doc_id"] == 2} == {(1, 0)}
+
+
+# Substring dedup
+
+
+def repeated_text(seed):
+    rnd = random.Random(seed)
+    passages = [[rnd.choice(WORDS) for _ in range(rnd.choice((19, 20, 21, 40, 90)))] for _ in range(6)]
+    rows = []
+    for k in range(60):
+        words = []
+        for _ in range(rnd.randint(0, 4)):
+            words += rnd.choice(passages)[rnd.randint(0, 2) :] if rnd.random() < 0.6 else [rnd.choice(WORDS) for _ in range(rnd.randint(1, 40))]
+        rows.append((k * 3, ("  " if rnd.random() < 0.3 else "\n").join(words)))
+    return rows + [(k + 1, t) for k, t in rows[10:20]] + [(500, " ".join(["again"] * 70)), (501, "x y " * 30)]
+
+
+@pytest.mark.parametrize("block", [50, 10**6])
+def test_removed_words_equal_those_of_plain_windows(documents, monkeypatch, block):
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    rows = repeated_text(block)
+    got = sorted((r["id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.deduplicated(documents(rows).repartition(3)).collect())
+    assert got == sorted((i, n, m, plain.sha(t)) for i, n, m, t in plain.without_repeats(rows))
+
+
+def test_factors_point_to_equal_earlier_words(documents):
+    rows = repeated_text(9)
+    docs = documents(rows)
+    found = substring_dedup.factors(substring_dedup.block_parse(docs, substring_dedup.repeated_anchors(substring_dedup.word_rows(docs).checkpoint())).checkpoint())
+    text = {i: plain.split(t) for i, t in rows}
+    count = 0
+    for r in found.collect():
+        for f in r["factors"]:
+            own = text[r["id"]][f["start"] : f["start"] + f["length"]]
+            assert own == text[f["source"]][f["source_start"] : f["source_start"] + f["length"]]
+            assert (f["source"], f["source_start"]) < (r["id"], f["start"]) and f["length"] >= 20
+            count += 1
+    assert count > 20
+
+
+def test_substring_dedup_on_odd_rows(spark, documents):
+    rows = [*ODD, (30, LONG), (None, " ".join(WORDS)), (31, " ".join(WORDS) + " tail"), (7, "same row")]
+    docs = documents(rows, id=1, sha=2, kept=3, anchors=4)
+    found = substring_dedup.deduplicated(docs).collect()
+    assert len(found) == len(rows)
+    by = {(r["id"], r["n_words"]): r["n_removed"] for r in found}
+    low = -(2**63)
+    assert by[6, 200_000] == 0 and by[30, 200_000] == 200_000 and by[low, 40] == 0 and by[31, 41] == 40
+    assert sorted(r["n_removed"] for r in found if r["id"] in (2, 3, 4, 7, 8)) == [0] * 8
+    left = substring_dedup.cut_repeats(spark, docs, "")
+    assert left.columns == docs.columns
+    texts = {(r["doc_id"], r["text"]) for r in left.collect()}
+    assert (31, "tail") in texts and not any(i == 30 for i, _ in texts) and (4, ODD[3][1]) in texts and left.count() == len(rows) - 1
+    assert substring_dedup.deduplicated(documents([])).collect() == []
+
+
+# Mixing
+
+
+def test_mix_of_odd_sources(documents):
+    rows = [(k, " ".join(["w"] * (k % 50)), [None, "a", "b", "é", ""][k % 5]) for k in range(300)] + [(1, None, "a"), (None, "x y", None)]
+    docs = documents(rows, target=5, _rest=6, size=7)
+    found = mixing.mix(docs, keep=["doc_id", "source", "_rest"]).collect()
+    assert len(found) == len(rows) and {r["_rest"] for r in found} == {6}
+    assert all(r["taken"] <= 3 * r["size"] and r["taken"] == sum(s["to_word"] - s["from_word"] for s in r["slices"]) for r in found)
+    total = sum(r["size"] for r in found)
+    sources = {r["source"]: (r["source_size"], r["target"]) for r in found}
+    assert abs(sum(t for _, t in sources.values()) - total) < 1e-6
+    for source, (size, target) in sources.items():
+        assert size == sum(r["size"] for r in found if r["source"] == source) and target <= 3 * size
+        assert abs(sum(r["taken"] for r in found if r["source"] == source) - target) <= 3 * mixing.BLOCK
+    again = mixing.mix(docs.repartition(5), keep=["doc_id", "source"]).select("doc_id", "source", "taken").collect()
+    key = lambda r: (str(r["doc_id"]), str(r["source"]), r["taken"])
+    assert sorted(map(key, again)) == sorted(map(key, found))
+
+
+def test_targets_stop_at_three_times_a_source(documents):
+    rows = [(k, "w " * 100, "a") for k in range(2)] + [(10 + k, "w " * 1000, "b") for k in range(10)] + [(50, "w " * 30, "c")]
+    found = {r["source"]: (r["source_size"], r["target"]) for r in mixing.mix(documents(rows)).collect()}
+    assert found == {"a": (200, 600.0), "b": (10_000, 9540.0), "c": (30, 90.0)}
+
+
+def test_quotas_are_sainte_lague(spark, documents):
+    import heapq
+
+    rnd = random.Random(8)
+    rows = [(k, "w " * rnd.randint(1, 400), f"s{k % 37}") for k in range(400)]
+    docs = documents(rows).withColumns({"size": F.regexp_count("text", F.lit(mixing.WORD)).cast("long"), "_none": F.lit(False), "_source": F.col("source")})
+    got = mixing.shard_quotas(mixing.source_targets(docs), 16, 8).orderBy("_order").collect()
+    total = sum(r["source_size"] for r in got)
+    house = (2 * total + 16) // 32
+    for shard in range(8):
+        seats = [0] * len(got)
+        heap = [(-r["target"], k) for k, r in enumerate(got)]
+        heapq.heapify(heap)
+        for _ in range(house * (shard + 1) // 8):
+            _, k = heap[0]
+            seats[k] += 1
+            heapq.heapreplace(heap, (-got[k]["target"] / (2 * seats[k] + 1), k))
+        assert [r["_quotas"][shard] for r in got] == [min(n, 3 * r["_blocks"]) for n, r in zip(seats, got)]
+
+
+def test_mixed_stage_keeps_columns_and_whole_texts(spark, documents):
+    docs = documents([(k, f"a{k}  b\nc " * 30, f"s{k % 3}") for k in range(30)] + [(90, None), (91, "")], taken=3, slices=4)
+    found = mixing.take_mix(spark, docs, "")
+    assert found.columns == docs.columns
+    rows = found.collect()
+    original = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert rows and all(r["text"] == original[r["doc_id"]] or r["text"] in " ".join(plain.split(original[r["doc_id"]])) for r in rows)
+    assert all(r["taken"] == 3 and r["n_chars"] == len(r["text"]) for r in rows)
+    assert mixing.mix(documents([])).collect() == []
+
+
+# Byte-pair encoding
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(bpe.default_path())
+
+
+@pytest.fixture(scope="module")
+def coder():
+    from pathlib import Path
+
+    return bpe.WordBpe(Path(bpe.default_path()).read_text())
+
+
+def test_ids_and_decoded_text_equal_the_library(library, coder):
+    rnd = random.Random(1)
+    letters = "etaoinshrdlu" * 4 + "bcfgjkmpqvwxyzABC'.,!#0123456789éüñÉ€ßλΣ日 \n\t"
+    texts = ["", "  ", "a<|endoftext|>b <|startoftext|>", "it's THEY'RE", "É İ ΑΣ é ́x", "日本語 123", "\x1c a\x85b\xa0c", "🎉", "x" * 5000, "ab" * 3000, "a\x00b"]
+    texts += ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 40))) for _ in range(4000)]
+    for text in texts:
+        want = library.encode(text, add_special_tokens=False).ids
+        ids = coder.encode(text.encode())
+        assert np.frombuffer(ids, "<u4").tolist() == want, text
+        assert b"".join(coder.decode(ids)).decode() == library.decode(want, skip_special_tokens=False)
+
+
+def test_every_token_that_ends_a_word_encodes_as_the_library(library, coder):
+    byte_of = bpe._byte_of_character()
+    for token in library.get_vocab():
+        if token.endswith("</w>"):
+            try:
+                word = bytes(byte_of[c] for c in token[:-4]).decode()
+            except (KeyError, UnicodeDecodeError):
+                continue
+            assert np.frombuffer(coder.encode(word.encode()), "<u4").tolist() == library.encode(word, add_special_tokens=False).ids
+
+
+def test_bounded_store_gives_the_same_ids(coder, monkeypatch):
+    text = " ".join(f"word{k} {k}" for k in range(500)).encode()
+    before = coder.encode(text)
+    monkeypatch.setattr(bpe, "STORE", 10)
+    coder.chunks.clear()
+    coder.words.clear()
+    assert coder.encode(text) == before
+
+
+def test_encode_and_decode_frames(spark, documents, library):
+    vocabulary = bpe.Vocabulary(spark, bpe.default_path())
+    encoded = bpe.encode(documents(ODD, ids=1, n_tokens=2), vocabulary)
+    rows = bpe.decode(encoded, vocabulary).collect()
+    digests = bpe.token_digests(documents(ODD), vocabulary).collect()
+    assert len(rows) == len(digests) == len(ODD)
+    for r in rows:
+        want = library.encode(r["text"] or "", add_special_tokens=False).ids
+        assert r["ids"] == want and r["decoded"] == library.decode(want, skip_special_tokens=False) and r["n_tokens"] == 2
+    assert sorted(r["n_tokens"] for r in digests) == sorted(len(r["ids"]) for r in rows)
+    assert {r["decoded_sha256"] for r in digests} == {plain.sha(r["decoded"]) for r in rows}
+    assert bpe.token_digests(documents([]), vocabulary).collect() == []

@@ -253,11 +253,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = vocabulary()
         encoded = [coder.encode(x) for x in _text_bytes(batch.column(place))]
-        offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in encoded]))).astype(np.int32)
-        ids = pa.array(np.frombuffer(b"".join(encoded), "<i4"))
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), ids)], [*kept, "ids"]
-        )
+        return pa.RecordBatch.from_arrays([*batch.columns, _id_lists(encoded)], [*kept, "ids"])
 
     return in_arrow(docs.select(*kept), work, schema)
 
@@ -285,18 +281,20 @@ def _id_bytes(column: pa.Array):
         yield values[a:b].tobytes()
 
 
-def token_digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def token_digests(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = False) -> DataFrame:
     """All columns but the text, with the number of ids and digests of the ids and of the decoded text.
 
-    The same encoder and decoder, without keeping ids and decoded text of a batch side by side.
+    The same encoder and decoder in one pass; the decoded text is digested piece by piece and not kept.
+    ``with_ids`` adds the ids themselves.
     """
-    kept = [c for c in docs.columns if c not in ("text", "n_tokens", "ids_sha256", "decoded_sha256")]
-    made = T.StructType.fromDDL("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    made = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    made = T.StructType.fromDDL(made)
+    kept = [c for c in docs.columns if c != "text" and c not in made.names]
     schema = T.StructType([*[docs.schema[c] for c in kept], *made])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = vocabulary()
-        counts, ids_digests, text_digests = [], [], []
+        counts, ids_digests, text_digests, every = [], [], [], []
         for text in _text_bytes(batch.column(len(kept))):
             ids = coder.encode(text)
             counts.append(len(ids) // 4)
@@ -305,20 +303,25 @@ def token_digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             for piece in coder.decode(ids):
                 decoded.update(piece)
             text_digests.append(decoded.hexdigest())
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(text_digests)],
-            schema.names,
-        )
+            if with_ids:
+                every.append(ids)
+        columns = [pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())]
+        if with_ids:
+            columns.append(_id_lists(every))
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], schema.names)
 
     return in_arrow(docs.select(*kept, F.col("text")), work, schema)
 
 
+def _id_lists(encoded: list[bytes]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in encoded]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(read(spark, folder, "documents").select("doc_id", "text"), Vocabulary(spark, default_path()))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage, the last: the ids of every text, and digests of both directions."""
-    vocabulary = Vocabulary(spark, default_path())
-    digests = token_digests(docs.withColumn("_text", F.col("text")), vocabulary)
-    return encode(digests.withColumnRenamed("_text", "text"), vocabulary).drop("text")
+    return token_digests(docs, Vocabulary(spark, default_path()), with_ids=True)

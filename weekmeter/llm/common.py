@@ -116,3 +116,11 @@ def remove(spark: SparkSession, path: str) -> None:
     gateway = spark.sparkContext._jvm
     target = gateway.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def set_aside(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Give all columns but the used ones names no operator uses; also how to name and order them as before."""
+    names = docs.columns
+    inner = {c: c if c in used else f"_c{k}" for k, c in enumerate(names)}
+    hidden = docs.select(*[F.col(f"`{c}`").alias(inner[c]) for c in names])
+    return hidden, lambda df: df.select(*[F.col(inner[c]).alias(c) for c in names])

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weekmeter.llm.common import cut, ranked, read
+from weekmeter.llm.common import cut, ranked, read, set_aside
 
 BLOCK = 16
 SHARDS = 8
@@ -118,17 +118,22 @@ def mix(
     A slice is one run of words that the mix takes: its first word, the word after its last, and the
     output shard that gets it. ``taken`` counts the words of all slices.
     """
-    own = [c for c in keep or docs.columns if c not in ("size", "source_size", "target", "taken", "slices")]
+    made = ("size", "source_size", "target", "taken", "slices")
+    own = [c for c in keep or docs.columns if c not in made]
+    docs, _ = set_aside(docs.select(*dict.fromkeys([*own, "doc_id", "text", "source"])), "doc_id", "text", "source")
+    named = dict(zip(docs.columns, own, strict=False))
+    inner = list(named)
     sized = docs.withColumns(
         {
             "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
             "_none": F.col("source").isNull(),
             "_source": F.coalesce("source", F.lit("")),
             "_place": _seeded(F.col("doc_id"), seed),
+            "_id": F.col("doc_id"),
         }
     ).withColumn("_part", F.substring("_place", 1, 3))
     # Written once: sizes are counted once, and the line is laid out over one fixed set of rows.
-    sized = cut(sized.select(*own, "size", "_none", "_source", "_place", "_part"))
+    sized = cut(sized.select(*inner, "size", "_id", "_none", "_source", "_place", "_part"))
     sources = cut(shard_quotas(source_targets(sized), block, shards))
 
     parts = sized.groupBy("_none", "_source", "_part").agg(F.sum("size").alias("_n"))
@@ -140,7 +145,7 @@ def mix(
         ),
         ["_none", "_source"],
     )
-    line = Window.partitionBy("_none", "_source", "_part").orderBy("_place", "doc_id", "size")
+    line = Window.partitionBy("_none", "_source", "_part").orderBy("_place", "_id", "size")
     placed = sized.withColumn(
         "_inner", F.coalesce(F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).join(parts, ["_none", "_source", "_part"])
@@ -178,7 +183,7 @@ def mix(
         .withColumn("_rest", quota - F.col("_rounds") * blocks)
         .withColumn("slices", slices)
         .withColumn("taken", F.aggregate("slices", F.lit(0).cast("long"), lambda n, s: n + s.to_word - s.from_word))
-        .select(*own, "size", "source_size", "target", "taken", "slices")
+        .select(*[F.col(c).alias(name) for c, name in named.items()], *made)
     )
 
 
@@ -189,16 +194,20 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def take_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: a row for each slice the mix takes; a whole text as it is, a part as its words."""
-    words = F.slice(
-        F.regexp_extract_all("text", F.lit(f"({WORD})")),
-        (F.col("_slice.from_word") + 1).cast("int"),
-        (F.col("_slice.to_word") - F.col("_slice.from_word")).cast("int"),
+    hidden, named = set_aside(docs, "doc_id", "text", "source", "n_chars")
+    rows = mix(hidden).withColumn("_slice", F.explode("slices"))
+    first, count = F.col("_slice.from_word"), F.col("_slice.to_word") - F.col("_slice.from_word")
+    whole = count == F.col("size")
+    words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})")), (first + 1).cast("int"), count.cast("int"))
+    rows = rows.withColumn("_part", F.when(~whole, F.concat_ws(" ", words)))
+    return named(
+        rows.withColumns(
+            {
+                "n_chars": F.when(whole, F.col("n_chars")).otherwise(F.length("_part").cast("long")),
+                "text": F.coalesce("_part", "text"),
+            }
+        )
     )
-    is_whole = F.col("_slice.to_word") - F.col("_slice.from_word") == F.col("size")
-    rows = mix(docs).withColumn("_slice", F.explode("slices"))
-    text = F.when(is_whole, F.col("text")).otherwise(F.concat_ws(" ", words))
-    count = F.when(is_whole, F.col("n_chars")).otherwise(F.length("_text").cast("long"))
-    return rows.withColumn("_text", text).withColumn("n_chars", count).withColumn("text", F.col("_text")).select(*docs.columns)
 
 
 ORACLE = r"""

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekmeter.llm import words as W
-from weekmeter.llm.common import cut, from_key, id_key, in_arrow, read
+from weekmeter.llm.common import cut, from_key, id_key, in_arrow, read, set_aside
 from weekmeter.llm.components import components
 
 SHINGLE = 5
@@ -397,7 +397,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     found = cut(jaccard_components(docs).select("id", "component"))
     gone = found.where("id <> component").select("id").distinct()
     again = found.groupBy("id").count().where("count > 1").select("id")
-    keyed = docs.withColumn("id", id_key("doc_id"))
+    hidden, named = set_aside(docs, "doc_id")
+    keyed = hidden.withColumn("id", id_key("doc_id"))
     left = keyed.join(gone, "id", "left_anti")
     once = left.join(again, "id", "left_anti")
-    return once.unionByName(left.join(again, "id", "left_semi").dropDuplicates(["id"])).select(*docs.columns)
+    return named(once.unionByName(left.join(again, "id", "left_semi").dropDuplicates(["id"])))

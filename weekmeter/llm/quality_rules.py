@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekmeter.llm import words as W
-from weekmeter.llm.common import in_arrow, read
+from weekmeter.llm.common import in_arrow, read, set_aside
 
 SAMPLE = 1000
 LEAST_WORDS = 50
@@ -268,9 +268,10 @@ def measure(column: pa.Array, field: LineField) -> list[np.ndarray]:
 def quality_rules(docs: DataFrame, field: LineField) -> DataFrame:
     """All columns of ``docs`` with ``quality``, a struct of the measures, base_failed and kept."""
     kept = [c for c in docs.columns if c != "quality"]
-    schema = T.StructType(
-        [*[docs.schema[c] for c in kept], T.StructField("_measures", T.StructType.fromDDL(MEASURES))]
-    )
+    made = "measures"
+    while made in kept:
+        made += "_"
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(made, T.StructType.fromDDL(MEASURES))])
     names = T.StructType.fromDDL(MEASURES).names
     place = kept.index("text")
 
@@ -279,9 +280,9 @@ def quality_rules(docs: DataFrame, field: LineField) -> DataFrame:
             return None
         found = measure(batch.column(place), field)
         struct = pa.StructArray.from_arrays([pa.array(x) for x in found], names)
-        return pa.RecordBatch.from_arrays([*batch.columns, struct], [*kept, "_measures"])
+        return pa.RecordBatch.from_arrays([*batch.columns, struct], [*kept, made])
 
-    m = F.col("_measures")
+    m = F.col(made)
     failed = (m.n_words < LEAST_WORDS) | (100 * m.n_repeat_words > MOST_REPEATED * m.n_words)
     return in_arrow(docs.select(*kept), work, schema).select(
         *kept,
@@ -302,4 +303,5 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: documents that the rules reject go."""
     field = fit_field(docs, read(spark, folder, "labels"))
-    return quality_rules(docs, field).where("quality.kept").select(*docs.columns)
+    hidden, named = set_aside(docs, "text")
+    return named(quality_rules(hidden, field).where("quality.kept"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weekmeter.llm import words as W
-from weekmeter.llm.common import cut, from_key, id_key, read
+from weekmeter.llm.common import cut, from_key, id_key, read, set_aside
 
 WINDOW = 20
 ANCHOR = 6
@@ -334,11 +334,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     changed = deduplicated(docs).where("n_removed > 0").select("id", "sha", "n_words", "n_removed", "kept")
     changed = cut(changed.dropDuplicates(["id", "sha"]))
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
-    keyed = docs.withColumns({"id": id_key("doc_id"), "sha": F.sha2(F.concat_ws(" ", words), 256)})
+    hidden, named = set_aside(docs, "doc_id", "text", "n_chars")
+    keyed = hidden.withColumns({"id": id_key("doc_id"), "sha": F.sha2(F.concat_ws(" ", words), 256)})
     left = keyed.join(changed, ["id", "sha"], "left").where("n_removed is null or n_removed < n_words")
-    return left.withColumns(
-        {
-            "n_chars": F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("kept").cast("long")),
-            "text": F.coalesce("kept", "text"),
-        }
-    ).select(*docs.columns)
+    return named(
+        left.withColumns(
+            {
+                "n_chars": F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("kept").cast("long")),
+                "text": F.coalesce("kept", "text"),
+            }
+        )
+    )
