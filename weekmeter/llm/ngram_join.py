@@ -15,9 +15,10 @@ the same in both. Each document therefore indexes the subsets that its H + 1 che
 - A set near the lower end of its band is indexed in the band below, too, where smaller partners are.
 
 Documents of one signature are a bucket. Every member is compared first with the centre of one of its
-buckets, then with the centres of the others unless they are in one component already; last, the pairs
-of a bucket that still lie in different components. Each comparison is exact, and none that could
-join two components is left out; the pairs within a group of copies are never listed.
+buckets, then with the centres of the others unless they are in one component already; last, in blocks,
+the members that still lie in different components. Sizes, and parities of hashed cells, tell at once
+that most pairs are not linked; the rest are compared exactly. No pair that could join two components
+is left out, and the pairs within a group of copies are never listed.
 
 Defined results: NULL and empty texts, and texts without words, have empty sets and link with nothing;
 texts of equal sets are one node from the start; a NULL id counts as the smallest; rows of one id are
@@ -45,6 +46,7 @@ SKETCH_BITS = 20
 SKETCH_ROW = 1 << 14  # counters in one row of the sketch while it is added up
 HOT_LEVEL = 14  # buckets expected to hold more than 2**14 documents are salted
 SALTS = 64
+MEMBERS = 1000  # nodes of a group that one block holds
 COPIES_SEEN = 200_000  # fingerprints remembered in a task, so that copies are indexed once
 
 U64 = np.uint64
@@ -165,12 +167,12 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """For each cell of a table of at least as many bits as shingles: whether an odd number falls there.
+    """For each cell of a table of at least two bits per shingle: whether an odd number falls there.
 
     Two tables differ in at most as many bits as the sets differ in shingles.
     """
     bits = 64
-    while bits < len(shingles):
+    while bits < 2 * len(shingles):
         bits *= 2
     odd = np.bincount((shingles & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
@@ -236,18 +238,30 @@ def _index_batch(signs, salts, nodes) -> pa.RecordBatch:
     )
 
 
-def bucket_stars(index: DataFrame) -> DataFrame:
-    """Members of buckets of two nodes or more, but for the centre (the greatest node): sign, node, centre."""
+def buckets(index: DataFrame) -> DataFrame:
+    """Members of buckets of two nodes or more: sign, node, and the number of members."""
     from pyspark.sql import Window
 
     bucket = Window.partitionBy("sign", "salt")
-    rows = index.withColumns({"centre": F.max("node").over(bucket), "least": F.min("node").over(bucket)})
-    rows = cut(rows.where("salt >= 0 or least <> centre").select("sign", "salt", "node", "centre").distinct())
-    # Hot buckets were dealt out by salt; their centres meet in a second, small step.
-    hot = rows.where("salt >= 0")
-    centres = hot.groupBy("sign").agg(F.max("centre").alias("centre"))
-    hot = hot.select("sign", "node").join(centres, "sign")
-    return rows.where("salt < 0").select("sign", "node", "centre").unionByName(hot).where("node <> centre")
+    rows = index.withColumns({"x": F.min("node").over(bucket), "y": F.max("node").over(bucket)})
+    # Hot buckets were dealt out by salt; whether they hold two nodes shows when their parts are counted.
+    rows = cut(rows.where("salt >= 0 or x <> y").select("sign", "node").distinct())
+    sizes = rows.groupBy("sign").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return rows.join(sizes, "sign")
+
+
+def bucket_stars(members: DataFrame) -> DataFrame:
+    """All members of each bucket but its centre, with the centre: sign, node, centre.
+
+    The centre is the member that has most company in all its buckets together: of a group of near
+    copies, that is the one nearest to what they have in common.
+    """
+    company = members.groupBy("node").agg(F.sum("members").alias("company"))
+    centres = (
+        members.join(company, "node").groupBy("sign").agg(F.max(F.struct("company", "node")).alias("m"))
+        .select("sign", F.col("m.node").alias("centre"))
+    )
+    return members.select("sign", "node").join(centres, "sign").where("node <> centre")
 
 
 def likely(pairs: DataFrame, holders: DataFrame) -> DataFrame:
@@ -275,6 +289,57 @@ def likely(pairs: DataFrame, holders: DataFrame) -> DataFrame:
     return in_arrow(sides, work, pairs.select("a", "b", *kept).schema)
 
 
+def within_groups(met: DataFrame, holders: DataFrame, found: DataFrame) -> DataFrame:
+    """Likely pairs (a, b) of different components among the nodes that have met one centre.
+
+    Groups are dealt to blocks of about ``MEMBERS``; every two blocks are one task's work, in arrays, and
+    only the pairs that sizes and parities leave are written out.
+    """
+    rows = met.select("b", "a").union(met.select("b", "b").distinct()).toDF("centre", "node")
+    of = found.select("node", "component")
+    rows = rows.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    groups = rows.groupBy("centre").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")
+    ).where("x <> y")
+    count = F.ceil(F.col("size") / MEMBERS).cast("int")
+    dealt = (
+        rows.join(groups.select("centre", count.alias("blocks")), "centre")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("centre", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "component")
+        .join(holders.select("node", "n", "parity"), "node")
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, component, n, own = (table.column(c).to_numpy() for c in ("node", "component", "n", "own"))
+        one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
+        parities = table.column("parity").to_pylist()
+        width = np.array([len(x) for x in parities])
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        for wide in np.unique(width):
+            for narrow in (wide, wide // 2):
+                left, right = np.flatnonzero(width == wide), np.flatnonzero(width == narrow)
+                if not len(right):
+                    continue
+                bits = np.array([np.frombuffer(parities[k], np.uint64) for k in left])
+                bits = np.bitwise_xor.reduce(bits.reshape(len(left), -1, narrow // 8), axis=1)
+                for at in right.tolist():
+                    mates = left[(component[left] != component[at]) & (5 * n[left] >= 4 * n[at]) & (5 * n[at] >= 4 * n[left])]
+                    if one != two:
+                        mates = mates[own[mates] != own[at]]
+                    if wide == narrow:
+                        mates = mates[node[mates] < node[at]]
+                    own_bits = np.frombuffer(parities[at], np.uint64)
+                    apart = np.bitwise_count(bits[np.searchsorted(left, mates)] ^ own_bits).sum(axis=1)
+                    mates = mates[apart <= (n[mates] + n[at]) // 9]
+                    pairs.append((node[mates], np.full(len(mates), node[at])))
+        a = np.concatenate([x for x, _ in pairs]) if pairs else np.zeros(0, np.int64)
+        b = np.concatenate([x for _, x in pairs]) if pairs else np.zeros(0, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return dealt.groupBy("centre", "one", "two").applyInArrow(compare, "a long, b long").distinct()
+
+
 def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The sets of some nodes: node, shingles. ``wanted`` has the node and the id of a row that holds it."""
 
@@ -348,34 +413,25 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(shingle_counts(docs))
     nodes = cut(shingled(docs))
-    stars = cut(bucket_stars(indexed(docs, counts)))
+    members = cut(buckets(indexed(docs, counts)))
+    stars = cut(bucket_stars(members))
     pairs = stars.groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    members = stars.select("node").union(stars.select("centre")).distinct()
     holders = cut(
         nodes.where("n > 0").groupBy("node")
         .agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("parity").alias("parity"))
-        .join(members, "node")
+        .join(members.select("node").distinct(), "node")
     )
 
     # Every member with the centre it shares most signatures with, then with its other centres.
-    pairs = cut(likely(pairs, holders))
+    met = cut(pairs)
+    pairs = cut(likely(met, holders))
     links = _Links(docs, holders, pairs)
     best = pairs.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     links.compare(best)
     links.compare(cut(links.apart(pairs.join(best, ["a", "b"], "left_anti"))))
 
-    # The pairs of a bucket that still lie in two components; those with the centre are settled.
-    of = links.found.select(F.col("node").alias("member"), "component")
-    bucket = stars.select("sign", F.col("node").alias("member"), "centre").join(of, "member", "left")
-    bucket = bucket.withColumn("component", F.coalesce("component", "member"))
-    open_ = bucket.groupBy("sign").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    left = cut(bucket.join(open_.select("sign"), "sign").select("sign", "member", "component"))
-    other = left.select("sign", F.col("member").alias("b"), F.col("component").alias("cb"))
-    rest = (
-        left.withColumnRenamed("member", "a").join(other, "sign")
-        .where("a < b and component <> cb").select("a", "b").distinct()
-    )
-    links.compare(cut(likely(rest, holders)))
+    # Two members of a bucket have its centre in common. What still lies apart there is compared in blocks.
+    links.compare(cut(within_groups(met, holders, links.found)))
 
     placed = nodes.select("id", "n", "node").join(links.found, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
