@@ -10,7 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-SHIFT_TYPES = ("purchase", "click", "view")
+# Event types that become rests; all others, also ones not seen before, become shifts.
 REST_TYPES = ("signup", "error")
 
 
@@ -117,13 +117,17 @@ def user_contracts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _events(spark: SparkSession, folder: str, types: tuple[str, ...], kind: str) -> DataFrame:
-    """Events of the given types. Regular members mostly work on their main contract (suffix 1)."""
-    listed = ", ".join(f"'{t}'" for t in types)
+def _events(spark: SparkSession, folder: str, rests: bool, kind: str) -> DataFrame:
+    """Rests or shifts. Regular members mostly work on their main contract (suffix 1).
+
+    Times keep their fraction of a second. Every 29th event starts in local time, two hours ahead.
+    """
+    listed = ", ".join(f"'{t}'" for t in REST_TYPES)
+    is_rest = f"coalesce(event_type in ({listed}), false)"
     ddl = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
     return (
         _read(spark, folder, "events", ddl)
-        .filter(f"event_type in ({listed})")
+        .filter(is_rest if rests else f"not {is_rest}")
         .selectExpr(
             "string(event_id) as id",
             """string(if(event_id % 37 = 0, null, user_id * 10 + case
@@ -131,8 +135,10 @@ def _events(spark: SparkSession, folder: str, types: tuple[str, ...], kind: str)
                  when user_id % 5 < 3 or event_id % 20 = 0 then 1
                  else 8 end)) as user_contract_id""",
             "string(user_id div 75) as account_id",
-            "if(event_id % 53 = 0, null, left(string(ts), 19)) as starts_at",
-            "left(string(ts + interval 8 hours), 19) as ends_at",
+            """case when event_id % 53 = 0 then null
+                 when event_id % 29 = 0 then concat(string(ts + interval 2 hours), '+02:00')
+                 else string(ts) end as starts_at""",
+            "string(ts + interval 8 hours) as ends_at",
             kind,
         )
     )
@@ -140,12 +146,12 @@ def _events(spark: SparkSession, folder: str, types: tuple[str, ...], kind: str)
 
 def shifts(spark: SparkSession, folder: str) -> DataFrame:
     kind = "if(event_id % 2 = 0, ' Planned ', 'ADHOC') as planification_type"
-    return _events(spark, folder, SHIFT_TYPES, kind)
+    return _events(spark, folder, False, kind)
 
 
 def rests(spark: SparkSession, folder: str) -> DataFrame:
     kind = "element_at(array('Vacation', ' SICK ', 'rest'), int(event_id % 3) + 1) as rest_type"
-    return _events(spark, folder, REST_TYPES, kind)
+    return _events(spark, folder, True, kind)
 
 
 class RawTables(Mapping):

@@ -52,13 +52,14 @@ activity as (
              when user_id % 5 < 3 or event_id % 20 = 0 then 1
              else 8 end)::varchar end as user_contract_id,
          (user_id // 75)::varchar as account_id,
-         case when event_id % 53 <> 0 then date_trunc('second', ts)::varchar end as starts_at,
-         date_trunc('second', ts + interval 8 hours)::varchar as ends_at
+         case when event_id % 53 <> 0 then case when event_id % 29 = 0
+             then (ts + interval 2 hours)::varchar || '+02:00' else ts::varchar end end as starts_at,
+         (ts + interval 8 hours)::varchar as ends_at
   from events),
 raw_shifts as (
   select id, user_contract_id, account_id, starts_at, ends_at,
          ([' Planned ', 'ADHOC'])[1 + event_id % 2] as planification_type
-  from activity where event_type in ('purchase', 'click', 'view')),
+  from activity where event_type is null or event_type not in ('signup', 'error')),
 raw_rests as (
   select id, user_contract_id, account_id, starts_at, ends_at,
          (['Vacation', ' SICK ', 'rest'])[1 + event_id % 3] as rest_type
@@ -79,11 +80,13 @@ stg_memberships as (
          firstname as first_name, lastname as last_name
   from raw_memberships left join spelling on word = lower(trim(active))),
 stg_rests as (
-  select id as rest_id, user_contract_id, account_id, starts_at::timestamp as starts_at_utc,
+  select id as rest_id, user_contract_id, account_id, (left(starts_at, 19) || coalesce(regexp_extract(starts_at, '\.[0-9]+'), ''))::timestamp
+         - coalesce(try_cast(nullif(regexp_extract(starts_at, '\+([0-9]{2}):00$', 1), '') as integer), 0) * interval 1 hour as starts_at_utc,
          ends_at::timestamp as ends_at_utc, lower(trim(rest_type)) as rest_type
   from raw_rests),
 stg_shifts as (
-  select id as shift_id, user_contract_id, account_id, starts_at::timestamp as starts_at_utc,
+  select id as shift_id, user_contract_id, account_id, (left(starts_at, 19) || coalesce(regexp_extract(starts_at, '\.[0-9]+'), ''))::timestamp
+         - coalesce(try_cast(nullif(regexp_extract(starts_at, '\+([0-9]{2}):00$', 1), '') as integer), 0) * interval 1 hour as starts_at_utc,
          ends_at::timestamp as ends_at_utc, lower(trim(planification_type)) as planification_type
   from raw_shifts),
 stg_user_contracts as (

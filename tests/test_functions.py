@@ -69,10 +69,29 @@ def test_impossible_date_fails_or_is_null(spark, bad):
     assert apply(spark, lambda c: dates.contract_date(c, permissive=True), [bad]) == [None]
 
 
-def test_utc_timestamp_keeps_the_wall_clock(spark):
-    given = ["2024-01-07 23:59:59", "2024-01-07T23:59:59", "2024-01-07 23:59:59+02:00", None]
-    want = [datetime(2024, 1, 7, 23, 59, 59)] * 3 + [None]
-    assert apply(spark, dates.utc_timestamp, given) == want
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_utc_timestamp_converts_offsets_and_zones(spark, zone):
+    given = [
+        "2024-01-07 23:59:59", "2024-01-07T23:59:59", "2024-01-08 01:30:00+02:00", "2024-01-08T01:30:00.25+02:00", "2024-01-07 23:30:00Z",
+        "2024-03-10 02:30:00", "2024-01-07 24:00:00-01:00", "2024/1/8 01:30:00 Europe/Paris", None,
+    ]
+    want = [
+        datetime(2024, 1, 7, 23, 59, 59), datetime(2024, 1, 7, 23, 59, 59), datetime(2024, 1, 7, 23, 30), datetime(2024, 1, 7, 23, 30, 0, 250000),
+        datetime(2024, 1, 7, 23, 30), datetime(2024, 3, 10, 2, 30), datetime(2024, 1, 8, 1), datetime(2024, 1, 8, 0, 30), None,
+    ]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert apply(spark, dates.utc_timestamp, given) == want
+        assert apply(spark, lambda c: dates.utc_timestamp(c, permissive=True), given) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_an_offset_moves_an_event_over_the_week_edge(spark):
+    def week(c):
+        return dates.week_start(dates.utc_timestamp(c).cast("date"))
+
+    assert apply(spark, week, ["2024-01-08 01:30:00+02:00", "2024-01-07 23:30:00-02:00"]) == [date(2024, 1, 1), date(2024, 1, 8)]
 
 
 def test_utc_timestamp_spellings(spark):
@@ -82,13 +101,13 @@ def test_utc_timestamp_spellings(spark):
     ]
     want = [
         datetime(2024, 1, 5, 10), datetime(2024, 1, 5), datetime(2024, 1, 5), datetime(2024, 1, 6), datetime(2024, 3, 1),
-        datetime(2025, 1, 1), datetime(2024, 1, 5, 10), datetime(2024, 1, 5, 10, 24), datetime(2024, 1, 5, 10, 0, 0, 123456),
+        datetime(2025, 1, 1), datetime(2024, 1, 5, 9), datetime(2024, 1, 5, 10, 24), datetime(2024, 1, 5, 10, 0, 0, 123456),
     ]
     assert apply(spark, dates.utc_timestamp, given) == want
     assert apply(spark, lambda c: dates.utc_timestamp(c, permissive=True), given) == want
 
 
-@pytest.mark.parametrize("bad", ["01/02/2024", "2024", "2024-01", "", "10:00:00", "soon", "2024-01-05 25:00:00", "2024-01-05 24:00:01"])
+@pytest.mark.parametrize("bad", ["01/02/2024", "2024", "2024-01", "", "10:00:00", "soon", "2024-01-05 25:00:00", "2024-01-05 24:00:01", "     2024", " 2024-01 ", "2024-01-01 24:00:00.5", "2024-01-01 10:24:00:00", "2024-01-05 10:00:00+99:00"])
 def test_bad_timestamp_fails_or_is_null(spark, bad):
     with pytest.raises(ERRORS):
         apply(spark, dates.utc_timestamp, [bad])

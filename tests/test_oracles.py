@@ -7,7 +7,9 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
+from testbed.oracles import oracle_sql
+from testbed.queries import queries
 
 FOLDERS = ("/root/testdata/sf0.001", "/root/testdata/sf0.01")
 SQL = oracle_sql()
@@ -45,4 +47,9 @@ def test_query_equals_sql(spark, data, name):
 
 
 def test_entry_has_rows(spark):
-    assert entry(spark).count() > 0
+    assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_all_queries_are_registered():
+    assert set(queries()) <= set(__spark_entry__.queries())
+    assert oracle_sql().items() <= __spark_entry__.oracle_sql().items()

@@ -4,8 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
-from testbed.queries import CHECKS
+from testbed.queries import CHECKS, queries
 from weekmeter.operators import quality
 from weekmeter.plans.lazy import LazyTables
 from weekmeter.schemas import RAW_COLUMNS, TABLES

@@ -13,33 +13,50 @@ ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
 DAY_FIRST_DATE = r"^\d{2}/\d{2}/\d{4}\z"
 DAY_FIRST_FORMAT = "dd/MM/yyyy"
 
-# A leading year/month/day (a slash later on belongs to a zone name), and the end of a
-# day written as an hour of that day.
+# A whole date, year first, that a time may follow (a slash later on belongs to a zone
+# name); an end of day written as an hour of that day, exactly; an offset or zone after a time.
 SLASHED_DATE = r"^(\s*\d+)/(\d+)/(\d+)"
+WHOLE_DATE = r"^\s*\d{1,4}([-/])\d{1,2}\1\d{1,2}([ T]|\s*\z)"
 DAY_END = "24:00:00"
+DAY_END_EXACT = r"[ T]24:00:00(\.0*)?\s*([A-Za-z+-].*)?\z"
+ZONED_TIME = r"\d:\d.*[A-Za-z+-]"
 
 
 def utc_timestamp(text: Column, permissive: bool = False) -> Column:
-    """Text to a zone-less timestamp; an offset in the text is ignored, the wall clock kept.
+    """Text to a zone-less timestamp in UTC; an offset or zone in the text is converted.
 
-    Three things a plain cast does otherwise are found by cheap checks, as this runs on every event:
-    slashes between year, month and day are read as dashes, 24:00:00 is the next midnight, and a
-    text without a full date fails (the cast would fill in January or the first).
+    Four things a plain cast does otherwise are found by cheap checks, as this runs on every event:
+    slashes between year, month and day are read as dashes, 24:00:00 (and no later) is the next
+    midnight, a text without a whole date fails (the cast would fill in January or the first), and a
+    time with an offset is converted (the cast would keep its wall clock).
     """
 
     def cast(value: Column) -> Column:
         return value.try_cast("timestamp_ntz") if permissive else value.cast("timestamp_ntz")
 
+    def converted(value: Column) -> Column:
+        moment = value.try_cast("timestamp") if permissive else value.cast("timestamp")
+        # As wall clock in UTC, whatever the session's zone.
+        return F.to_utc_timestamp(moment, F.current_timezone()).cast("timestamp_ntz")
+
+    def read(value: Column) -> Column:
+        return F.when(value.rlike(ZONED_TIME), converted(value)).otherwise(cast(value))
+
+    def refused(reason: str) -> Column:
+        return cast(F.concat(F.lit(f"{reason}: "), text))
+
     dashed = F.regexp_replace(text, SLASHED_DATE, "$1-$2-$3")
-    next_midnight = cast(F.replace(dashed, F.lit(DAY_END), F.lit("00:00:00"))) + F.expr(
-        "interval 1 day"
-    )
-    too_short = F.octet_length(text) < len("2024-1-1")
+    midnight = F.replace(dashed, F.lit(DAY_END), F.lit("00:00:00"))
+    usual = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
     return (
-        F.when(too_short, cast(F.concat(F.lit("not a date: "), text)))
-        .when(text.contains(DAY_END), next_midnight)
-        .when(text.contains("/"), cast(dashed))
-        .otherwise(cast(text))
+        F.when(~usual & ~text.rlike(WHOLE_DATE), refused("not a whole date"))
+        .when(
+            text.contains(DAY_END),
+            F.when(text.rlike(DAY_END_EXACT), read(midnight) + F.expr("interval 1 day")).otherwise(
+                refused("later than the end of the day")
+            ),
+        )
+        .otherwise(F.when(usual, read(text)).otherwise(read(dashed)))
     )
 
 
