@@ -8,10 +8,11 @@ from testbed.queries import CHECKS, queries
 from weekmeter.operators import quality
 from weekmeter.plans.lazy import LazyTables
 from weekmeter.schemas import RAW_COLUMNS, TABLES
-from weekmeter.session import shuffle_partitions
+from weekmeter.plans.rebuild import rebuild
+from weekmeter.session import GIB, MIB, estimated_bytes, scan_bytes, shuffle_partitions, sized_shuffles
 
 SMALL = "/root/testdata/sf0.001"
-WRITES = {"raw_csv_roundtrip", "row_count_audit", "dq_grain_duplicates", "dq_layer_reconciliation"}
+WRITES = {"raw_csv_roundtrip", "row_count_audit"}
 
 
 @pytest.fixture
@@ -131,8 +132,51 @@ def test_every_table_and_check_is_registered():
 
 def test_shuffle_partitions():
     assert shuffle_partitions(0) == 8
-    assert shuffle_partitions(100 << 40) == 409600
     assert shuffle_partitions((256 << 20) * 10 + 1) == 11
+    assert shuffle_partitions(1 << 40) == 4096
+    assert shuffle_partitions(130 << 40) == 133120  # 1 GiB each
+    assert scan_bytes(1 << 40) == 128 * MIB and 800 * MIB < scan_bytes(100 << 40) < 2 * GIB
+
+
+def test_rebuild_sizes_shuffles_from_its_input(spark, stored_raw, tmp_path, monkeypatch):
+    import weekmeter.plans.rebuild as module
+
+    seen = []
+    real = module.write_version
+
+    def look(*given):
+        seen.append((spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.files.maxPartitionBytes")))
+        return real(*given)
+
+    monkeypatch.setattr(module, "write_version", look)
+    monkeypatch.setattr(module, "estimated_bytes", lambda frames: 10 << 30)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rebuild(spark, stored_raw, str(tmp_path), groups=["staging"])
+    assert set(seen) == {("52", before)}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    with sized_shuffles(spark, 100 << 40):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 100_000
+        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) > 800 * MIB
+
+
+def test_estimated_bytes_are_those_of_the_files(spark):
+    import os
+
+    path = f"{SMALL}/events.parquet"
+    frame = spark.read.parquet(path)
+    assert abs(estimated_bytes([frame, frame.filter("user_id > 3")]) - 2 * os.path.getsize(path)) <= 2
+
+
+@pytest.mark.parametrize("check", ["orphans", "multi"])
+def test_reports_scan_contracts_once(stored_raw, no_broadcast, check):
+    t = LazyTables(stored_raw)
+    report = (
+        quality.orphan_contracts(t.stg_user_contracts, t.stg_memberships) if check == "orphans"
+        else quality.multi_contract_members(t.active_days, t.stg_user_contracts, t.stg_memberships)
+    )
+    text = plan(report)
+    assert len(re.findall(r"/raw_user_contracts\]", text)) == 1
+    assert "Expand" not in text
 
 
 def test_merging_copies_of_members_takes_no_shuffle_of_its_own(stored_raw, no_broadcast):

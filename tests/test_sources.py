@@ -1,12 +1,14 @@
+from decimal import Decimal
+
 import pytest
-from pyspark.sql import SparkSession
 
 from tests.helpers import contract, dicts, event, location, member, raw_frame, raw_tables, values
 from weekmeter.plans.lazy import LazyTables
 from weekmeter.plans.rebuild import rebuild
 from weekmeter.schemas import GROUPS, RAW_COLUMNS, RAW_FILES, TABLES
-from weekmeter.sources.csv_extracts import FREE_TEXT, read_extract, read_raw, write_raw
-from weekmeter.sources.tables import read_table, shared_folder, write_table
+from weekmeter.operators.pricing import Band, RateCard, Tier
+from weekmeter.sources.csv_extracts import Dialect, read_extract, read_raw, write_raw
+from weekmeter.sources.tables import children, read_audit, read_table, remove, shared_folder
 
 MULTI_LINE = pytest.mark.parametrize("multi_line", [True, False])
 
@@ -45,6 +47,41 @@ def test_broken_record_fails_a_split_read(spark, tmp_path, body, columns):
         read_extract(spark, path, columns, False).collect()
 
 
+@pytest.mark.parametrize("body", ['1,x,"two\n2,y,lines"\n', '1,x,"two\n2,y,"\n', '"1\n",x,y\n', '1,x,"a ""b\n2,y,c"" d"\n'])
+def test_torn_record_never_reads_as_two(spark, tmp_path, body):
+    path = write(tmp_path, "x.csv", "id,a,b\n" + body + "3,z,ok\n")
+    with pytest.raises(Exception):
+        read_extract(spark, path, ["id", "b"], False).collect()
+    assert read_extract(spark, path, ["id", "b"], True).count() == 2
+
+
+@MULTI_LINE
+def test_other_delimiter_and_quote(spark, tmp_path, multi_line):
+    path = write(tmp_path, "x.csv", "id;a;b\n1;37,5;'x; ''y'' z'\n2;\"q;\n")
+    df = read_extract(spark, path, ["id", "a", "b"], multi_line, Dialect(";", "'"))
+    assert values(df, "id", "a", "b") == [("1", "37,5", "x; 'y' z"), ("2", '"q', None)]
+
+
+def test_dialect_reaches_all_extracts(spark, tmp_path):
+    raw = raw_tables(spark, accounts=[{"id": "1", "name": "a;b"}], shifts=[event("1", "c")])
+    write_raw(spark, raw, str(tmp_path), Dialect(";"))
+    back = read_raw(spark, str(tmp_path), dialect=Dialect(";"))
+    assert values(back["raw_accounts"], "id", "name") == [("1", "a;b")]
+    assert values(back["raw_shifts"], *RAW_COLUMNS["raw_shifts"]) == values(raw["raw_shifts"], *RAW_COLUMNS["raw_shifts"])
+
+
+def test_memberships_are_split(spark, tmp_path):
+    for name, file in RAW_FILES.items():
+        rows = "".join(f"{i},u,a,true,r,f,l\n" for i in range(20000)) if name == "raw_memberships" else ""
+        write(tmp_path, file, ",".join(RAW_COLUMNS[name]) + "\n" + rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        members = read_raw(spark, str(tmp_path))["raw_memberships"]
+        assert members.rdd.getNumPartitions() > 2 and members.count() == 20000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 @MULTI_LINE
 def test_wrong_number_of_values_fails(spark, tmp_path, multi_line):
     path = write(tmp_path, "x.csv", "id,a,b\n1,x\n")
@@ -170,13 +207,89 @@ def test_strict_rebuild_fails_on_a_bad_end_time(spark, tmp_path):
     assert {r.table_name: r.rows_after for r in audit.collect()}["stg_shifts"] == 1
 
 
-def test_facts_are_stored_by_week(spark, tmp_path):
+def test_facts_and_weekly_tables_are_stored_by_week(spark, tmp_path):
     rebuild(spark, raw_tables(spark, **ROWS), str(tmp_path))
-    weeks = sorted(p.name for p in (tmp_path / "fct_account_billing_weekly").glob("week_start=*"))
+    weeks = sorted(p.name for p in (tmp_path / "fct_account_billing_weekly").glob("*/week_start=*"))
     assert weeks == ["week_start=2024-01-01", "week_start=2024-01-08", "week_start=__HIVE_DEFAULT_PARTITION__"]
-    one = read_table(spark, str(tmp_path), "fct_account_billing_weekly").filter("week_start = date'2024-01-08'")
-    assert "PartitionFilters: [isnotnull(week_start" in one._jdf.queryExecution().toString()
-    assert one.count() == 1
+    for name in ("fct_account_billing_weekly", "int_employee_activity_weekly", "int_billable_employees_weekly"):
+        one = read_table(spark, str(tmp_path), name).filter("week_start = date'2024-01-08'")
+        assert "PartitionFilters: [isnotnull(week_start" in one._jdf.queryExecution().toString()
+        assert one.count() == 1
+
+
+def extracts(spark, folder, **rows):
+    write_raw(spark, raw_tables(spark, **rows), str(folder))
+    return read_raw(spark, str(folder))
+
+
+def contents(spark, folder):
+    return {name: values(read_table(spark, folder, name), *table.columns) for name, table in TABLES.items()}
+
+
+def test_a_failed_rebuild_changes_no_table(spark, tmp_path):
+    # Over files, so that the run fails while it writes and not while it is planned.
+    tables = str(tmp_path / "tables")
+    rebuild(spark, extracts(spark, tmp_path / "good", **ROWS), tables)
+    before = contents(spark, tables)
+    bad = extracts(spark, tmp_path / "bad", **{**ROWS, "accounts": [], "shifts": [event("1", "c1"), event("2", "c1", end="soon")]})
+    with pytest.raises(Exception):
+        rebuild(spark, bad, tables)
+    assert contents(spark, tables) == before
+    assert all(len(children(spark, f"{tables}/{name}")) == 1 for name in TABLES)
+    rebuild(spark, bad, tables, groups=["intermediate", "facts"])
+    assert contents(spark, tables) == before
+
+
+def test_later_groups_fail_without_a_finished_write(spark, tmp_path):
+    tables = str(tmp_path / "tables")
+    bad = extracts(spark, tmp_path / "bad", **{**ROWS, "shifts": [event("1", "c1", end="soon")]})
+    with pytest.raises(Exception):
+        rebuild(spark, bad, tables)
+    with pytest.raises(ValueError, match="no finished write"):
+        rebuild(spark, bad, tables, groups=["intermediate"])
+    with pytest.raises(ValueError, match="no finished write"):
+        read_table(spark, tables, "stg_accounts")
+
+
+def test_old_versions_go_and_the_audit_stays(spark, tmp_path):
+    raw = raw_tables(spark, **ROWS)
+    for _ in range(4):
+        rebuild(spark, raw, str(tmp_path), groups=["staging"])
+    assert len(children(spark, str(tmp_path / "stg_shifts"))) == 2
+    assert len(children(spark, str(tmp_path / "_current"))) == 2
+    audit = read_audit(spark, str(tmp_path))
+    assert audit.select("run").distinct().count() == 4 and audit.filter("table_name = 'stg_shifts' and rows_after = 4").count() == 4
+
+
+def test_a_reader_keeps_its_version_over_the_next_rebuild(spark, tmp_path):
+    rebuild(spark, raw_tables(spark, **ROWS), str(tmp_path))
+    shifts = read_table(spark, str(tmp_path), "stg_shifts")
+    rebuild(spark, raw_tables(spark, **{**ROWS, "shifts": []}), str(tmp_path))
+    assert shifts.count() == 4 and read_table(spark, str(tmp_path), "stg_shifts").count() == 0
+
+
+def test_other_rate_cards_are_stored_whole_and_exact(spark, tmp_path):
+    card = RateCard(
+        (Tier("all", None, 10),),
+        (Band("first_seat", 1, 1, Decimal("1.125")), Band("second_seat", 2, 2, Decimal("0.1")), Band("others", 3, None, Decimal("7"))),
+    )
+    rows = {**ROWS, "shifts": ROWS["shifts"] + [event("5", "c2")]}
+    rebuild(spark, raw_tables(spark, **rows), str(tmp_path), rates=card)
+    fact = read_table(spark, str(tmp_path), "fct_location_revenue_weekly")
+    assert fact.schema["total_location_revenue"].dataType.simpleString() == "decimal(19,3)"
+    found = values(
+        fact.filter("week_start is not null"),
+        "billable_employee_count", "first_seat", "second_seat", "others", "extra_employee_cost", "total_location_revenue",
+    )
+    assert found == [(1, 1, 0, 0, Decimal("1.125"), Decimal("11.125")), (2, 1, 1, 0, Decimal("1.225"), Decimal("11.225"))]
+    bill = read_table(spark, str(tmp_path), "fct_account_billing_weekly")
+    assert Decimal("11.225") in [r.expected_weekly_revenue for r in bill.collect()]
+
+
+def test_remove(spark, tmp_path):
+    write(tmp_path, "x", "1")
+    remove(spark, str(tmp_path / "x"))
+    assert children(spark, str(tmp_path)) == [] == children(spark, str(tmp_path / "gone"))
 
 
 def test_shared_folder_is_under_the_configured_one(spark, tmp_path):

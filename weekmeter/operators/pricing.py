@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekmeter.schemas import MONEY
+from weekmeter.schemas import TABLES, Table, money
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,23 @@ class RateCard:
     tiers: tuple[Tier, ...]
     bands: tuple[Band, ...]
 
+    @property
+    def money(self) -> str:
+        """The type of amounts: with as many decimals as the rates have, two at least."""
+        return money(max([2, *(-band.rate.as_tuple().exponent for band in self.bands)]))
+
+    def tables(self) -> dict[str, Table]:
+        """All tables, the facts with this card's bands and amounts."""
+        bands = "".join(f"{band.column} bigint, " for band in self.bands)
+        own = {
+            "fct_location_revenue_weekly": "account_id string, location_id string, week_start date, "
+            "billable_employee_count bigint, location_size string, is_billable_location boolean, "
+            f"base_price int, {bands}extra_employee_cost {self.money}, total_location_revenue {self.money}",
+            "fct_account_billing_weekly": "account_id string, week_start date, billable_locations bigint, "
+            f"billable_employees bigint, expected_weekly_revenue {self.money}",
+        }
+        return {name: replace(table, ddl=own.get(name, table.ddl)) for name, table in TABLES.items()}
+
     def size_of(self, head_count: Column) -> Column:
         *limited, largest = self.tiers
         size = F.lit(largest.size)
@@ -72,7 +89,7 @@ STANDARD_RATES = RateCard(
 def location_revenue(metrics: DataFrame, rates: RateCard = STANDARD_RATES) -> DataFrame:
     """Price each location and week. Locations that are not billable stay, at zero.
 
-    Rates are decimals, so money is exact.
+    Rates are decimals and amounts keep all their decimals, so money is exact.
     """
     head_count = F.col("billable_employee_count")
 
@@ -94,12 +111,12 @@ def location_revenue(metrics: DataFrame, rates: RateCard = STANDARD_RATES) -> Da
     )
     return priced.select(
         "*",
-        extra.cast(MONEY).alias("extra_employee_cost"),
-        (F.col("base_price") + extra).cast(MONEY).alias("total_location_revenue"),
+        extra.cast(rates.money).alias("extra_employee_cost"),
+        (F.col("base_price") + extra).cast(rates.money).alias("total_location_revenue"),
     )
 
 
-def account_billing(revenue: DataFrame) -> DataFrame:
+def account_billing(revenue: DataFrame, rates: RateCard = STANDARD_RATES) -> DataFrame:
     """Billable locations, their employees, and revenue per account and week.
 
     Employees are summed over locations: a member at two locations counts twice.
@@ -110,7 +127,7 @@ def account_billing(revenue: DataFrame) -> DataFrame:
         F.sum(F.when(billable, F.col("billable_employee_count")).otherwise(0)).alias(
             "billable_employees"
         ),
-        F.sum("total_location_revenue").cast(MONEY).alias("expected_weekly_revenue"),
+        F.sum("total_location_revenue").cast(rates.money).alias("expected_weekly_revenue"),
     )
 
 

@@ -48,13 +48,17 @@ def orphan_events(events: DataFrame, contracts: DataFrame) -> DataFrame:
 
 
 def orphan_contracts(contracts: DataFrame, memberships: DataFrame) -> DataFrame:
-    """Contracts whose membership is NULL or unknown. The NULL ones need no join."""
-    rows = contracts.select("user_contract_id", "account_id", "membership_id")
-    without = rows.filter(F.col("membership_id").isNull())
-    unknown = rows.filter(F.col("membership_id").isNotNull()).join(
+    """Contracts whose membership is NULL or unknown, with one scan of the contracts.
+
+    Contracts without a membership match nothing and stay; grouped by all that is shown, their copies
+    and those of a hot membership merge before the join, and are counted out again after it.
+    """
+    columns = ["user_contract_id", "account_id", "membership_id"]
+    orphans = contracts.groupBy(*columns).agg(_rows()).join(
         memberships.select("membership_id").distinct(), "membership_id", "left_anti"
     )
-    return without.unionByName(unknown)
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("row_count")))
+    return orphans.select(*columns, copies.alias("copy")).select(*columns)
 
 
 def boolean_spellings(raw_locations: DataFrame, raw_memberships: DataFrame) -> DataFrame:
@@ -109,24 +113,25 @@ def multi_contract_members(
 ) -> DataFrame:
     """Members with more than one contract active in a week, with their contracts and locations.
 
-    ``activity`` is as for ``contract_activity``. Contracts of members that hold just one are left out before activity is joined: most members
-    do, and counting two columns distinctly doubles the rows it is given.
+    ``activity`` is as for ``contract_activity``. Its rows hold a contract once per week and location,
+    so contracts are grouped with the least and the greatest location each, and then counted.
     """
-    contract = F.col("user_contract_id")
+    rows = contract_activity(activity, contracts, memberships)
+    member = ["account_id", "week_start", "membership_id"]
     several = (
-        contracts.groupBy(*MEMBER_KEY)
-        .agg(F.min(contract).alias("first"), F.max(contract).alias("last"))
-        .filter("first < last")
-    )
-    candidates = contracts.join(several.select(*MEMBER_KEY), MEMBER_KEY, "left_semi")
-    return (
-        contract_activity(activity, candidates, memberships)
-        .groupBy("account_id", "week_start", "membership_id")
+        rows.groupBy(*member)
         .agg(
-            F.count_distinct("user_contract_id").alias("contract_count"),
-            F.count_distinct("location_id").alias("location_count"),
+            F.min("user_contract_id").alias("first"),
+            F.max("user_contract_id").alias("last"),
+            F.collect_set("user_contract_id").alias("contracts"),
+            F.collect_set("location_id").alias("locations"),
         )
-        .filter("contract_count > 1")
+        .filter("first < last")
+    )
+    return several.select(
+        *member,
+        F.size("contracts").cast("bigint").alias("contract_count"),
+        F.size("locations").cast("bigint").alias("location_count"),
     )
 
 
@@ -155,6 +160,16 @@ def grain_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union([check(name, df) for name, df in tables.items()])
 
 
+# The tables whose totals are compared.
+RECONCILED = (
+    "int_all_schedules",
+    "int_employee_activity_daily",
+    "int_employee_activity_weekly",
+    "fct_location_revenue_weekly",
+    "fct_account_billing_weekly",
+)
+
+
 def layer_reconciliation(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Totals that must agree between a table and the one built from it."""
     rows = F.count(F.lit(1))

@@ -100,7 +100,7 @@ class LazyTables:
 
     @cached_property
     def fct_account_billing_weekly(self) -> DataFrame:
-        return pricing.account_billing(self.fct_location_revenue_weekly)
+        return pricing.account_billing(self.fct_location_revenue_weekly, self.rates)
 
     @cached_property
     def dim_accounts(self) -> DataFrame:

@@ -8,15 +8,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weekmeter.operators import activity, attribution, dimensions, pricing, staging
 from weekmeter.operators.pricing import STANDARD_RATES, RateCard
-from weekmeter.schemas import GROUPS, TABLES
-from weekmeter.sources.tables import read_table, write_table
+from weekmeter.schemas import GROUPS
+from weekmeter.session import estimated_bytes, sized_shuffles
+from weekmeter.sources.tables import (
+    Version,
+    current_versions,
+    discard,
+    finish,
+    new_run,
+    read_version,
+    write_version,
+)
 from weekmeter.sources.together import run_together
 
-# Groups whose tables do not read one another, so they are written at the same time.
-INDEPENDENT = ("staging", "dimensions")
-
 AUDIT = "table_name string, rows_before bigint, rows_after bigint"
 
+# What is written at the same time, phase by phase; the tables of one line one after the other.
+PHASES = (
+    (
+        ("stg_accounts",), ("stg_locations",), ("stg_memberships",),
+        ("stg_rests",), ("stg_shifts",), ("stg_user_contracts",),
+    ),
+    (
+        (
+            "int_all_schedules", "int_employee_activity_daily", "int_employee_activity_weekly",
+            "int_billable_employees_weekly", "int_location_metrics_weekly",
+        ),
+        ("dim_accounts",), ("dim_locations",), ("dim_memberships",),
+    ),
+    (
+        ("dim_calendar_weekly",),
+        ("fct_location_revenue_weekly", "fct_account_billing_weekly"),
+    ),
+)
+
 
 def rebuild(
     spark: SparkSession,
@@ -28,12 +53,22 @@ def rebuild(
 ) -> DataFrame:
     """Replace the tables of the chosen groups and return the audit: one row per written table.
 
-    Tables of groups left out must be in ``folder`` already. ``rows_before`` is given for the two
-    roll-ups and counts the table they read.
+    All of them change together once the last is written; a run that fails leaves every table as it
+    was. Tables of groups left out must be in ``folder`` already. ``rows_before`` is given for the
+    two roll-ups and counts the table they read. The audit is stored with the run, too.
+
+    Shuffles are sized from the estimated size of the raw tables, if the session's setting is lower.
     """
+    tables = rates.tables()
+    run = new_run()
+    stored_before = current_versions(spark, folder)
+    written: dict[str, int] = {}
 
     def stored(name: str) -> DataFrame:
-        return read_table(spark, folder, name)
+        version = Version(run, tables[name].ddl) if name in written else stored_before.get(name)
+        if version is None:
+            raise ValueError(f"no finished write of {name} in {folder}")
+        return read_version(spark, folder, name, version)
 
     steps = {
         "stg_accounts": lambda: staging.accounts(raw["raw_accounts"], permissive),
@@ -69,7 +104,7 @@ def rebuild(
             stored("int_location_metrics_weekly"), rates
         ),
         "fct_account_billing_weekly": lambda: pricing.account_billing(
-            stored("fct_location_revenue_weekly")
+            stored("fct_location_revenue_weekly"), rates
         ),
     }
 
@@ -78,22 +113,24 @@ def rebuild(
     if unknown:
         raise ValueError(f"unknown groups {sorted(unknown)}; choose from {list(GROUPS)}")
 
-    written: dict[str, int] = {}
-
-    def write(name: str) -> None:
-        written[name] = write_table(steps[name](), folder, name)
-
-    for group in GROUPS:
-        names = [name for name, table in TABLES.items() if table.group == group and group in chosen]
-        if group in INDEPENDENT:
-            run_together(spark, write, names)
-        else:
-            for name in names:
-                write(name)
-
-    audit = [
-        (name, written.get(table.counts_input), written[name])
-        for name, table in TABLES.items()
-        if name in written
-    ]
+    started: list[str] = []
+
+    def write(names: tuple[str, ...]) -> None:
+        for name in names:
+            if tables[name].group in chosen:
+                started.append(name)
+                written[name] = write_version(steps[name](), folder, name, tables[name], run)
+
+    def audit_row(name: str) -> tuple[str, int | None, int]:
+        return name, written.get(tables[name].counts_input), written[name]
+
+    try:
+        with sized_shuffles(spark, estimated_bytes(raw.values())):
+            for phase in PHASES:
+                run_together(spark, write, [x for x in phase if any(tables[n].group in chosen for n in x)])
+        audit = [audit_row(name) for name in tables if name in written]
+        finish(spark, folder, run, {name: tables[name].ddl for name in written}, audit)
+    except BaseException:
+        discard(spark, folder, run, started)
+        raise
     return spark.createDataFrame(audit, AUDIT)

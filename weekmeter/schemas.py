@@ -26,7 +26,12 @@ RAW_COLUMNS = {
     ],
 }
 
-MONEY = "decimal(18,2)"
+def money(decimals: int) -> str:
+    """An exact amount below 10**16 with so many decimals."""
+    return f"decimal({16 + decimals},{decimals})"
+
+
+MONEY = money(2)
 
 
 @dataclass(frozen=True)
@@ -54,7 +59,7 @@ _MEMBERSHIP = (
     "role string, first_name string, last_name string"
 )
 
-# In rebuild order: a table only reads tables above it.
+# In rebuild order: a table only reads tables above it. Names, columns and types.
 TABLES = {
     "stg_accounts": Table("staging", _ACCOUNT, ("account_id",)),
     "stg_locations": Table("staging", _LOCATION, ("location_id",)),
@@ -88,6 +93,7 @@ TABLES = {
         "user_contract_id string, account_id string, activity_date date, week_start date, "
         "schedule_count bigint, had_activity int",
         ("user_contract_id", "account_id", "activity_date"),
+        partition_by=("week_start",),
         counts_input="int_all_schedules",
     ),
     "int_employee_activity_weekly": Table(
@@ -95,6 +101,7 @@ TABLES = {
         "user_contract_id string, account_id string, week_start date, "
         "active_days_in_week bigint, had_activity_in_week int",
         ("user_contract_id", "account_id", "week_start"),
+        partition_by=("week_start",),
         counts_input="int_employee_activity_daily",
     ),
     "int_billable_employees_weekly": Table(
@@ -102,12 +109,14 @@ TABLES = {
         "account_id string, week_start date, membership_id string, location_id string, "
         "user_contract_id string, active_days_in_week bigint, is_billable_employee int",
         ("account_id", "week_start", "membership_id", "location_id"),
+        partition_by=("week_start",),
     ),
     "int_location_metrics_weekly": Table(
         "intermediate",
         "account_id string, location_id string, week_start date, billable_employee_count bigint, "
         "is_archived boolean, is_billable_location boolean, location_size string",
         ("account_id", "location_id", "week_start"),
+        partition_by=("week_start",),
     ),
     "dim_accounts": Table("dimensions", _ACCOUNT, ("account_id",)),
     "dim_locations": Table("dimensions", _LOCATION, ("location_id",)),

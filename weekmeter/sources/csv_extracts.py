@@ -3,63 +3,109 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weekmeter.schemas import RAW_COLUMNS, RAW_FILES
 from weekmeter.sources.together import run_together
 
-# Extracts with free text, where a quoted value may hold a line break. Such files cannot be split,
-# so each is one task. The others carry ids, times and codes, hold nearly all the rows, and are
-# split; a line break inside one of their values fails the read (it is never misread silently).
-FREE_TEXT = ("raw_accounts", "raw_locations", "raw_memberships")
+# Extracts with free text, where a quoted value may hold a line break, and which do not grow with
+# users. Such files are read whole, each by one task. The others are split; a record in them that a
+# quoted line break has torn apart fails the read.
+FREE_TEXT = ("raw_accounts", "raw_locations")
 
-# Quotes are doubled inside quoted values, and spaces belong to the value.
-_FORMAT = {
-    "header": True,
-    "quote": '"',
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-}
 
+@dataclass(frozen=True)
+class Dialect:
+    """How extracts are written: what is between values, and what quotes them (doubled inside)."""
 
-def read_extract(spark: SparkSession, path: str, columns: Iterable[str], multi_line: bool) -> DataFrame:
+    delimiter: str = ","
+    quote: str = '"'
+
+    def options(self) -> dict[str, object]:
+        return {
+            "header": True,
+            "sep": self.delimiter,
+            "quote": self.quote,
+            "escape": self.quote,
+            # Spaces belong to the value.
+            "ignoreLeadingWhiteSpace": False,
+            "ignoreTrailingWhiteSpace": False,
+        }
+
+
+def read_extract(
+    spark: SparkSession,
+    path: str,
+    columns: Iterable[str],
+    multi_line: bool,
+    dialect: Dialect = Dialect(),
+) -> DataFrame:
     """Read one file, or a folder of files, by header name and as text.
 
-    Without a schema and without inference Spark reads only the header line up front. Every file's
-    header is then checked against it, and a record with a wrong number of values fails the read
-    (column pruning would skip that check, so it is off).
+    Without a schema and without inference Spark reads only the header line up front. A record with
+    a wrong number of values fails the read, and so do files whose headers differ.
+
+    With ``multi_line`` each file is one task's work, its header is checked by Spark, and values may
+    hold line breaks. Without, files are split and a line is a record; as every whole record holds an
+    even number of quotes, a line with an odd one is part of a record that goes on, and fails the read.
     """
-    return (
-        spark.read.options(**_FORMAT)
-        .option("multiLine", multi_line)
-        .option("enforceSchema", False)
-        .option("columnPruning", False)
-        .option("mode", "FAILFAST")
-        .csv(path)
-        .select(*columns)
+    reader = spark.read.options(**dialect.options())
+    if multi_line:
+        # Column pruning would skip the check of the number of values.
+        return (
+            reader.option("multiLine", True).option("enforceSchema", False)
+            .option("columnPruning", False).option("mode", "FAILFAST").csv(path).select(*columns)
+        )
+    return _split_lines(spark, path, reader.csv(path).columns, dialect).select(*columns)
+
+
+def _split_lines(spark: SparkSession, path: str, names: list[str], dialect: Dialect) -> DataFrame:
+    """Lines of one or more files as records; header lines go, other headers and torn records fail."""
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit(dialect.quote), F.lit("")))
+    ddl = ", ".join(f"`{name}` string" for name in names)
+    options = {key: str(value) for key, value in dialect.options().items() if key != "header"}
+    parsed = spark.read.text(path).where(line != "").select(
+        F.when(quotes % 2 == 0, F.from_csv(line, ddl, options | {"mode": "FAILFAST"}))
+        .otherwise(F.raise_error(F.concat(F.lit("a quoted value goes on after the end of the line: "), line)))
+        .alias("record")
     )
+    values = F.array(*(F.col(f"record.`{name}`") for name in names))
+    header = F.array(*map(F.lit, names))
+    # A line made of column names is a header; one in another order, or of other files, fails.
+    named = F.size(F.array_intersect(values, header))
+    own = F.array_compact(values) == header
+    foreign = ~own & (2 * named > len(names))
+    checked = F.when(foreign, F.raise_error(F.lit("a header differs from the first one")).cast("boolean")).otherwise(~own)
+    return parsed.where(checked).select(*(F.col(f"record.`{name}`").alias(name) for name in names))
 
 
 def read_raw(
-    spark: SparkSession, folder: str, free_text: Iterable[str] = FREE_TEXT
+    spark: SparkSession,
+    folder: str,
+    free_text: Iterable[str] = FREE_TEXT,
+    dialect: Dialect = Dialect(),
 ) -> dict[str, DataFrame]:
     """The six raw tables of a folder of extracts, lazily."""
     free_text = set(free_text)
     return {
         name: read_extract(
-            spark, f"{folder.rstrip('/')}/{file}", RAW_COLUMNS[name], name in free_text
+            spark, f"{folder.rstrip('/')}/{file}", RAW_COLUMNS[name], name in free_text, dialect
         )
         for name, file in RAW_FILES.items()
     }
 
 
-def write_raw(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> None:
+def write_raw(
+    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, dialect: Dialect = Dialect()
+) -> None:
     """Write raw tables as extracts that ``read_raw`` reads (each "file" is a folder of parts)."""
 
     def write(name: str) -> None:
         path = f"{folder.rstrip('/')}/{RAW_FILES[name]}"
-        raw[name].write.mode("overwrite").options(**_FORMAT).csv(path)
+        raw[name].write.mode("overwrite").options(**dialect.options()).csv(path)
 
     run_together(spark, write, RAW_FILES)
