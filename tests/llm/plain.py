@@ -67,3 +67,45 @@ def jaccard_groups(rows):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def mixed(rows, block=16):
+    """The slices (doc_id, first word, word after the last) that the mix takes of (doc_id, text, source) rows."""
+    import heapq
+
+    sizes = {i: len(split(t)) for i, t, _ in rows}
+    order = sorted({s for _, _, s in rows}, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    size = {s: sum(sizes[i] for i, _, x in rows if x == s) for s in order}
+    total, share, closed = sum(size.values()), 0.0, set()
+    while True:
+        share = (total - sum(3 * size[s] for s in closed)) / sum(weight[s] for s in order if s not in closed)
+        more = {s for s in order if 3 * size[s] / weight[s] < share}
+        if more == closed:
+            break
+        closed = more
+    target = {s: min(3.0 * size[s], share * weight[s]) for s in order}
+    blocks = {s: -(-size[s] // block) for s in order}
+    seats = dict.fromkeys(order, 0)
+    heap = [(-target[s], k, s) for k, s in enumerate(order) if target[s] > 0]
+    heapq.heapify(heap)
+    for _ in range((2 * total + block) // (2 * block)):
+        _, k, s = heap[0]
+        seats[s] += 1
+        heapq.heapreplace(heap, (-target[s] / (2 * seats[s] + 1), k, s))
+    out = []
+    for s in order:
+        quota = min(seats[s], 3 * blocks[s])
+        n = max(blocks[s], 1)
+        first = int(hashlib.md5(f"mix:{s or ''}".encode()).hexdigest()[:8], 16) % n
+        rounds, rest = divmod(quota, n)
+        own = sorted((i for i, _, x in rows if x == s), key=lambda i: hashlib.md5(f"mix:{i}".encode()).hexdigest())
+        place = 0
+        for i in own:
+            begin, end = place, place + sizes[i]
+            place = end
+            runs = [(begin, end)] * rounds
+            for low, high in ((first * block, min((first + rest) * block, size[s])), (0, (first + rest - blocks[s]) * block)):
+                runs.append((max(begin, low), min(end, high)))
+            out += [(i, a - begin, b - begin) for a, b in runs if b > a]
+    return out
