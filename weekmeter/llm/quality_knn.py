@@ -35,6 +35,8 @@ LATENT = 64
 BITS = 11  # 2048 cells for byte n-grams, as many for class n-grams
 CELLS = 1 << BITS
 TERMS = 2 * CELLS + 2
+REPEATS = 30  # a text of one word over and over counts as so many repeats
+EMPHASIS = 8  # of that one term beside some hundred n-grams
 BLOCK = 512  # texts whose terms and cosines are held at a time
 GOOD = 0.7
 
@@ -75,9 +77,11 @@ def term_counts(column: pa.Array):
                     terms[k, :CELLS] = np.bincount(raw[a:b], minlength=CELLS)
                     terms[k, CELLS : 2 * CELLS] = np.bincount(shape[a:b], minlength=CELLS)
                 c, d = found.firsts[row], found.firsts[row + 1]
-                terms[k, -2] = again[c + 1 : d].sum()
+                terms[k, -2] = REPEATS * again[c + 1 : d].sum() / max(d - c, 1)
             terms[:, -1] = lines[some.start : some.stop]
-            yield range(part.rows.start + some.start, part.rows.start + some.stop), np.log1p(terms)
+            terms = np.log1p(terms)
+            terms[:, -2] *= EMPHASIS
+            yield range(part.rows.start + some.start, part.rows.start + some.stop), terms
 
 
 @dataclass(frozen=True)
