@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from weekmeter.llm import bpe, mixing, ngram_join, quality_rules, substring_dedup
-from weekmeter.llm.common import shared_path, ship
+from weekmeter.llm.common import remove, shared_path, ship
 
 STAGES = [
     ("quality rules", quality_rules.keep_good),
@@ -26,11 +26,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to the documents of a folder. Results of stages are left in the shared folder."""
+    """Apply the stages to the documents of a folder.
+
+    Each stage's result is written to the shared folder, and removed once the next one is written; the
+    last one stays for the frame that is returned.
+    """
     ship(spark)
     target = f"{shared_path(spark)}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{target}/{number}")
         docs = spark.read.parquet(f"{target}/{number}")
+        if number:
+            remove(spark, f"{target}/{number - 1}")
     return docs
