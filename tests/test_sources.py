@@ -308,6 +308,11 @@ class Cluster:
         master = "spark://host:7077"
 
 
-def test_cluster_must_name_a_shared_folder():
+def test_cluster_must_name_a_shared_folder(monkeypatch):
     with pytest.raises(ValueError):
         shared_folder(Cluster, "x")
+    monkeypatch.setattr(Cluster.conf, "get", staticmethod(lambda key, default=None: "file:/tmp/x"))
+    with pytest.raises(ValueError):
+        shared_folder(Cluster, "x")
+    monkeypatch.setattr(Cluster.conf, "get", staticmethod(lambda key, default=None: "hdfs://name/x"))
+    assert shared_folder(Cluster, "y").startswith("hdfs://name/x/y-")

@@ -147,12 +147,11 @@ def remove(spark: SparkSession, path: str) -> None:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for written tables, under the shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session, whose one machine is shared by all its tasks, may go without the setting,
-    or name a folder of that machine without the hosts of a cluster mounting it.
+    Only a local session, whose one machine is shared by all its tasks, may go without the setting
+    or name a folder of that machine (``file:``).
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="weekmeter-")
+    if not spark.sparkContext.master.startswith("local") and (not base or base.startswith("file:")):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    base = base or tempfile.mkdtemp(prefix="weekmeter-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
