@@ -247,4 +247,6 @@ def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(given)
     template = Template(spark, default_path())
     found = read_back(format_conversations(rows, template), template)
-    return found.select(from_key("conv").alias("conv_id"), *[c for c in found.columns if c != "conv"])
+    return found.select(
+        from_key("conv").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"
+    )

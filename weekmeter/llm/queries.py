@@ -11,9 +11,9 @@ from weekmeter.llm.ann import op10_ann
 from weekmeter.llm.bpe import op6_bpe
 from weekmeter.llm.chat import op1_chat
 from weekmeter.llm.common import ship
-from weekmeter.llm.mixing import ORACLE as MIXING_SQL
 from weekmeter.llm.mixing import op7_mixing
 from weekmeter.llm.ngram_join import op8_ngram_join
+from weekmeter.llm.oracles import SQL
 from weekmeter.llm.quality_knn import op2_quality_knn
 from weekmeter.llm.quality_rules import op9_quality_rules
 from weekmeter.llm.sharding import op3_sharding
@@ -49,4 +49,4 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": MIXING_SQL}
+    return dict(SQL)
