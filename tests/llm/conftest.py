@@ -1,7 +1,7 @@
 import pyarrow as pa
 import pytest
 
-from weekmeter.llm.common import ship
+from weekmeter.llm.common import prepare
 
 DOCUMENTS = pa.schema(
     [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())]
@@ -10,7 +10,7 @@ DOCUMENTS = pa.schema(
 
 @pytest.fixture(scope="session", autouse=True)
 def shipped(spark):
-    ship(spark)
+    prepare(spark)
 
 
 @pytest.fixture

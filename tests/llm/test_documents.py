@@ -327,10 +327,11 @@ def test_every_token_that_ends_a_word_encodes_as_the_library(library, coder):
 def test_bounded_store_gives_the_same_ids(coder, monkeypatch):
     text = " ".join(f"word{k} {k}" for k in range(500)).encode()
     before = coder.encode(text)
-    monkeypatch.setattr(bpe, "STORE", 10)
-    coder.chunks.clear()
-    coder.words.clear()
-    assert coder.encode(text) == before
+    for store in (coder.chunks, coder.words, coder.allowed):
+        monkeypatch.setattr(store, "most", 10)
+    coder.forget()
+    assert coder.encode(text) == before == coder.encode(text)
+    assert len(coder.words) <= 10 and len(coder.words.aside) <= 10
 
 
 def test_encode_and_decode_frames(spark, documents, library):

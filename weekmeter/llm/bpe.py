@@ -29,7 +29,8 @@ from pyspark.sql import types as T
 
 from weekmeter.llm.common import in_arrow, read
 
-STORE = 300_000  # chunks, and words, remembered by one Python worker
+CHUNKS = 60_000  # chunks of text that a Python worker remembers, twice at most, while a task runs
+WORDS = 200_000  # words, and pairs of tokens, likewise
 DECODE_PIECE = 1 << 16  # ids decoded at a time
 
 # Fixed values of the file format: how bytes are written as printable characters, and the word pattern.
@@ -45,16 +46,29 @@ def _byte_of_character() -> dict[str, int]:
 
 
 class _Store(dict):
-    """Remembers results of ``make`` for a bounded number of keys; emptied when full."""
+    """Remembers results of ``make`` for a bounded number of keys.
 
-    def __init__(self, make):
+    When full, all are put aside, and what is asked for again comes back: frequent keys stay.
+    """
+
+    def __init__(self, make, most: int):
         super().__init__()
         self.make = make
+        self.most = most
+        self.aside: dict = {}
+
+    def forget(self) -> None:
+        self.clear()
+        self.aside = {}
 
     def __missing__(self, key):
-        if len(self) >= STORE:
+        if len(self) >= self.most:
+            self.aside = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.aside.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -104,14 +118,14 @@ class WordBpe:
                     self.shorter[number] = self.ids[symbols[:k]]
                     break
         self.automaton.make_automaton()
-        self.allowed = _Store(self._may_touch)
+        self.allowed = _Store(self._may_touch, WORDS)
 
         self.special = {x["content"]: x["id"] for x in file["added_tokens"]}
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.words_in = regex.compile(WORD_PATTERN).findall
         self.library = Tokenizer.from_str(text)
-        self.words = _Store(self._word)
-        self.chunks = _Store(self._chunk)
+        self.words = _Store(self._word, WORDS)
+        self.chunks = _Store(self._chunk, CHUNKS)
 
         names = {number: token for token, number in vocabulary.items()} | {n: t for t, n in self.special.items()}
         table = [(names.get(n, "") + " ").encode() for n in range(max(names) + 1)]
@@ -146,6 +160,8 @@ class WordBpe:
     def merge(self, symbols: str) -> list[int]:
         """The tokens of one word, given as symbols."""
         size = len(symbols)
+        if symbols in self.ids:  # the longest match from the start, and there is no neighbour
+            return [self.ids[symbols]]
         longest = [0] * size
         reach = [0] * size
         for end, (number, length) in self.automaton.iter(symbols):
@@ -196,6 +212,11 @@ class WordBpe:
         """The ids of a text in UTF-8, as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.chunks.__getitem__, text.split()))
 
+    def forget(self) -> None:
+        """Give back the memory of remembered words; the worker may go on with other work."""
+        for store in (self.chunks, self.words, self.allowed):
+            store.forget()
+
     def decode(self, ids: bytes):
         """Pieces of the decoded text: the tokens as written in the file, one space between them."""
         numbers = np.frombuffer(ids, "<u4").astype(np.int64)
@@ -231,6 +252,9 @@ class Vocabulary:
     def __call__(self) -> WordBpe:
         return _built(self._text.value)
 
+    def forget(self) -> None:
+        self().forget()
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -255,7 +279,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         encoded = [coder.encode(x) for x in _text_bytes(batch.column(place))]
         return pa.RecordBatch.from_arrays([*batch.columns, _id_lists(encoded)], [*kept, "ids"])
 
-    return in_arrow(docs.select(*kept), work, schema)
+    return in_arrow(docs.select(*kept), work, schema, vocabulary.forget)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -310,7 +334,7 @@ def token_digests(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = Fals
             columns.append(_id_lists(every))
         return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], schema.names)
 
-    return in_arrow(docs.select(*kept, F.col("text")), work, schema)
+    return in_arrow(docs.select(*kept, F.col("text")), work, schema, vocabulary.forget)
 
 
 def _id_lists(encoded: list[bytes]) -> pa.Array:

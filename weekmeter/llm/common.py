@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOWEST_ID = -(2**63)
+BATCH = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -50,14 +53,24 @@ def from_key(column: str) -> Column:
     return F.when(F.col(column) != LOWEST_ID, F.col(column))
 
 
-def in_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType) -> DataFrame:
-    """Apply ``work`` to every Arrow batch; batches for which it returns None add no rows."""
+def in_arrow(
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: T.StructType,
+    after: Callable[[], None] | None = None,
+) -> DataFrame:
+    """Apply ``work`` to every Arrow batch; batches for which it returns None add no rows.
+
+    ``after`` is called when a task has had its last batch.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = work(batch)
             if out is not None and out.num_rows:
                 yield out
+        if after:
+            after()
 
     return df.mapInArrow(run, schema)
 
@@ -95,8 +108,14 @@ def running_total(parts: DataFrame, order: str, amount: str, name: str) -> DataF
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, for sessions that do not find it there."""
+def prepare(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, and bound the batches they exchange.
+
+    ``BATCH`` bytes of rows go to Python at a time: with long texts, Spark's default number of rows
+    makes batches that do not fit several times into an executor. Set for good, and only downwards.
+    """
+    if int(spark.conf.get(BATCH_SETTING).rstrip("b")) > BATCH:
+        spark.conf.set(BATCH_SETTING, str(BATCH))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -118,6 +137,17 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def prepared(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query or pipeline stage that prepares the session first."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *given) -> DataFrame:
+        prepare(spark)
+        return query(spark, *given)
+
+    return run
+
+
 def set_aside(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """Give all columns but the used ones names no operator uses; also how to name and order them as before."""
     names = docs.columns

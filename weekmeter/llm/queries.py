@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weekmeter.llm.ann import op10_ann
 from weekmeter.llm.bpe import op6_bpe
 from weekmeter.llm.chat import op1_chat
-from weekmeter.llm.common import ship
+from weekmeter.llm.common import prepared
 from weekmeter.llm.mixing import op7_mixing
 from weekmeter.llm.ngram_join import op8_ngram_join
 from weekmeter.llm.oracles import SQL
@@ -36,16 +35,7 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: _shipped(query) for query in QUERIES}
-
-
-def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    @functools.wraps(query)
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        ship(spark)
-        return query(spark, folder)
-
-    return run
+    return {query.__name__: prepared(query) for query in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
