@@ -11,14 +11,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from weekmeter.llm import bpe, mixing, ngram_join, quality_rules, substring_dedup
-from weekmeter.llm.common import remove, shared_path, ship
+from weekmeter.llm.common import prepared, remove, shared_path
 
 STAGES = [
-    ("quality rules", quality_rules.keep_good),
-    ("n-gram Jaccard join", ngram_join.keep_one_of_each),
-    ("substring dedup", substring_dedup.cut_repeats),
-    ("mixing sources to target weights", mixing.take_mix),
-    ("BPE encoding and decoding", bpe.tokenize),
+    ("quality rules", prepared(quality_rules.keep_good)),
+    ("n-gram Jaccard join", prepared(ngram_join.keep_one_of_each)),
+    ("substring dedup", prepared(substring_dedup.cut_repeats)),
+    ("mixing sources to target weights", prepared(mixing.take_mix)),
+    ("BPE encoding and decoding", prepared(bpe.tokenize)),
 ]
 
 # Line labelling, similarity joins and merges have no SQL form; tests hold run() against plain Python.
@@ -31,7 +31,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each stage's result is written to the shared folder, and removed once the next one is written; the
     last one stays for the frame that is returned.
     """
-    ship(spark)
     target = f"{shared_path(spark)}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
