@@ -144,13 +144,13 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
         for k in range(0, cells, SKETCH_ROW):
             row = total[k : k + SKETCH_ROW]
             if row.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([row.tobytes()])], ["first", "cells"])
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([row.astype(np.uint32).tobytes()])], ["first", "cells"])
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for first, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                row = np.frombuffer(row, np.int64)
+                row = np.frombuffer(row, np.uint32).astype(np.int64)
                 sums[first] = sums[first] + row if first in sums else row
         for first, row in sums.items():
             level = np.ceil(np.log2(np.maximum(row, 1))).astype(np.uint8)
