@@ -314,7 +314,7 @@ def test_ids_and_decoded_text_equal_the_library(library, coder):
 
 
 def test_every_token_that_ends_a_word_encodes_as_the_library(library, coder):
-    byte_of = bpe._byte_of_character()
+    byte_of = bpe.byte_of_character()
     for token in library.get_vocab():
         if token.endswith("</w>"):
             try:

@@ -40,7 +40,7 @@ WORD_END = "</w>"
 PLAIN = re.compile(r"[\x00-ɏ]*\Z")  # no combining marks: NFC leaves such text alone
 
 
-def _byte_of_character() -> dict[str, int]:
+def byte_of_character() -> dict[str, int]:
     others = [b for b in range(256) if b not in PRINTABLE]
     return {chr(b): b for b in PRINTABLE} | {chr(256 + k): b for k, b in enumerate(others)}
 
@@ -89,7 +89,7 @@ class WordBpe:
         if model["type"] != "BPE" or model["end_of_word_suffix"] != WORD_END:
             raise ValueError("not a BPE file with word ends")
         vocabulary = model["vocab"]
-        byte_of = _byte_of_character()
+        byte_of = byte_of_character()
         self.symbols: dict[int, str] = {}
         for token, number in vocabulary.items():
             if len(token) == 1:
@@ -230,7 +230,7 @@ class WordBpe:
             yield self.table[np.arange(ends[-1]) + np.repeat(begin - (ends - lengths), lengths)].tobytes()
 
 
-_PRINTED = _byte_of_character()
+_PRINTED = byte_of_character()
 
 
 def model_token(model: dict, merge) -> str:

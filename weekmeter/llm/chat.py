@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weekmeter.llm.bpe import _byte_of_character
+from weekmeter.llm.bpe import byte_of_character
 from weekmeter.llm.common import from_key, id_key, in_arrow, read
 
 TURN, ROLE_END, TURN_END = "### ", ": ", "</turn>\n"
@@ -71,7 +71,7 @@ class Coder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
-        byte_of = _byte_of_character()
+        byte_of = byte_of_character()
         file = json.loads(text)
         special = {x["id"] for x in file["added_tokens"]}
         size = max([*file["model"]["vocab"].values(), *special]) + 1

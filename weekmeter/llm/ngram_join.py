@@ -31,8 +31,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekmeter.llm import words as W
 from weekmeter.llm.common import cut, from_key, id_key, in_arrow, read, set_aside
@@ -192,16 +193,10 @@ def shingled(docs: DataFrame) -> DataFrame:
             ["id", "n", "node", "parity"],
         )
 
-    schema = _schema("id long, n long, node long, parity binary")
+    schema = T.StructType.fromDDL("id long, n long, node long, parity binary")
     return in_arrow(docs.select(id_key("doc_id").alias("id"), "text"), work, schema)
 
 
-def _schema(ddl: str):
-    from pyspark.sql import types as T
-
-    return T.StructType.fromDDL(ddl)
-
-
 def indexed(docs: DataFrame, counts) -> DataFrame:
     """The index rows: signature, salt (-1 unless the bucket is expected to be hot), node."""
 
@@ -240,8 +235,6 @@ def _index_batch(signs, salts, nodes) -> pa.RecordBatch:
 
 def buckets(index: DataFrame) -> DataFrame:
     """Members of buckets of two nodes or more: sign, node, and the number of members."""
-    from pyspark.sql import Window
-
     bucket = Window.partitionBy("sign", "salt")
     rows = index.withColumns({"x": F.min("node").over(bucket), "y": F.max("node").over(bucket)})
     # Hot buckets were dealt out by salt; whether they hold two nodes shows when their parts are counted.

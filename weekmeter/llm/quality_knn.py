@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from weekmeter.llm import words as W
 from weekmeter.llm.common import in_arrow, read
-from weekmeter.llm.quality_rules import _earlier
+from weekmeter.llm.quality_rules import earlier_in_row
 
 SAMPLE = 1200
 NEIGHBOURS = 15
@@ -65,7 +65,7 @@ def term_counts(column: pa.Array):
         starts = starts[starts < len(part.data)]
         stops = np.concatenate((starts[1:], [len(part.data)])) if len(starts) else starts
         line_rows = np.searchsorted(part.offsets, starts, "right") - 1
-        line_again = _earlier(line_rows, W.word_hashes(part.data, W.Words(starts, stops, np.array([0, len(starts)]))))
+        line_again = earlier_in_row(line_rows, W.word_hashes(part.data, W.Words(starts, stops, np.array([0, len(starts)]))))
         lines = np.bincount(line_rows[line_again], minlength=len(part.rows))
         raw, shape = (_grams(x) if len(x) > 3 else np.zeros(0, np.int64) for x in (part.data, _CLASS[part.data]))
         for first in range(0, len(part.rows), BLOCK):

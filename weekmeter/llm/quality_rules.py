@@ -72,7 +72,7 @@ class Lines:
     features: np.ndarray
 
 
-def _earlier(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def earlier_in_row(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which entries equal an earlier one of the same row."""
     order = np.lexsort((np.arange(len(rows)), hashes, rows))
     same = np.zeros(len(rows), bool)
@@ -97,9 +97,9 @@ def lines_of(part: W.Texts, found: W.Words, hashes: np.ndarray, sums: dict[str,
     count = last - first
     ranges = W.Words(starts, stops, np.array([0, len(starts)]))
     line_hashes = W.word_hashes(part.data, ranges)
-    repeats = _earlier(rows, line_hashes)
+    repeats = earlier_in_row(rows, line_hashes)
     of_line = np.repeat(np.arange(len(starts)), count)
-    again = _earlier(of_line, hashes[W.segments(count, first)])
+    again = earlier_in_row(of_line, hashes[W.segments(count, first)])
     size = np.maximum(stops - starts, 1)
     features = np.empty((len(starts), len(FEATURES)), np.float32)
     for k, name in enumerate(CLASSES):
@@ -234,7 +234,7 @@ def measure(column: pa.Array, field: LineField) -> list[np.ndarray]:
         sums = _class_sums(part)
         rows = len(part.rows)
         lead = np.concatenate(([0], np.cumsum((part.data & 0xC0) != 0x80)))
-        blank = np.concatenate(([0], np.cumsum(W._SPACE[part.data])))
+        blank = np.concatenate(([0], np.cumsum(W.SPACE[part.data])))
         chars = np.diff((lead - blank)[part.offsets])
         symbols = np.diff(sums["symbol"][part.offsets])
 

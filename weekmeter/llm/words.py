@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C13 | 3
@@ -89,7 +89,7 @@ class Words(NamedTuple):
 
 def words(part: Texts) -> Words:
     inside = np.zeros(len(part.data) + 2, bool)
-    inside[1:-1] = ~_SPACE[part.data]
+    inside[1:-1] = ~SPACE[part.data]
     starts = inside[1:-1] & ~inside[:-2]
     ends = inside[1:-1] & ~inside[2:]
     edges = part.offsets[(part.offsets > 0) & (part.offsets < len(part.data))]
