@@ -134,12 +134,14 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
         held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             for _, shingles in shingle_sets(batch.column(0)):
                 held.append(shingles & U64(cells - 1))
-                if len(held) >= 2000:
+                size += len(shingles)
+                if size >= cells:
                     total += np.bincount(np.concatenate(held).astype(np.int64), minlength=cells)
-                    held = []
+                    held, size = [], 0
         if held:
             total += np.bincount(np.concatenate(held).astype(np.int64), minlength=cells)
         for k in range(0, cells, SKETCH_ROW):
@@ -217,9 +219,6 @@ def indexed(docs: DataFrame, counts) -> DataFrame:
                 signs.append(sign)
                 salts.append(np.where(level >= HOT_LEVEL, node % SALTS, -1).astype(np.int32))
                 nodes.append(np.full(len(sign), node, np.int64))
-                if len(signs) >= 2000:
-                    yield _index_batch(signs, salts, nodes)
-                    signs, salts, nodes = [], [], []
             if signs:
                 yield _index_batch(signs, salts, nodes)
 
