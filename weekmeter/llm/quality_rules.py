@@ -52,13 +52,18 @@ class LineField:
     steps: np.ndarray  # [from, to], 0 boilerplate, 1 content
 
 
-def _class_sums(part: W.Texts) -> dict[str, np.ndarray]:
-    sums = {}
-    for name, members in CLASSES.items():
-        table = np.zeros(256, np.uint8)
-        table[list(members)] = 1
-        sums[name] = np.concatenate(([0], np.cumsum(table[part.data], dtype=np.int64)))
-    return sums
+def _counts(marks: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """How many bytes are marked in each of several ranges, none of them empty, in order."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    bounds = np.column_stack((starts, stops)).ravel()
+    return np.add.reduceat(np.append(marks, np.uint8(0)), bounds, dtype=np.int64)[::2]
+
+
+def _marked(part: W.Texts, members: bytes) -> np.ndarray:
+    table = np.zeros(256, np.uint8)
+    table[list(members)] = 1
+    return table[part.data]
 
 
 @dataclass
@@ -82,7 +87,7 @@ def earlier_in_row(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return same
 
 
-def lines_of(part: W.Texts, found: W.Words, hashes: np.ndarray, sums: dict[str, np.ndarray]) -> Lines:
+def lines_of(part: W.Texts, found: W.Words, hashes: np.ndarray) -> Lines:
     breaks = np.flatnonzero(part.data == 10)
     starts = np.unique(np.concatenate((part.offsets[:-1], breaks + 1)))
     starts = starts[starts < len(part.data)]
@@ -102,8 +107,8 @@ def lines_of(part: W.Texts, found: W.Words, hashes: np.ndarray, sums: dict[str,
     again = earlier_in_row(of_line, hashes[W.segments(count, first)])
     size = np.maximum(stops - starts, 1)
     features = np.empty((len(starts), len(FEATURES)), np.float32)
-    for k, name in enumerate(CLASSES):
-        features[:, k] = np.minimum((sums[name][stops] - sums[name][starts]) / size * 10, 5)
+    for k, members in enumerate(CLASSES.values()):
+        features[:, k] = np.minimum(_counts(_marked(part, members), starts, stops) / size * 10, 5)
     k = len(CLASSES)
     features[:, k] = np.bincount(of_line[again], minlength=len(starts)) / np.maximum(count, 1) * 5
     features[:, k + 1] = repeats
@@ -206,7 +211,7 @@ def fit_field(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineF
         out = []
         for part in W.texts(batch.column(1)):
             found = W.words(part)
-            lines = lines_of(part, found, W.word_hashes(part.data, found), _class_sums(part))
+            lines = lines_of(part, found, W.word_hashes(part.data, found))
             rows = lines.rows + part.rows.start
             out.append((doc[rows], quality[rows], lines.hashes.view(np.int64), lines.features))
         if not out:
@@ -231,12 +236,13 @@ def measure(column: pa.Array, field: LineField) -> list[np.ndarray]:
     for part in W.texts(column):
         found = W.words(part)
         hashes = W.word_hashes(part.data, found)
-        sums = _class_sums(part)
         rows = len(part.rows)
-        lead = np.concatenate(([0], np.cumsum((part.data & 0xC0) != 0x80)))
-        blank = np.concatenate(([0], np.cumsum(W.SPACE[part.data])))
-        chars = np.diff((lead - blank)[part.offsets])
-        symbols = np.diff(sums["symbol"][part.offsets])
+        full = np.flatnonzero(np.diff(part.offsets))
+        ranges = part.offsets[full], part.offsets[full + 1]
+        chars, symbols = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+        # Code points by their first bytes.
+        chars[full] = _counts((((part.data & 0xC0) != 0x80) & ~W.SPACE[part.data]).view(np.uint8), *ranges)
+        symbols[full] = _counts(_marked(part, CLASSES["symbol"]), *ranges)
 
         row_of = found.rows()
         grams = W.ngram_hashes(hashes, 3)
@@ -252,7 +258,7 @@ def measure(column: pa.Array, field: LineField) -> list[np.ndarray]:
             covered[twice + k] = True
         repeated = np.bincount(row_of[covered], minlength=rows)
 
-        lines = lines_of(part, found, hashes, sums)
+        lines = lines_of(part, found, hashes)
         duplicates = np.bincount(lines.rows[lines.repeats], minlength=rows)
         scores = lines.features @ field.weights
         content = np.zeros(rows, np.int64)

@@ -50,7 +50,7 @@ class Texts(NamedTuple):
     offsets: np.ndarray
 
 
-def texts(column: pa.Array, most: int = 2 << 20) -> Iterator[Texts]:
+def texts(column: pa.Array, most: int = 1 << 20) -> Iterator[Texts]:
     """Cut a text column into runs of rows of about ``most`` bytes; a longer text comes alone. NULL: empty."""
     if not len(column):
         return
