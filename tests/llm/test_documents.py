@@ -192,7 +192,7 @@ def repeated_text(seed):
 def test_removed_words_equal_those_of_plain_windows(documents, monkeypatch, block):
     monkeypatch.setattr(substring_dedup, "BLOCK", block)
     rows = repeated_text(block)
-    got = sorted((r["id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.deduplicated(documents(rows).repartition(3)).collect())
+    got = sorted((r["id"], r["n_words"], r["n_removed"], r["kept_sha256"].hex()) for r in substring_dedup.deduplicated(documents(rows).repartition(3)).collect())
     assert got == sorted((i, n, m, plain.sha(t)) for i, n, m, t in plain.without_repeats(rows))
 
 

@@ -40,7 +40,7 @@ WINDOW = 20
 ANCHOR = 6
 BLOCK = 1_500_000  # anchors, or windows, that one local block holds at least before it is indexed
 
-EMPTY = hashlib.sha256(b"").hexdigest()
+EMPTY = hashlib.sha256(b"").digest()
 
 
 def _anchored(column: pa.Array):
@@ -123,7 +123,7 @@ def word_rows(docs: DataFrame) -> DataFrame:
             )
 
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()), pa.array(shas), pa.array(counts, pa.int64()),
+            [pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()), pa.array(shas, pa.binary()), pa.array(counts, pa.int64()),
              split(known), split(sent)],
             ["id", "node", "sha", "n", "known", "sent"],
         )
@@ -135,17 +135,17 @@ def word_rows(docs: DataFrame) -> DataFrame:
             for part, found, _, grams, place, bounds, counts in _anchored(batch.column(1)):
                 for k, row in enumerate(part.rows):
                     text = part.data[part.offsets[k] : part.offsets[k + 1]].tobytes()
-                    digest = hashlib.sha256(b" ".join(text.split()))
-                    node = int.from_bytes(digest.digest()[:8], "little", signed=True)
+                    digest = hashlib.sha256(b" ".join(text.split())).digest()
+                    node = int.from_bytes(digest[:8], "little", signed=True)
                     own = place[bounds[k] : bounds[k] + counts[k]]
                     own = own[np.concatenate(([True], own[1:] != own[:-1]))] if len(own) else own
-                    if block.add(len(own) + 1, ids[row], node, digest.hexdigest(), int(found.counts[k]), grams[own]):
+                    if block.add(len(own) + 1, ids[row], node, digest, int(found.counts[k]), grams[own]):
                         yield indexed(block.take())
         if block.rows:
             yield indexed(block.take())
 
     return docs.select(id_key("doc_id").alias("id"), "text").mapInArrow(
-        run, "id long, node long, sha string, n long, known array<long>, sent array<long>"
+        run, "id long, node long, sha binary, n long, known array<long>, sent array<long>"
     )
 
 
@@ -226,10 +226,11 @@ def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     return texts.select("id", "node", "text", "anchors").mapInArrow(run, schema)
 
 
-def factors(parsed: DataFrame) -> DataFrame:
+def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
     """The greedy parse of each candidate: id, node, factors, words removed, the text kept and its digest.
 
-    A factor is (start, length, source id, source start), in words; the text kept is NULL if it is the whole.
+    A factor is (start, length, source id, source start), in words. The text kept is given if ``texts``
+    asks for it, and NULL if it is the whole.
     """
     sent = parsed.select("id", "node", F.explode(F.arrays_zip("sent", "sent_at")).alias("w"))
     place = F.struct("id", "node", F.col("w.sent_at").alias("at"))
@@ -255,7 +256,7 @@ def factors(parsed: DataFrame) -> DataFrame:
     )
     schema = (
         "id long, node long, factors array<struct<start int, length int, source long, source_start int>>, "
-        "n_removed long, kept string, kept_sha256 string"
+        "n_removed long, kept string, kept_sha256 binary"
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,13 +273,13 @@ def factors(parsed: DataFrame) -> DataFrame:
                 removed = int(covered.sum())
                 kept = b" ".join(itertools.compress(words, ~covered))
                 ids = (batch.column(0)[row].as_py(), batch.column(1)[row].as_py())
-                texts = (kept.decode() if removed else None, hashlib.sha256(kept).hexdigest())
-                for column, value in zip(out, (*ids, found, removed, *texts), strict=True):
+                result = (kept.decode() if removed and texts else None, hashlib.sha256(kept).digest())
+                for column, value in zip(out, (*ids, found, removed, *result), strict=True):
                     column.append(value)
             kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], kind),
-                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.string()), pa.array(out[5], pa.string())],
+                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.string()), pa.array(out[5], pa.binary())],
                 ["id", "node", "factors", "n_removed", "kept", "kept_sha256"],
             )
 
@@ -306,14 +307,21 @@ def parse(size: int, at: np.ndarray, source: np.ndarray, source_node: np.ndarray
     ], covered
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """One row per document: id, sha (of its words), n_words, n_removed, kept (NULL: the whole), kept_sha256."""
+def deduplicated(docs: DataFrame, texts: bool = False) -> DataFrame:
+    """One row per document: id, sha (of its words), n_words, n_removed, kept (NULL: the whole), kept_sha256.
+
+    The digests are binary. ``kept`` is only filled if ``texts`` asks for it.
+    """
     rows = cut(word_rows(docs))
     parsed = cut(block_parse(docs, repeated_anchors(rows)))
-    # Repeated rows of a document are parsed alike; one of the results serves all.
-    found = factors(parsed).drop("factors").dropDuplicates(["id", "node"])
+    found = factors(parsed, texts).drop("factors")
     first = rows.groupBy("node", "sha").agg(F.min("id").alias("first"))
-    placed = rows.select("id", "node", "sha", "n").join(first, ["node", "sha"]).join(found, ["id", "node"], "left")
+    alike = rows.groupBy("id", "node", "sha", "n").agg(F.count(F.lit(1)).alias("rows"))
+    # Repeated rows of a document are one row here, and as many in ``found``; those not parsed are counted out.
+    placed = alike.join(first, ["node", "sha"]).join(found, ["id", "node"], "left")
+    one = F.lit(1).cast("long")
+    again = F.sequence(one, F.when(F.col("n_removed").isNull(), F.col("rows")).otherwise(one))
+    placed = placed.withColumn("_row", F.explode(again))
     copy = (F.col("id") != F.col("first")) & (F.col("n") >= WINDOW)
     return placed.select(
         "id", "sha",
@@ -326,16 +334,18 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = deduplicated(read(spark, folder, "documents"))
-    return found.select(from_key("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+    return found.select(
+        from_key("id").alias("doc_id"), "n_words", "n_removed", F.lower(F.hex("kept_sha256")).alias("kept_sha256")
+    )
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: covered words go, and documents of which no word is left; other texts stay as they are."""
-    changed = deduplicated(docs).where("n_removed > 0").select("id", "sha", "n_words", "n_removed", "kept")
-    changed = cut(changed.dropDuplicates(["id", "sha"]))
+    changed = deduplicated(docs, texts=True).where("n_removed > 0").select("id", "sha", "n_words", "n_removed", "kept")
+    changed = changed.dropDuplicates(["id", "sha"])
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
     hidden, named = set_aside(docs, "doc_id", "text", "n_chars")
-    keyed = hidden.withColumns({"id": id_key("doc_id"), "sha": F.sha2(F.concat_ws(" ", words), 256)})
+    keyed = hidden.withColumns({"id": id_key("doc_id"), "sha": F.unhex(F.sha2(F.concat_ws(" ", words), 256))})
     left = keyed.join(changed, ["id", "sha"], "left").where("n_removed is null or n_removed < n_words")
     return named(
         left.withColumns(
