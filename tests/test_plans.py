@@ -134,8 +134,11 @@ def test_shuffle_partitions():
     assert shuffle_partitions(0) == 8
     assert shuffle_partitions((256 << 20) * 10 + 1) == 11
     assert shuffle_partitions(1 << 40) == 4096
-    assert shuffle_partitions(130 << 40) == 133120  # 1 GiB each
-    assert scan_bytes(1 << 40) == 128 * MIB and 800 * MIB < scan_bytes(100 << 40) < 2 * GIB
+    assert scan_bytes(512 << 30) == 128 * MIB and 1800 * MIB < scan_bytes(100 << 40) < 2 * GIB
+    # 100 TiB of events: some 2.9 GiB a partition, and blocks of 50 KiB at least.
+    wide, maps = shuffle_partitions(130 << 40), (100 << 40) / scan_bytes(100 << 40)
+    assert 40_000 < wide < 50_000 and 50_000 < maps < 60_000
+    assert (130 << 40) / wide / maps > 50 << 10
 
 
 def test_rebuild_sizes_shuffles_from_its_input(spark, stored_raw, tmp_path, monkeypatch):
@@ -155,8 +158,8 @@ def test_rebuild_sizes_shuffles_from_its_input(spark, stored_raw, tmp_path, monk
     assert set(seen) == {("52", before)}
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     with sized_shuffles(spark, 100 << 40):
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 100_000
-        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) > 800 * MIB
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 40_000
+        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) > 1800 * MIB
 
 
 def test_estimated_bytes_are_those_of_the_files(spark):

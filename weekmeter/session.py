@@ -41,20 +41,19 @@ SHUFFLED_PER_INPUT_BYTE = 1.3
 def shuffle_partitions(shuffled_bytes: float, least: int = 8) -> int:
     """Shuffle partitions for a shuffle of a known size; adaptive execution merges small ones.
 
-    256 MiB each up to 4096 of them; above that they grow with the square root of the size up to
-    1 GiB, because blocks are map tasks times partitions and their number, too, must stay bounded.
+    256 MiB each up to 4096 of them; above that their size and their number both grow with the square
+    root, to 4 GiB each, because the blocks of a shuffle are map tasks times partitions.
     """
-    small = shuffled_bytes / (256 * MIB)
-    if small <= 4096:
-        return max(least, math.ceil(small))
-    each = min(GIB, 256 * MIB * math.sqrt(small / 4096))
-    return math.ceil(shuffled_bytes / each)
+    return max(least, math.ceil(shuffled_bytes / _each(shuffled_bytes, 256 * MIB, 4 * GIB)))
 
 
 def scan_bytes(input_bytes: float) -> int:
-    """Bytes of input per map task: 128 MiB up to 16384 tasks, then growing like the partitions, to 2 GiB."""
-    small = input_bytes / (128 * MIB)
-    return int(128 * MIB if small <= 16384 else min(2 * GIB, 128 * MIB * math.sqrt(small / 16384)))
+    """Bytes of input per map task: 128 MiB up to 4096 tasks, then growing likewise, to 2 GiB."""
+    return int(_each(input_bytes, 128 * MIB, 2 * GIB))
+
+
+def _each(total: float, usual: int, most: int) -> float:
+    return min(most, usual * math.sqrt(max(1.0, total / usual / 4096)))
 
 
 def estimated_bytes(frames: Iterable[DataFrame]) -> int:
