@@ -81,7 +81,7 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     }
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
-        if value > _number(before[key]):
+        if value > setting_number(before[key]):
             spark.conf.set(key, str(value))
     try:
         yield
@@ -90,7 +90,7 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
-def _number(setting: str) -> int:
+def setting_number(setting: str) -> int:
     """A count, or a size as Spark writes it: 134217728b, 128m ..."""
     digits = setting.rstrip("bBkKmMgGtT")
     unit = setting[len(digits) :].lower().rstrip("b")
