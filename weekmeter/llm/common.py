@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weekmeter.session import setting_number
+
 LOWEST_ID = -(2**63)
 BATCH = 8 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -29,7 +31,7 @@ def shared_path(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="weekmeter-llm-"))
     return context.getCheckpointDir().rstrip("/")
@@ -112,7 +114,7 @@ def prepare(spark: SparkSession) -> None:
     ``BATCH`` bytes of rows go to Python at a time: with long texts, Spark's default number of rows
     makes batches that do not fit several times into an executor. Set for good, and only downwards.
     """
-    if int(spark.conf.get(BATCH_SETTING).rstrip("b")) > BATCH:
+    if setting_number(spark.conf.get(BATCH_SETTING)) > BATCH:
         spark.conf.set(BATCH_SETTING, str(BATCH))
     context = spark.sparkContext
     if context.applicationId in _shipped:
