@@ -163,11 +163,22 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
     return first.join(by_node, "node").select("id", "node", "anchors")
 
 
+def _run_starts(owner: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray) -> np.ndarray:
+    """Where a pointer does not go on from the one before it, word by word in both texts."""
+    if not len(at):
+        return np.zeros(0, np.int64)
+    goes_on = (np.diff(owner) == 0) & (np.diff(at) == 1) & (np.diff(source) == 0) & (np.diff(source_at) == 1)
+    return np.flatnonzero(np.concatenate(([True], ~goes_on)))
+
+
 def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Per candidate: its words packed, the windows it sends on, and pointers found in its own block."""
+    """Per candidate: its words packed, the windows it sends on, and pointers found in its own block.
+
+    Pointers of consecutive windows to consecutive words of one source are one entry with their count.
+    """
     schema = (
         "id long, node long, packed binary, sent array<long>, sent_at array<int>, "
-        "at array<int>, source array<long>, source_node array<long>, source_at array<int>"
+        "at array<int>, count array<int>, source array<long>, source_node array<long>, source_at array<int>"
     )
 
     def indexed(rows: list[tuple]) -> pa.RecordBatch:
@@ -190,16 +201,22 @@ def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
         same = (owner[head] != owner) & (id_of[owner[head]] == id_of[owner]) & (node_of[owner[head]] == node_of[owner]) & (at[head] == at)
         pointed = ~first & ~same
 
-        def split(flat: np.ndarray, mask: np.ndarray, kind) -> pa.Array:
-            lengths = np.bincount(owner[mask], minlength=len(ids))
-            return pa.ListArray.from_arrays(pa.array(_offsets(lengths.tolist())), pa.array(flat[mask], kind))
+        def split(flat: np.ndarray, chosen: np.ndarray, kind) -> pa.Array:
+            lengths = np.bincount(owner[chosen], minlength=len(ids))
+            return pa.ListArray.from_arrays(pa.array(_offsets(lengths.tolist())), pa.array(flat, kind))
 
+        places = np.flatnonzero(pointed)
+        heads = head[places]
+        begin = _run_starts(owner[places], at[places], owner[heads], at[heads])
+        count = np.diff(np.append(begin, len(places)))
+        places, heads = places[begin], heads[begin]
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()), pa.array(packed, pa.binary()),
-             split(value.view(np.int64), first, pa.int64()), split(at, first, pa.int32()),
-             split(at, pointed, pa.int32()), split(id_of[owner[head]], pointed, pa.int64()),
-             split(node_of[owner[head]], pointed, pa.int64()), split(at[head], pointed, pa.int32())],
-            ["id", "node", "packed", "sent", "sent_at", "at", "source", "source_node", "source_at"],
+             split(value[first].view(np.int64), first, pa.int64()), split(at[first], first, pa.int32()),
+             split(at[places], places, pa.int32()), split(count, places, pa.int32()),
+             split(id_of[owner[heads]], places, pa.int64()), split(node_of[owner[heads]], places, pa.int64()),
+             split(at[heads], places, pa.int32())],
+            ["id", "node", "packed", "sent", "sent_at", "at", "count", "source", "source_node", "source_at"],
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +244,7 @@ def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
 
 
 def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
-    """The greedy parse of each candidate: id, node, factors, words removed, the text kept and its digest.
+    """The greedy parse of each candidate: id, node, sha, n, factors, words removed, the text kept and its digest.
 
     A factor is (start, length, source id, source start), in words. The text kept is given if ``texts``
     asks for it, and NULL if it is the whole.
@@ -248,40 +265,51 @@ def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
             )
         ).alias("more")
     )
-    local = parsed.select("id", "node", "packed", "at", "source", "source_node", "source_at")
-    joined = local.join(pointers, ["id", "node"], "left").select(
-        "id", "node", "packed", "at", "source", "source_node", "source_at",
-        *[F.coalesce(F.col(f"more.{c}"), F.array().cast(t)).alias(f"more_{c}") for c, t in (
-            ("at", "array<int>"), ("source", "array<long>"), ("source_node", "array<long>"), ("source_at", "array<int>"))],
+    local = ["at", "count", "source", "source_node", "source_at"]
+    more = {"at": "array<int>", "source": "array<long>", "source_node": "array<long>", "source_at": "array<int>"}
+    joined = parsed.select("id", "node", "packed", *local).join(pointers, ["id", "node"], "left").select(
+        "id", "node", "packed", *local,
+        *[F.coalesce(F.col(f"more.{c}"), F.array().cast(kind)).alias(f"more_{c}") for c, kind in more.items()],
     )
     schema = (
-        "id long, node long, factors array<struct<start int, length int, source long, source_start int>>, "
+        "id long, node long, sha binary, n long, "
+        "factors array<struct<start int, length int, source long, source_start int>>, "
         "n_removed long, kept string, kept_sha256 binary"
     )
+    factor = pa.list_(
+        pa.struct([("start", pa.int32()), ("length", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())])
+    )
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), factor, pa.int64(), pa.string(), pa.binary()]
+
+    def pointers_of(batch: pa.RecordBatch, row: int) -> list[np.ndarray]:
+        """Place, source, its fingerprint and place of every pointer of a document."""
+        lists = {name: batch.column(name)[row].values.to_numpy().astype(np.int64) for name in batch.schema.names[3:]}
+        count = lists["count"]
+        own = (
+            W.segments(count, lists["at"]), np.repeat(lists["source"], count),
+            np.repeat(lists["source_node"], count), W.segments(count, lists["source_at"]),
+        )
+        return [np.concatenate((x, lists[f"more_{name}"])) for x, name in zip(own, more, strict=True)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            columns = [batch.column(k) for k in range(3, 11)]
+            out = []
             for row in range(batch.num_rows):
-                at, source, source_node, source_at = (
-                    np.concatenate([columns[k][row].values.to_numpy(), columns[k + 4][row].values.to_numpy()]).astype(np.int64)
-                    for k in range(4)
-                )
-                words = zlib.decompress(batch.column(2)[row].as_py()).split(b" ")
-                found, covered = parse(len(words), at, source, source_node, source_at)
+                joined = zlib.decompress(batch.column("packed")[row].as_py())
+                words = joined.split(b" ")
+                found, covered = parse(len(words), *pointers_of(batch, row))
                 removed = int(covered.sum())
                 kept = b" ".join(itertools.compress(words, ~covered))
-                ids = (batch.column(0)[row].as_py(), batch.column(1)[row].as_py())
-                result = (kept.decode() if removed and texts else None, hashlib.sha256(kept).digest())
-                for column, value in zip(out, (*ids, found, removed, *result), strict=True):
-                    column.append(value)
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], kind),
-                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.string()), pa.array(out[5], pa.binary())],
-                ["id", "node", "factors", "n_removed", "kept", "kept_sha256"],
-            )
+                out.append((
+                    batch.column("id")[row].as_py(), batch.column("node")[row].as_py(),
+                    hashlib.sha256(joined).digest(), len(words), found, removed,
+                    kept.decode() if removed and texts else None, hashlib.sha256(kept).digest(),
+                ))
+            if out:
+                columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    columns, ["id", "node", "sha", "n", "factors", "n_removed", "kept", "kept_sha256"]
+                )
 
     return joined.mapInArrow(run, schema)
 
@@ -307,28 +335,29 @@ def parse(size: int, at: np.ndarray, source: np.ndarray, source_node: np.ndarray
     ], covered
 
 
-def deduplicated(docs: DataFrame, texts: bool = False) -> DataFrame:
-    """One row per document: id, sha (of its words), n_words, n_removed, kept (NULL: the whole), kept_sha256.
-
-    The digests are binary. ``kept`` is only filled if ``texts`` asks for it.
-    """
+def _parsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents as ``word_rows`` gives them, with ``copy``, and the parsed candidates."""
     rows = cut(word_rows(docs))
     parsed = cut(block_parse(docs, repeated_anchors(rows)))
-    found = factors(parsed, texts).drop("factors")
     first = rows.groupBy("node", "sha").agg(F.min("id").alias("first"))
     alike = rows.groupBy("id", "node", "sha", "n").agg(F.count(F.lit(1)).alias("rows"))
+    copy = (F.col("id") != F.col("first")) & (F.col("n") >= WINDOW)
+    return alike.join(first, ["node", "sha"]).withColumn("copy", copy).drop("first"), parsed
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row per document: id, n_words, n_removed, and the digest of the words kept."""
+    rows, parsed = _parsed(docs)
+    found = factors(parsed).select("id", "node", "n_removed", "kept_sha256")
     # Repeated rows of a document are one row here, and as many in ``found``; those not parsed are counted out.
-    placed = alike.join(first, ["node", "sha"]).join(found, ["id", "node"], "left")
     one = F.lit(1).cast("long")
     again = F.sequence(one, F.when(F.col("n_removed").isNull(), F.col("rows")).otherwise(one))
-    placed = placed.withColumn("_row", F.explode(again))
-    copy = (F.col("id") != F.col("first")) & (F.col("n") >= WINDOW)
+    placed = rows.join(found, ["id", "node"], "left").withColumn("_row", F.explode(again))
     return placed.select(
-        "id", "sha",
+        "id",
         F.col("n").alias("n_words"),
-        F.when(copy, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept"),
-        F.when(copy, F.lit(EMPTY)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+        F.when(F.col("copy"), F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        F.when(F.col("copy"), F.lit(EMPTY)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
     )
 
 
@@ -341,12 +370,15 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: covered words go, and documents of which no word is left; other texts stay as they are."""
-    changed = deduplicated(docs, texts=True).where("n_removed > 0").select("id", "sha", "n_words", "n_removed", "kept")
-    changed = changed.dropDuplicates(["id", "sha"])
+    rows, parsed = _parsed(docs)
+    shorter = factors(parsed, texts=True).where("n_removed > 0").select("id", "sha", "kept")
+    copies = rows.where("copy").select("id", "sha", F.lit("").alias("kept"))
+    # Written before the documents move again, so that what led to it can go.
+    changed = cut(shorter.unionByName(copies).dropDuplicates(["id", "sha"]))
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
     hidden, named = set_aside(docs, "doc_id", "text", "n_chars")
     keyed = hidden.withColumns({"id": id_key("doc_id"), "sha": F.unhex(F.sha2(F.concat_ws(" ", words), 256))})
-    left = keyed.join(changed, ["id", "sha"], "left").where("n_removed is null or n_removed < n_words")
+    left = keyed.join(changed, ["id", "sha"], "left").where("kept is null or kept <> ''")
     return named(
         left.withColumns(
             {
