@@ -16,6 +16,7 @@ from weekmeter.schemas import RAW_COLUMNS, TABLES
 from weekmeter.session import use_billing_settings
 from weekmeter.sources.csv_extracts import Dialect, read_raw, write_raw
 from weekmeter.sources.tables import remove, shared_folder
+from weekmeter.sources.together import run_together
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,10 +47,11 @@ def raw_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         values = F.to_json(F.struct(*RAW_COLUMNS[name]), {"ignoreNullFields": "false"})
         return df.select(F.lit(name).alias("table_name"), F.sha2(values, 256).alias("row"), F.lit(sign).alias("n"))
 
+    dialects = {f"{target}/comma": Dialect(), f"{target}/semicolon": Dialect(delimiter=";", quote="'")}
     try:
+        run_together(spark, lambda path: write_raw(spark, written, path, dialects[path]), dialects)
         sides = []
-        for dialect, path in ((Dialect(), f"{target}/comma"), (Dialect(delimiter=";", quote="'"), f"{target}/semicolon")):
-            write_raw(spark, written, path, dialect)
+        for path, dialect in dialects.items():
             read = read_raw(spark, path, dialect=dialect)
             sides += [digests(read[name], name, -1) for name in RAW_COLUMNS]
         # Both copies are compared with the same rows, which therefore count twice.

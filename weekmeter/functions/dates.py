@@ -48,8 +48,11 @@ def utc_timestamp(text: Column, permissive: bool = False) -> Column:
     dashed = F.regexp_replace(text, SLASHED_DATE, "$1-$2-$3")
     midnight = F.replace(dashed, F.lit(DAY_END), F.lit("00:00:00"))
     usual = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    # A date and a time to the second, and no room for more: nothing to look for but the day's end.
+    plain = usual & (F.octet_length(text) == 19) & (F.substring(text, 17, 1) == ":")
     return (
-        F.when(~usual & ~text.rlike(WHOLE_DATE), refused("not a whole date"))
+        F.when(plain & ~text.contains(DAY_END), cast(text))
+        .when(~usual & ~text.rlike(WHOLE_DATE), refused("not a whole date"))
         .when(
             text.contains(DAY_END),
             F.when(text.rlike(DAY_END_EXACT), read(midnight) + F.expr("interval 1 day")).otherwise(
