@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -46,6 +47,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of frames that are no longer used.
+
+    It does so when the driver collects its garbage, which by itself may be long after a cut point.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def id_key(column: str | Column) -> Column:
     """An id for comparing and grouping: NULL counts as the smallest id there is."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(LOWEST_ID))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weekmeter.llm import words as W
-from weekmeter.llm.common import cut, from_key, id_key, read, set_aside
+from weekmeter.llm.common import cut, from_key, id_key, let_go, read, set_aside
 
 WINDOW = 20
 ANCHOR = 6
@@ -339,6 +339,7 @@ def _parsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents as ``word_rows`` gives them, with ``copy``, and the parsed candidates."""
     rows = cut(word_rows(docs))
     parsed = cut(block_parse(docs, repeated_anchors(rows)))
+    let_go(docs.sparkSession)
     first = rows.groupBy("node", "sha").agg(F.min("id").alias("first"))
     alike = rows.groupBy("id", "node", "sha", "n").agg(F.count(F.lit(1)).alias("rows"))
     copy = (F.col("id") != F.col("first")) & (F.col("n") >= WINDOW)
@@ -375,6 +376,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     copies = rows.where("copy").select("id", "sha", F.lit("").alias("kept"))
     # Written before the documents move again, so that what led to it can go.
     changed = cut(shorter.unionByName(copies).dropDuplicates(["id", "sha"]))
+    del rows, parsed, shorter, copies
+    let_go(spark)
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
     hidden, named = set_aside(docs, "doc_id", "text", "n_chars")
     keyed = hidden.withColumns({"id": id_key("doc_id"), "sha": F.unhex(F.sha2(F.concat_ws(" ", words), 256))})
