@@ -3,7 +3,7 @@
 A window is ``WINDOW`` consecutive words. The reference is the corpus itself, in blocks:
 
 1. Anchors. Each window picks the least hash among its ``ANCHOR``-word grams, so equal windows pick
-   equal anchors, about one word in eight is one, and an anchor that occurs once in the corpus rules
+   equal anchors, about two words in thirteen start one, and an anchor that occurs once in the corpus rules
    out all windows that pick it. Only windows with a repeated anchor go on.
 2. Local blocks. The windows a task holds are indexed, and parsed against that index: a window that
    occurs earlier in the block gets a pointer there. Only its first place in the block goes further,
@@ -32,12 +32,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekmeter.llm import words as W
-from weekmeter.llm.common import cut, from_key, id_key, let_go, read, set_aside
+from weekmeter.llm.common import cut, from_key, id_key, in_arrow, let_go, read, set_aside
 
 WINDOW = 20
-ANCHOR = 6
+ANCHOR = 9
 BLOCK = 1_500_000  # anchors, or windows, that one local block holds at least before it is indexed
 
 EMPTY = hashlib.sha256(b"").digest()
@@ -136,7 +137,7 @@ def word_rows(docs: DataFrame) -> DataFrame:
                 for k, row in enumerate(part.rows):
                     text = part.data[part.offsets[k] : part.offsets[k + 1]].tobytes()
                     digest = hashlib.sha256(b" ".join(text.split())).digest()
-                    node = int.from_bytes(digest[:8], "little", signed=True)
+                    node = _node(digest)
                     own = place[bounds[k] : bounds[k] + counts[k]]
                     own = own[np.concatenate(([True], own[1:] != own[:-1]))] if len(own) else own
                     if block.add(len(own) + 1, ids[row], node, digest, int(found.counts[k]), grams[own]):
@@ -163,6 +164,22 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
     return first.join(by_node, "node").select("id", "node", "anchors")
 
 
+def _node(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def packed_words(docs: DataFrame) -> DataFrame:
+    """id and the words of each document, one space between them, compressed: less to move than the text."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column(1).cast(pa.large_binary())
+        packed = [zlib.compress(b" ".join((x.as_py() or b"").split()), 1) for x in texts]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["id", "packed"])
+
+    schema = T.StructType.fromDDL("id long, packed binary")
+    return in_arrow(docs.select(id_key("doc_id").alias("id"), "text"), work, schema)
+
+
 def _run_starts(owner: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray) -> np.ndarray:
     """Where a pointer does not go on from the one before it, word by word in both texts."""
     if not len(at):
@@ -178,7 +195,7 @@ def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     """
     schema = (
         "id long, node long, packed binary, sent array<long>, sent_at array<int>, "
-        "at array<int>, count array<int>, source array<long>, source_node array<long>, source_at array<int>"
+        "at array<int>, count array<int>, source array<long>, source_at array<int>"
     )
 
     def indexed(rows: list[tuple]) -> pa.RecordBatch:
@@ -214,33 +231,30 @@ def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
             [pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()), pa.array(packed, pa.binary()),
              split(value[first].view(np.int64), first, pa.int64()), split(at[first], first, pa.int32()),
              split(at[places], places, pa.int32()), split(count, places, pa.int32()),
-             split(id_of[owner[heads]], places, pa.int64()), split(node_of[owner[heads]], places, pa.int64()),
-             split(at[heads], places, pa.int32())],
-            ["id", "node", "packed", "sent", "sent_at", "at", "count", "source", "source_node", "source_at"],
+             split(id_of[owner[heads]], places, pa.int64()), split(at[heads], places, pa.int32())],
+            ["id", "node", "packed", "sent", "sent_at", "at", "count", "source", "source_at"],
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
         for batch in batches:
             ids, nodes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            wanted = batch.column(3)
-            for part, found, windows, grams, place, bounds, counts in _anchored(batch.column(2)):
+            packed, wanted = batch.column(2).to_pylist(), batch.column(3)
+            texts = [zlib.decompress(x) for x in packed]
+            for part, _, windows, grams, place, bounds, counts in _anchored(pa.array(texts, pa.large_binary())):
                 for k, row in enumerate(part.rows):
-                    text = part.data[part.offsets[k] : part.offsets[k + 1]].tobytes()
-                    joined = b" ".join(text.split())
-                    digest = hashlib.sha256(joined).digest()
-                    if int.from_bytes(digest[:8], "little", signed=True) != nodes[row]:
+                    if _node(hashlib.sha256(texts[row]).digest()) != nodes[row]:
                         continue  # another text of the same id
                     span = slice(bounds[k], bounds[k] + counts[k])
                     list_ = wanted[row].values.to_numpy().view(np.uint64)
                     at = np.flatnonzero(np.isin(grams[place[span]], list_))
-                    if block.add(len(at) + 1, ids[row], nodes[row], zlib.compress(joined, 1), windows[span][at], at):
+                    if block.add(len(at) + 1, ids[row], nodes[row], packed[row], windows[span][at], at):
                         yield indexed(block.take())
         if block.rows:
             yield indexed(block.take())
 
-    texts = docs.select(id_key("doc_id").alias("id"), "text").join(anchors, "id")
-    return texts.select("id", "node", "text", "anchors").mapInArrow(run, schema)
+    texts = packed_words(docs).join(anchors, "id")
+    return texts.select("id", "node", "packed", "anchors").mapInArrow(run, schema)
 
 
 def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
@@ -260,13 +274,12 @@ def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
     pointers = later.groupBy(F.col("p.id").alias("id"), F.col("p.node").alias("node")).agg(
         F.collect_list(
             F.struct(
-                F.col("p.at").alias("at"), F.col("first.id").alias("source"),
-                F.col("first.node").alias("source_node"), F.col("first.at").alias("source_at"),
+                F.col("p.at").alias("at"), F.col("first.id").alias("source"), F.col("first.at").alias("source_at")
             )
         ).alias("more")
     )
-    local = ["at", "count", "source", "source_node", "source_at"]
-    more = {"at": "array<int>", "source": "array<long>", "source_node": "array<long>", "source_at": "array<int>"}
+    local = ["at", "count", "source", "source_at"]
+    more = {"at": "array<int>", "source": "array<long>", "source_at": "array<int>"}
     joined = parsed.select("id", "node", "packed", *local).join(pointers, ["id", "node"], "left").select(
         "id", "node", "packed", *local,
         *[F.coalesce(F.col(f"more.{c}"), F.array().cast(kind)).alias(f"more_{c}") for c, kind in more.items()],
@@ -282,13 +295,10 @@ def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), factor, pa.int64(), pa.string(), pa.binary()]
 
     def pointers_of(batch: pa.RecordBatch, row: int) -> list[np.ndarray]:
-        """Place, source, its fingerprint and place of every pointer of a document."""
+        """Place, source and place there of every pointer of a document."""
         lists = {name: batch.column(name)[row].values.to_numpy().astype(np.int64) for name in batch.schema.names[3:]}
         count = lists["count"]
-        own = (
-            W.segments(count, lists["at"]), np.repeat(lists["source"], count),
-            np.repeat(lists["source_node"], count), W.segments(count, lists["source_at"]),
-        )
+        own = W.segments(count, lists["at"]), np.repeat(lists["source"], count), W.segments(count, lists["source_at"])
         return [np.concatenate((x, lists[f"more_{name}"])) for x, name in zip(own, more, strict=True)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,20 +324,17 @@ def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
-def parse(size: int, at: np.ndarray, source: np.ndarray, source_node: np.ndarray, source_at: np.ndarray):
+def parse(size: int, at: np.ndarray, source: np.ndarray, source_at: np.ndarray):
     """Cut the pointers of one document into factors; also which of its words they cover."""
     order = np.argsort(at)
-    at, source, source_node, source_at = at[order], source[order], source_node[order], source_at[order]
+    at, source, source_at = at[order], source[order], source_at[order]
     edges = np.zeros(size + 1, np.int64)
     np.add.at(edges, at, 1)
     np.add.at(edges, at + WINDOW, -1)
     covered = np.cumsum(edges[:-1]) > 0
     if not len(at):
         return [], covered
-    goes_on = (
-        (np.diff(at) == 1) & (np.diff(source) == 0) & (np.diff(source_node) == 0) & (np.diff(source_at) == 1)
-    )
-    begin = np.flatnonzero(np.concatenate(([True], ~goes_on)))
+    begin = _run_starts(np.zeros(len(at)), at, source, source_at)
     end = np.concatenate((begin[1:], [len(at)])) - 1
     return [
         {"start": int(at[b]), "length": int(at[e] - at[b]) + WINDOW, "source": int(source[b]), "source_start": int(source_at[b])}

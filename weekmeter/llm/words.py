@@ -54,9 +54,9 @@ def texts(column: pa.Array, most: int = 1 << 20) -> Iterator[Texts]:
     """Cut a text column into runs of rows of about ``most`` bytes; a longer text comes alone. NULL: empty."""
     if not len(column):
         return
-    if pa.types.is_string(column.type):
+    if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
         width = np.int32
-    elif pa.types.is_large_string(column.type):
+    elif pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
         width = np.int64
     else:
         column, width = column.cast(pa.string()), np.int32
