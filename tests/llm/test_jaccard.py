@@ -53,6 +53,30 @@ def test_hot_buckets_are_salted_without_losing_links(documents, monkeypatch):
     assert result(documents(rows)) == plain.jaccard_groups(rows)
 
 
+@pytest.mark.parametrize("other", ["{} more", "before {}"])
+def test_hot_short_text_links_with_a_rare_one(documents, monkeypatch, other):
+    # 64 copies and one text of a shingle more: the levels are 7 and, of the shingle with a new word, 0.
+    monkeypatch.setattr(J, "HOT_LEVEL", 4)
+    base = " ".join(f"hot{k}" for k in range(11))
+    rows = [(k, base) for k in range(10, 74)] + [(100, other.format(base)), (102, "not like the others")]
+    found = result(documents(rows))
+    assert found == plain.jaccard_groups(rows)
+    assert found[100] == (8, 10) and found[102] == (1, 102)
+
+
+def test_equal_signatures_have_equal_levels():
+    rnd = np.random.default_rng(6)
+    counts = rnd.integers(0, 20, 1 << 10).astype(np.uint8)
+    for n in [k for k in range(1, 9) for _ in range(50)]:
+        whole = np.unique(rnd.integers(0, 2**64, n, dtype=np.uint64))
+        levels = {}
+        for k in range(-1, n):
+            part = np.delete(whole, k) if k >= 0 else whole
+            if len(part):
+                for sign, level in zip(*(x.tolist() for x in J.signatures(part, counts)), strict=True):
+                    assert levels.setdefault(sign, level) == level
+
+
 def test_every_linked_pair_shares_a_signature():
     rnd = np.random.default_rng(5)
     counts = rnd.integers(0, 6, 1 << 10).astype(np.uint8)

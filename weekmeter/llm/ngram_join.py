@@ -101,7 +101,11 @@ def signatures(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
             # The whole set, and the set without each one of its shingles.
             sums = np.concatenate(([whole], whole - spread)) if len(shingles) > 1 else np.array([whole])
             out.append(W.mixed(sums ^ U64(0xA5A5)))
-            out_levels.append(np.full(len(sums), levels.min()))
+            # Each has the level of what it holds: other sets with the same signature must give it the same.
+            held = np.full(len(sums), levels.min())
+            if len(levels) > 1:
+                held[1 + levels.argmin()] = np.partition(levels, 1)[1]
+            out_levels.append(held)
             continue
         for depth, segments in enumerate((int(SEGMENTS * low), 8 * int(SEGMENTS * low), 0)):
             segment = shingles % U64(segments) if segments else shingles
