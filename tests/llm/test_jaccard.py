@@ -125,6 +125,23 @@ def test_stage_keeps_one_of_each_group_and_all_columns(spark, documents):
     assert sorted((r["doc_id"], r["id"], r["component"]) for r in kept.collect()) == [(k, 7, 8) for k in (1, 3, 4, 5)]
 
 
+def test_stage_tells_rows_of_one_id_apart(spark, documents):
+    near = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [
+        (None, "clean text of a document without id"), (None, "some other text that is as clean"), (None, "CLEAN text of a document without id"),
+        (None, None), (None, None), (None, ""), (None, " \n"),
+        (1, near), (7, near + " thirteen"), (7, "nothing in common with the first text of this id"), (7, "nor has this one anything"),
+        (7, ""), (8, near), (8, near + " thirteen"), (9, near + " thirteen"),
+    ]
+    kept = [(r["doc_id"], r["text"]) for r in J.keep_one_of_each(spark, documents(rows), "").collect()]
+    want = [
+        (None, "CLEAN text of a document without id"), (None, "some other text that is as clean"),
+        (None, None), (None, ""), (None, " \n"), (1, near),
+        (7, "nothing in common with the first text of this id"), (7, "nor has this one anything"), (7, ""),
+    ]
+    assert sorted(map(repr, kept)) == sorted(map(repr, want))
+
+
 def test_components_of_long_chains_and_big_stars(spark):
     links = [(k, k + 1) for k in range(200)] + [(1000, k) for k in range(1001, 1400)] + [(5000, 5000), (7001, 7000)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}

@@ -21,8 +21,9 @@ that most pairs are not linked; the rest are compared exactly. No pair that coul
 is left out, and the pairs within a group of copies are never listed.
 
 Defined results: NULL and empty texts, and texts without words, have empty sets and link with nothing;
-texts of equal sets are one node from the start; a NULL id counts as the smallest; rows of one id are
-one document in the pipeline stage. Sets are told apart by 64-bit fingerprints.
+texts of equal sets are one node from the start; a NULL id counts as the smallest; the pipeline stage
+tells rows of one id apart by their sets, and those with empty sets by all their columns. Sets are told
+apart by 64-bit fingerprints.
 """
 
 from __future__ import annotations
@@ -404,8 +405,8 @@ class _Links:
         self.found = components(self.links, "a", "b")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """One row per document: id (NULL as the smallest), n, node, component (smallest id reachable)."""
+def placed_nodes(docs: DataFrame) -> DataFrame:
+    """One row per document: id (NULL as the smallest), n, node, component (smallest node reachable)."""
     spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(shingle_counts(docs))
     nodes = cut(shingled(docs))
@@ -430,7 +431,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links.compare(cut(within_groups(met, holders, links.found)))
 
     placed = nodes.select("id", "n", "node").join(links.found, "node", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "node"))
+    return placed.withColumn("component", F.coalesce("component", "node"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """One row per document: id (NULL as the smallest), n, node, component (smallest id reachable)."""
+    placed = placed_nodes(docs)
     least = placed.where("n > 0").groupBy("component").agg(F.min("id").alias("least"))
     return placed.join(least, "component", "left").select(
         "id", "n", "node", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component")
@@ -444,13 +450,46 @@ def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def with_nodes(rows: DataFrame) -> DataFrame:
+    """Add the number of shingles and the fingerprint of the set to rows with a text."""
+    at = rows.columns.index("text")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes, nodes = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+        for row, shingles in shingle_sets(batch.column(at)):
+            sizes[row], nodes[row] = len(shingles), fingerprint(shingles)
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(sizes), pa.array(nodes)], [*batch.schema.names, "n", "node"]
+        )
+
+    return in_arrow(rows, work, T.StructType([*rows.schema, *T.StructType.fromDDL("n long, node long")]))
+
+
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: of each component, the document with the smallest id stays."""
-    found = cut(jaccard_components(docs).select("id", "component"))
-    gone = found.where("id <> component").select("id").distinct()
-    again = found.groupBy("id").count().where("count > 1").select("id")
-    hidden, named = set_aside(docs, "doc_id")
-    keyed = hidden.withColumn("id", id_key("doc_id"))
-    left = keyed.join(gone, "id", "left_anti")
+    """Pipeline stage: of each component, the document with the smallest (id, node) stays.
+
+    Documents with empty sets all stay, exact repeats of a row aside. An id of one row tells which row it
+    is; only rows of ids that repeat are read again for their sets.
+    """
+    found = cut(placed_nodes(docs))
+    linked = found.where("n > 0")
+    stays = cut(linked.groupBy("component").agg(F.min(F.struct("id", "node")).alias("m")).select("m.id", "m.node"))
+    kept = stays.select("id").union(found.where("n = 0").select("id"))
+    gone = linked.select("id").distinct().join(kept, "id", "left_anti")
+    again = cut(found.groupBy("id").count().where("count > 1").select("id"))
+    hidden, named = set_aside(docs, "doc_id", "text")
+    left = hidden.withColumn("id", id_key("doc_id")).join(gone, "id", "left_anti")
+    if again.isEmpty():
+        return named(left)
     once = left.join(again, "id", "left_anti")
-    return named(once.unionByName(left.join(again, "id", "left_semi").dropDuplicates(["id"])))
+    # Copies of a row merge before the join, the least row of a set stays for all.
+    row = F.struct(*hidden.columns)
+    several = (
+        with_nodes(left.join(again, "id", "left_semi"))
+        .withColumns({"row": row, "empty": F.when(F.col("n") == 0, row)})
+        .groupBy("id", "node", "empty").agg(F.min("row").alias("row"))
+    )
+    # Rows with empty sets need no partner; a key of their own deals them out.
+    several = several.withColumn("node", F.when(F.col("empty").isNull(), F.col("node")).otherwise(F.xxhash64("empty")))
+    judged = several.join(stays.withColumn("stays", F.lit(True)), ["id", "node"], "left")
+    return named(once.drop("id").unionByName(judged.where("empty is not null or stays").select("row.*")))
