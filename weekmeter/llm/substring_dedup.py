@@ -1,19 +1,18 @@
-"""Substring dedup by relative Lempel-Ziv parsing: documents become factors that point to earlier text.
+"""Substring dedup by an exact join of window hashes, which takes the place of a relative Lempel-Ziv parse.
 
 A window is ``WINDOW`` consecutive words. The reference is the corpus itself, in blocks:
 
 1. Anchors. Each window picks the least hash among its ``ANCHOR``-word grams, so equal windows pick
    equal anchors, about two words in thirteen start one, and an anchor that occurs once in the corpus rules
    out all windows that pick it. Only windows with a repeated anchor go on.
-2. Local blocks. The windows a task holds are indexed, and parsed against that index: a window that
+2. Local blocks. The windows a task holds are indexed, and looked up in that index: a window that
    occurs earlier in the block gets a pointer there. Only its first place in the block goes further,
    so a passage in a third of all documents sends one row per block, not one per document.
 3. All blocks. The first places meet by window hash; each but the earliest gets a pointer to it.
-4. Greedy parse. From left to right a document is cut into factors: a factor goes on as long as the
-   next window points to the next word of the same source. Where it ends, the windows across the
-   boundary are judged by their own pointers. Factors hold at least ``WINDOW`` words; what they cover goes.
+4. Cover. The words of every window that has a pointer go. Factors list the pointers of a document in
+   runs, as long as the next window points to the next word of the same source; they decide nothing.
 
-Documents with one word sequence are copies: the one with the smallest id is parsed, of the others
+Documents with one word sequence are copies: the one with the smallest id is looked up, of the others
 every word is covered. Windows are told apart by 64-bit hashes, word sequences by SHA-256.
 
 Defined results: NULL and empty texts have no words; a NULL id counts as the smallest; rows of one id
@@ -258,7 +257,7 @@ def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
 
 
 def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
-    """The greedy parse of each candidate: id, node, sha, n, factors, words removed, the text kept and its digest.
+    """The covered words of each candidate: id, node, sha, n, factors, words removed, the text kept and its digest.
 
     A factor is (start, length, source id, source start), in words. The text kept is given if ``texts``
     asks for it, and NULL if it is the whole.
@@ -325,7 +324,7 @@ def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
 
 
 def parse(size: int, at: np.ndarray, source: np.ndarray, source_at: np.ndarray):
-    """Cut the pointers of one document into factors; also which of its words they cover."""
+    """List the pointers of one document in runs, as factors; also which of its words the pointers cover."""
     order = np.argsort(at)
     at, source, source_at = at[order], source[order], source_at[order]
     edges = np.zeros(size + 1, np.int64)
