@@ -182,6 +182,12 @@ def test_reports_scan_contracts_once(stored_raw, no_broadcast, check):
     assert "Expand" not in text
 
 
+def test_contracts_of_a_member_are_not_gathered_in_one_row(stored_raw, no_broadcast):
+    t = LazyTables(stored_raw)
+    text = plan(quality.multi_contract_members(t.active_days, t.stg_user_contracts, t.stg_memberships))
+    assert "collect_" not in text
+
+
 def test_merging_copies_of_members_takes_no_shuffle_of_its_own(stored_raw, no_broadcast):
     text = plan(LazyTables(stored_raw).fct_account_billing_weekly)
     shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", text)

@@ -113,26 +113,24 @@ def multi_contract_members(
 ) -> DataFrame:
     """Members with more than one contract active in a week, with their contracts and locations.
 
-    ``activity`` is as for ``contract_activity``. Its rows hold a contract once per week and location,
-    so contracts are grouped with the least and the greatest location each, and then counted.
+    ``activity`` is as for ``contract_activity``. Contracts and locations of a member become rows of their
+    own, distinct before they are counted, so that a member of very many fills no task's memory.
     """
     rows = contract_activity(activity, contracts, memberships)
     member = ["account_id", "week_start", "membership_id"]
-    several = (
-        rows.groupBy(*member)
-        .agg(
-            F.min("user_contract_id").alias("first"),
-            F.max("user_contract_id").alias("last"),
-            F.collect_set("user_contract_id").alias("contracts"),
-            F.collect_set("location_id").alias("locations"),
-        )
-        .filter("first < last")
-    )
-    return several.select(
-        *member,
-        F.size("contracts").cast("bigint").alias("contract_count"),
-        F.size("locations").cast("bigint").alias("location_count"),
+    names = ("user_contract_id", "location_id")
+    entries = F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in names))
+    distinct = (
+        rows.select(*member, F.explode(entries).alias("entry"))
+        .select(*member, "entry.kind", "entry.value")
+        .filter("value is not null")
+        .distinct()
     )
+    counts = [
+        F.count(F.when(F.col("kind") == c, True)).alias(name)
+        for c, name in zip(names, ("contract_count", "location_count"), strict=True)
+    ]
+    return distinct.groupBy(*member).agg(*counts).filter("contract_count > 1")
 
 
 def inactive_members(memberships: DataFrame, contracts: DataFrame, activity: DataFrame) -> DataFrame:
