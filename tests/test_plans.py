@@ -188,6 +188,12 @@ def test_contracts_of_a_member_are_not_gathered_in_one_row(stored_raw, no_broadc
     assert "collect_" not in text
 
 
+def test_copies_of_orphan_contracts_are_not_expanded_from_one_row(stored_raw, no_broadcast):
+    t = LazyTables(stored_raw)
+    text = plan(quality.orphan_contracts(t.stg_user_contracts, t.stg_memberships))
+    assert "sequence(" not in text and "LeftAnti" in text
+
+
 def test_merging_copies_of_members_takes_no_shuffle_of_its_own(stored_raw, no_broadcast):
     text = plan(LazyTables(stored_raw).fct_account_billing_weekly)
     shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", text)

@@ -1,6 +1,6 @@
 """Data-quality reports.
 
-Each groups before it joins and keeps NULL keys out of the joins, so that a hot key, a missing key
+Each that counts groups before it joins and keeps NULL keys out of the joins, so that a hot key, a missing key
 or a mass of copies costs a few rows instead of one overfull task. Grouping the side that is only
 looked up takes no shuffle of its own: the join needs the same partitioning.
 """
@@ -50,15 +50,13 @@ def orphan_events(events: DataFrame, contracts: DataFrame) -> DataFrame:
 def orphan_contracts(contracts: DataFrame, memberships: DataFrame) -> DataFrame:
     """Contracts whose membership is NULL or unknown, with one scan of the contracts.
 
-    Contracts without a membership match nothing and stay; grouped by all that is shown, their copies
-    and those of a hot membership merge before the join, and are counted out again after it.
+    Contracts without a membership match nothing and stay. Every copy is a row of the result, so rows are
+    not grouped: they stream through the join, where the adaptive skew join may split a hot membership.
     """
-    columns = ["user_contract_id", "account_id", "membership_id"]
-    orphans = contracts.groupBy(*columns).agg(_rows()).join(
-        memberships.select("membership_id").distinct(), "membership_id", "left_anti"
-    )
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("row_count")))
-    return orphans.select(*columns, copies.alias("copy")).select(*columns)
+    known = memberships.select("membership_id").distinct()
+    return contracts.select("user_contract_id", "account_id", "membership_id").join(
+        known, "membership_id", "left_anti"
+    ).select("user_contract_id", "account_id", "membership_id")
 
 
 def boolean_spellings(raw_locations: DataFrame, raw_memberships: DataFrame) -> DataFrame:
