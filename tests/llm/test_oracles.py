@@ -18,6 +18,9 @@ COLUMNS = {
         "n_repeat_words bigint, content_words bigint, base_failed boolean, kept boolean"
     ),
     "op10_ann": "query_id bigint, rank int, vec_id bigint, score double",
+    "op13_embedding_whitening": (
+        "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
+    ),
 }
 
 

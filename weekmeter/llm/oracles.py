@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weekmeter.llm.fim import ORACLE as FILL_IN_MIDDLE
+from weekmeter.llm.line_dedup import ORACLE as LINES
 from weekmeter.llm.mixing import ORACLE as MIXING
 
 CHAT = r"""
@@ -85,4 +87,6 @@ SQL = {
     "op5_warc": WARC,
     "op7_mixing": MIXING,
     "op8_ngram_join": JACCARD,
+    "op11_line_dedup": LINES,
+    "op12_fill_in_middle": FILL_IN_MIDDLE,
 }

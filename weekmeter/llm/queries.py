@@ -10,6 +10,8 @@ from weekmeter.llm.ann import op10_ann
 from weekmeter.llm.bpe import op6_bpe
 from weekmeter.llm.chat import op1_chat
 from weekmeter.llm.common import prepared
+from weekmeter.llm.fim import op12_fill_in_middle
+from weekmeter.llm.line_dedup import op11_line_dedup
 from weekmeter.llm.mixing import op7_mixing
 from weekmeter.llm.ngram_join import op8_ngram_join
 from weekmeter.llm.oracles import SQL
@@ -18,6 +20,7 @@ from weekmeter.llm.quality_rules import op9_quality_rules
 from weekmeter.llm.sharding import op3_sharding
 from weekmeter.llm.substring_dedup import op4_substring_dedup
 from weekmeter.llm.warc import op5_warc
+from weekmeter.llm.whitening import op13_embedding_whitening
 
 
 QUERIES = (
@@ -31,6 +34,9 @@ QUERIES = (
     op8_ngram_join,
     op9_quality_rules,
     op10_ann,
+    op11_line_dedup,
+    op12_fill_in_middle,
+    op13_embedding_whitening,
 )
 
 
