@@ -5,6 +5,7 @@ import pytest
 
 from tests.llm import plain
 from weekmeter.llm import ngram_join as J
+from weekmeter.llm.common import Cuts
 from weekmeter.llm.components import components
 
 
@@ -144,5 +145,7 @@ def test_stage_tells_rows_of_one_id_apart(spark, documents):
 
 def test_components_of_long_chains_and_big_stars(spark):
     links = [(k, k + 1) for k in range(200)] + [(1000, k) for k in range(1001, 1400)] + [(5000, 5000), (7001, 7000)]
-    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    with Cuts(spark) as cuts:
+        found = components(spark.createDataFrame(links, "a long, b long"), "a", "b", cuts)
+        found = {r["node"]: r["component"] for r in found.collect()}
     assert found == {k: 0 for k in range(201)} | {k: 1000 for k in range(1000, 1400)} | {7000: 7000, 7001: 7000}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import gc
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 from weekmeter.session import setting_number
 
 LOWEST_ID = -(2**63)
+SHARE = 4096
+LEAST_SHARE = 256
 BATCH = 8 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -41,12 +44,77 @@ def shared_path(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there.
 
-    A lost executor then costs a read, not a rerun. Spark removes the files once the frame is gone.
+    A lost executor then costs a read, not a rerun. Spark removes the files once the frame is gone, as
+    ``prepare`` has it do.
     """
     shared_path(df.sparkSession)
     return df.checkpoint()
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Cuts:
+    """Cut points of work in many small steps: tables under the shared folder, removed when they are let go.
+
+    Spark deletes the shuffle files of a step as soon as its table is written, and plans the next one by the
+    table's real size: small ones are then broadcast or read by few tasks. Used as a context; at its end all
+    its tables go, so what is to outlive it must be ``cut`` first.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_path(spark)}/cuts-{uuid.uuid4().hex}"
+        self.kept: dict[int, tuple[DataFrame, str]] = {}
+        self.number = 0
+
+    def __enter__(self) -> Cuts:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove(self.spark, self.folder)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The rows as a written table."""
+        path = f"{self.folder}/{self.number}"
+        self.number += 1
+        before = self.spark.conf.get(SHUFFLE_CLEANUP)
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP, before)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self.kept[id(kept)] = kept, path
+        return kept
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Remove tables that nothing reads any more."""
+        for table in tables:
+            if table is not None and id(table) in self.kept:
+                remove(self.spark, self.kept.pop(id(table))[1])
+
+
+def join_spread(rows: DataFrame, table: DataFrame, keys: str | list[str], how: str = "inner") -> DataFrame:
+    """Join rows with a table of one row per key, where a key may hold any share of the rows.
+
+    Keys that hold more than 1 / ``SHARE`` of the rows (and more than ``LEAST_SHARE`` rows) are dealt to as many
+    salts as they hold such shares. There are at most ``SHARE`` keys of that kind, whatever the input, so their
+    list is broadcast, and the table gets at most ``SHARE`` rows more. ``rows`` is read three times: write it first.
+    """
+    keys = [keys] if isinstance(keys, str) else keys
+    unit = max(-(-rows.count() // SHARE), LEAST_SHARE)
+    hot = (
+        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_held")).where(F.col("_held") > unit)
+        .select(*keys, F.ceil(F.col("_held") / unit).cast("int").alias("_salts"))
+    )
+    salt = F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("_salts")).cast("int"), F.lit(0))
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_salts")
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copies = table.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
+    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
 def let_go(spark: SparkSession) -> None:
     """Have Spark delete the shuffle files of frames that are no longer used.
 
@@ -121,12 +189,15 @@ _shipped: set[str] = set()
 def prepare(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, and bound the batches they exchange.
 
+    Checkpoints whose frames are gone are removed from now on: Spark reads that setting at each checkpoint.
+
     ``BATCH`` bytes of rows go to Python at a time: with long texts, Spark's default number of rows
     makes batches that do not fit several times into an executor. Set for good, and only downwards.
     """
     if setting_number(spark.conf.get(BATCH_SETTING)) > BATCH:
         spark.conf.set(BATCH_SETTING, str(BATCH))
     context = spark.sparkContext
+    context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]

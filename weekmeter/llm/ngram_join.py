@@ -18,7 +18,8 @@ Documents of one signature are a bucket. Every member is compared first with the
 buckets, then with the centres of the others unless they are in one component already; last, in blocks,
 the members that still lie in different components. Sizes, and parities of hashed cells, tell at once
 that most pairs are not linked; the rest are compared exactly. No pair that could join two components
-is left out, and the pairs within a group of copies are never listed.
+is left out, and the pairs within a group of copies are never listed. Buckets, centres and nodes that hold
+a large share of the rows are dealt out (``join_spread``), and shuffle files are given back at each cut point.
 
 Defined results: NULL and empty texts, and texts without words, have empty sets and link with nothing;
 texts of equal sets are one node from the start; a NULL id counts as the smallest; the pipeline stage
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekmeter.llm import words as W
-from weekmeter.llm.common import cut, from_key, id_key, in_arrow, read, set_aside
+from weekmeter.llm.common import Cuts, cut, from_key, id_key, in_arrow, join_spread, read, set_aside
 from weekmeter.llm.components import components
 
 SHINGLE = 5
@@ -49,6 +50,7 @@ SKETCH_ROW = 1 << 14  # counters in one row of the sketch while it is added up
 HOT_LEVEL = 14  # buckets expected to hold more than 2**14 documents are salted
 SALTS = 64
 MEMBERS = 1000  # nodes of a group that one block holds
+BLOCK_SHINGLES = 1 << 21  # shingles of a group that one block holds
 COPIES_SEEN = 200_000  # fingerprints remembered in a task, so that copies are indexed once
 
 U64 = np.uint64
@@ -237,14 +239,16 @@ def _index_batch(signs, salts, nodes) -> pa.RecordBatch:
     )
 
 
-def buckets(index: DataFrame) -> DataFrame:
+def buckets(index: DataFrame, cuts: Cuts) -> DataFrame:
     """Members of buckets of two nodes or more: sign, node, and the number of members."""
     bucket = Window.partitionBy("sign", "salt")
     rows = index.withColumns({"x": F.min("node").over(bucket), "y": F.max("node").over(bucket)})
     # Hot buckets were dealt out by salt; whether they hold two nodes shows when their parts are counted.
-    rows = cut(rows.where("salt >= 0 or x <> y").select("sign", "node").distinct())
+    rows = cuts.keep(rows.where("salt >= 0 or x <> y").select("sign", "node").distinct())
     sizes = rows.groupBy("sign").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return rows.join(sizes, "sign")
+    members = cuts.keep(join_spread(rows, sizes, "sign"))
+    cuts.drop(rows)
+    return members
 
 
 def bucket_stars(members: DataFrame) -> DataFrame:
@@ -258,17 +262,17 @@ def bucket_stars(members: DataFrame) -> DataFrame:
         members.join(company, "node").groupBy("sign").agg(F.max(F.struct("company", "node")).alias("m"))
         .select("sign", F.col("m.node").alias("centre"))
     )
-    return members.select("sign", "node").join(centres, "sign").where("node <> centre")
+    return join_spread(members.select("sign", "node"), centres, "sign").where("node <> centre")
 
 
 def likely(pairs: DataFrame, holders: DataFrame) -> DataFrame:
     """Drop the pairs (a, b) that sizes or parities show not to be linked; no linked pair goes."""
     kept = [c for c in pairs.columns if c not in ("a", "b")]
-    sides = pairs
-    for side in ("a", "b"):
-        sides = sides.join(
-            holders.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("parity").alias(f"p{side}")), side
-        )
+    one, two = (
+        holders.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("parity").alias(f"p{side}"))
+        for side in ("a", "b")
+    )
+    sides = join_spread(pairs, two, "b").join(one, "a")  # a centre may have any number of partners
     sides = sides.where("5 * na >= 4 * nb and 5 * nb >= 4 * na").select("a", "b", *kept, "na", "nb", "pa", "pb")
     last = len(kept) + 2
 
@@ -286,55 +290,118 @@ def likely(pairs: DataFrame, holders: DataFrame) -> DataFrame:
     return in_arrow(sides, work, pairs.select("a", "b", *kept).schema)
 
 
-def within_groups(met: DataFrame, holders: DataFrame, found: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) of different components among the nodes that have met one centre.
-
-    Groups are dealt to blocks of about ``MEMBERS``; every two blocks are one task's work, in arrays, and
-    only the pairs that sizes and parities leave are written out.
-    """
+def grouped(met: DataFrame, holders: DataFrame, found: DataFrame) -> DataFrame:
+    """The nodes that have met one centre, and the centre: centre, node, component, n, parity."""
     rows = met.select("b", "a").union(met.select("b", "b").distinct()).toDF("centre", "node")
     of = found.select("node", "component")
     rows = rows.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    groups = rows.groupBy("centre").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")
-    ).where("x <> y")
-    count = F.ceil(F.col("size") / MEMBERS).cast("int")
-    dealt = (
-        rows.join(groups.select("centre", count.alias("blocks")), "centre")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("centre", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "component")
-        .join(holders.select("node", "n", "parity"), "node")
+    return rows.join(holders.select("node", "n", "parity"), "node")
+
+
+def in_blocks(rows: DataFrame, cuts: Cuts) -> DataFrame:
+    """Deal the rows of each centre to pairs of blocks: the rows, with one and two (a pair), and own (its block).
+
+    A block holds about ``MEMBERS`` nodes and ``BLOCK_SHINGLES`` shingles. A component that fills a block has
+    blocks of its own, and is never compared with itself; the others share blocks. Centres of one component
+    have nothing left to compare. ``rows`` must be written.
+    """
+    parts = cuts.keep(
+        rows.groupBy("centre", "component").agg(F.greatest(F.count(F.lit(1)) / MEMBERS, F.sum("n") / BLOCK_SHINGLES).alias("fill"))
+    )
+    several = parts.groupBy("centre").agg(
+        F.count(F.lit(1)).alias("components"), F.sum(F.when(F.col("fill") < 1, F.col("fill"))).alias("rest")
+    ).where("components > 1")
+    dealt = cuts.keep(
+        join_spread(parts, several, "centre")
+        .withColumn("lead", F.when(F.col("fill") >= 1, F.col("component")))
+        .withColumn("count", F.greatest(F.ceil(F.coalesce(F.when(F.col("fill") >= 1, F.col("fill")), "rest")), F.lit(1)).cast("int"))
+        .select("centre", "component", "lead", "count")
+    )
+    blocks = cuts.keep(
+        dealt.select("centre", "lead", "count").distinct()
+        .select("centre", "lead", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("part"))
+        .select("centre", "lead", F.xxhash64("lead", "part").alias("own"))
+    )
+    other = blocks.select("centre", F.col("lead").alias("other_lead"), F.col("own").alias("two"))
+    work = (
+        blocks.withColumnRenamed("own", "one").join(other, "centre").where("one <= two and coalesce(lead <> other_lead, true)")
+        .select("centre", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("own"))
     )
+    own = F.xxhash64("lead", F.pmod(F.xxhash64("node"), F.col("count")).cast("int"))
+    placed = join_spread(rows, dealt, ["centre", "component"]).withColumn("own", own).drop("lead", "count")
+    return placed.join(work, ["centre", "own"])
 
-    def compare(table: pa.Table) -> pa.Table:
-        node, component, n, own = (table.column(c).to_numpy() for c in ("node", "component", "n", "own"))
-        one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
-        parities = table.column("parity").to_pylist()
-        width = np.array([len(x) for x in parities])
-        pairs: list[tuple[np.ndarray, np.ndarray]] = []
-        for wide in np.unique(width):
-            for narrow in (wide, wide // 2):
-                left, right = np.flatnonzero(width == wide), np.flatnonzero(width == narrow)
-                if not len(right):
+
+def likely_pairs(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """A row of a pair of blocks, and the rows of other components that sizes and parities do not rule out.
+
+    No pair comes twice. Of two different blocks, only pairs across them come.
+    """
+    node, component, n, own = (table.column(c).to_numpy() for c in ("node", "component", "n", "own"))
+    apart_only = table.column("one")[0].as_py() != table.column("two")[0].as_py()
+    parities = table.column("parity").to_pylist()
+    width = np.array([len(x) for x in parities])
+    for wide in np.unique(width):
+        left = np.flatnonzero(width == wide)
+        words = np.array([np.frombuffer(parities[k], np.uint64) for k in left])
+        for narrow in (wide, wide // 2):
+            right = np.flatnonzero(width == narrow)
+            if not len(right):
+                continue
+            bits = np.bitwise_xor.reduce(words.reshape(len(left), -1, narrow // 8), axis=1)
+            for at in right.tolist():
+                mates = left[(component[left] != component[at]) & (5 * n[left] >= 4 * n[at]) & (5 * n[at] >= 4 * n[left])]
+                if apart_only:
+                    mates = mates[own[mates] != own[at]]
+                if wide == narrow:
+                    mates = mates[node[mates] < node[at]]
+                if not len(mates):
                     continue
-                bits = np.array([np.frombuffer(parities[k], np.uint64) for k in left])
-                bits = np.bitwise_xor.reduce(bits.reshape(len(left), -1, narrow // 8), axis=1)
-                for at in right.tolist():
-                    mates = left[(component[left] != component[at]) & (5 * n[left] >= 4 * n[at]) & (5 * n[at] >= 4 * n[left])]
-                    if one != two:
-                        mates = mates[own[mates] != own[at]]
-                    if wide == narrow:
-                        mates = mates[node[mates] < node[at]]
-                    own_bits = np.frombuffer(parities[at], np.uint64)
-                    apart = np.bitwise_count(bits[np.searchsorted(left, mates)] ^ own_bits).sum(axis=1)
-                    mates = mates[apart <= (n[mates] + n[at]) // 9]
-                    pairs.append((node[mates], np.full(len(mates), node[at])))
-        a = np.concatenate([x for x, _ in pairs]) if pairs else np.zeros(0, np.int64)
-        b = np.concatenate([x for _, x in pairs]) if pairs else np.zeros(0, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return dealt.groupBy("centre", "one", "two").applyInArrow(compare, "a long, b long").distinct()
+                apart = np.bitwise_count(bits[np.searchsorted(left, mates)] ^ np.frombuffer(parities[at], np.uint64)).sum(axis=1)
+                mates = mates[apart <= (n[mates] + n[at]) // 9]
+                if len(mates):
+                    yield at, mates
+
+
+def with_company(table: pa.Table) -> pa.Table:
+    """The nodes of a pair of blocks that have a likely pair."""
+    seen = np.zeros(table.num_rows, bool)
+    for at, mates in likely_pairs(table):
+        seen[at] = True
+        seen[mates] = True
+    return table.select(["centre", "node"]).filter(pa.array(seen))
+
+
+def joining(table: pa.Table) -> pa.Table:
+    """Links of a pair of blocks, compared exactly: enough of them to join what the links join."""
+    node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+    shingles = table.column("shingles").combine_chunks()
+    places, values = shingles.offsets.to_numpy(), shingles.values.to_numpy()
+    sets = [values[places[k] : places[k + 1]] for k in range(len(node))]
+    _, parent = np.unique(component, return_inverse=True)
+    parent = parent.tolist()  # of each row, its component; of each component, one it has joined
+    roots = list(range(max(parent, default=-1) + 1))
+
+    def root(k: int) -> int:
+        while roots[k] != k:
+            roots[k] = roots[roots[k]]
+            k = roots[k]
+        return k
+
+    a, b = [], []
+    for at, mates in likely_pairs(table):
+        for mate in mates.tolist():
+            one, two = root(parent[at]), root(parent[mate])
+            if one != two and _linked(sets[at], sets[mate]):
+                roots[max(one, two)] = min(one, two)
+                a.append(node[at])
+                b.append(node[mate])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _linked(one: np.ndarray, two: np.ndarray) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= 80 * (len(one) + len(two) - both)
 
 
 def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -372,17 +439,23 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 class _Links:
-    """The links found so far, the components they make, and the sets read so far."""
+    """The components found so far, and the sets read so far."""
 
-    def __init__(self, docs: DataFrame, holders: DataFrame, first: DataFrame):
-        self.docs, self.holders = docs, holders
-        self.sets = cut(shingle_table(docs, self._holding(first)))
-        self.links: DataFrame | None = None
+    def __init__(self, docs: DataFrame, holders: DataFrame, cuts: Cuts):
+        self.docs, self.holders, self.cuts = docs, holders, cuts
+        self.sets: DataFrame | None = None
         self.found: DataFrame | None = None
 
-    def _holding(self, pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        return self.holders.join(nodes, "node")
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """Sets of some nodes (and others), of which those not read yet are read."""
+        wanted = self.holders.join(nodes.distinct(), "node")
+        if self.sets is None:
+            self.sets = self.cuts.keep(shingle_table(self.docs, wanted))
+            return self.sets
+        missing = self.cuts.keep(wanted.join(self.sets.select("node").distinct(), "node", "left_anti"))
+        if not missing.isEmpty():
+            self.sets = self.sets.unionByName(self.cuts.keep(shingle_table(self.docs, missing)))
+        return self.sets
 
     def apart(self, pairs: DataFrame) -> DataFrame:
         """Those pairs that lie in different components."""
@@ -395,43 +468,68 @@ class _Links:
         """Compare likely pairs exactly; add their links."""
         if self.found is not None and pairs.isEmpty():
             return
-        missing = cut(self._holding(pairs).join(self.sets.select("node").distinct(), "node", "left_anti"))
-        if not missing.isEmpty():
-            self.sets = self.sets.unionByName(cut(shingle_table(self.docs, missing)))
-        more = cut(similar(pairs, self.sets))
-        if self.found is not None and more.isEmpty():
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+        self.add(similar(pairs, self.sets_of(nodes)))
+
+    def compare_in_blocks(self, met: DataFrame) -> None:
+        """Two members of a bucket have its centre in common: compare what still lies apart there.
+
+        Parities first tell which nodes have a likely partner at all; only their sets are moved.
+        """
+        rows = self.cuts.keep(grouped(met, self.holders, self.found))
+        keys = ["centre", "one", "two"]
+        company = in_blocks(rows, self.cuts).groupBy(*keys).applyInArrow(with_company, "centre long, node long")
+        company = self.cuts.keep(company.distinct())
+        if company.isEmpty():
             return
-        self.links = more if self.links is None else self.links.union(more)
-        self.found = components(self.links, "a", "b")
+        sets = self.sets_of(company.select("node"))
+        near = self.cuts.keep(rows.join(company, ["centre", "node"]).join(sets, "node"))
+        self.cuts.drop(rows)
+        self.add(in_blocks(near, self.cuts).groupBy(*keys).applyInArrow(joining, "a long, b long"))
+
+    def add(self, links: DataFrame) -> None:
+        """Links beside the components there are; a component is joined as the links of its members to its node."""
+        before, links = self.found, self.cuts.keep(links)
+        if before is None:
+            self.found = components(links, "a", "b", self.cuts)
+        elif not links.isEmpty():
+            stars = before.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            self.found = components(links.unionByName(stars), "a", "b", self.cuts)
+            self.cuts.drop(before)
+        self.cuts.drop(links)
 
 
 def placed_nodes(docs: DataFrame) -> DataFrame:
     """One row per document: id (NULL as the smallest), n, node, component (smallest node reachable)."""
     spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(shingle_counts(docs))
-    nodes = cut(shingled(docs))
-    members = cut(buckets(indexed(docs, counts)))
-    stars = cut(bucket_stars(members))
-    pairs = stars.groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    holders = cut(
-        nodes.where("n > 0").groupBy("node")
-        .agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("parity").alias("parity"))
-        .join(members.select("node").distinct(), "node")
-    )
-
-    # Every member with the centre it shares most signatures with, then with its other centres.
-    met = cut(pairs)
-    pairs = cut(likely(met, holders))
-    links = _Links(docs, holders, pairs)
-    best = pairs.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    links.compare(best)
-    links.compare(cut(links.apart(pairs.join(best, ["a", "b"], "left_anti"))))
+    with Cuts(spark) as cuts:
+        nodes = cuts.keep(shingled(docs))
+        members = buckets(indexed(docs, counts), cuts)
+        met = cuts.keep(
+            bucket_stars(members)
+            .groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+        )
+        holders = cuts.keep(
+            nodes.where("n > 0").groupBy("node")
+            .agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("parity").alias("parity"))
+            .join(members.select("node").distinct(), "node")
+        )
+        cuts.drop(members)
 
-    # Two members of a bucket have its centre in common. What still lies apart there is compared in blocks.
-    links.compare(cut(within_groups(met, holders, links.found)))
+        # Every member with the centre it shares most signatures with, then with its other centres.
+        pairs = cuts.keep(likely(met, holders))
+        links = _Links(docs, holders, cuts)
+        best = cuts.keep(
+            pairs.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+        )
+        links.compare(best)
+        links.compare(cuts.keep(links.apart(pairs.join(best, ["a", "b"], "left_anti"))))
+        cuts.drop(pairs, best)
+        links.compare_in_blocks(met)
 
-    placed = nodes.select("id", "n", "node").join(links.found, "node", "left")
-    return placed.withColumn("component", F.coalesce("component", "node"))
+        placed = nodes.select("id", "n", "node").join(links.found, "node", "left")
+        return cut(placed.withColumn("component", F.coalesce("component", "node")))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -471,7 +569,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     Documents with empty sets all stay, exact repeats of a row aside. An id of one row tells which row it
     is; only rows of ids that repeat are read again for their sets.
     """
-    found = cut(placed_nodes(docs))
+    found = placed_nodes(docs)
     linked = found.where("n > 0")
     stays = cut(linked.groupBy("component").agg(F.min(F.struct("id", "node")).alias("m")).select("m.id", "m.node"))
     kept = stays.select("id").union(found.where("n = 0").select("id"))
