@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weekmeter.llm.common import in_arrow, read
+from weekmeter.llm.common import in_arrow, read, set_aside
 
 CHUNKS = 60_000  # chunks of text that a Python worker remembers, twice at most, while a task runs
 WORDS = 200_000  # words, and pairs of tokens, likewise
@@ -309,12 +309,20 @@ def token_digests(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = Fals
     """All columns but the text, with the number of ids and digests of the ids and of the decoded text.
 
     The same encoder and decoder in one pass; the decoded text is digested piece by piece and not kept.
-    ``with_ids`` adds the ids themselves.
+    ``with_ids`` adds the ids themselves. Own columns named like a new one keep their name, and the new one gets
+    underscores behind its own.
     """
     made = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     made = T.StructType.fromDDL(made)
-    kept = [c for c in docs.columns if c != "text" and c not in made.names]
-    schema = T.StructType([*[docs.schema[c] for c in kept], *made])
+    names = [c for c in docs.columns if c != "text"]
+    new = []
+    for name in made.names:
+        while name in names:
+            name += "_"
+        new.append(name)
+    hidden, _ = set_aside(docs, "text")
+    kept = [c for c in hidden.columns if c != "text"]
+    schema = T.StructType([*[hidden.schema[c] for c in kept], *made])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = vocabulary()
@@ -334,7 +342,8 @@ def token_digests(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = Fals
             columns.append(_id_lists(every))
         return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], schema.names)
 
-    return in_arrow(docs.select(*kept, F.col("text")), work, schema, vocabulary.forget)
+    coded = in_arrow(hidden.select(*kept, "text"), work, schema, vocabulary.forget)
+    return coded.toDF(*names, *new)
 
 
 def _id_lists(encoded: list[bytes]) -> pa.Array:

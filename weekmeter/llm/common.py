@@ -124,6 +124,27 @@ def let_go(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """At most ``sample`` labelled texts of each quality: doc, text, quality.
+
+    Of the ids with a label, those with the smallest hash are taken. An id with both labels counts as the lower
+    one, and of the rows of an id one text is taken, that with the smallest hash; NULL ids have no label. So
+    every run takes the same texts, and never more than twice ``sample`` of them.
+    """
+    known = (
+        labels.select(F.col("doc_id").alias("doc"), F.col("quality").cast("int").alias("quality"))
+        .where("doc is not null and quality in (0, 1)")
+        .groupBy("doc").agg(F.min("quality").alias("quality"))
+    )
+    parts = [
+        known.where(F.col("quality") == quality).orderBy(F.xxhash64("doc"), "doc").limit(sample) for quality in (0, 1)
+    ]
+    picked = F.broadcast(parts[0].union(parts[1]))  # at most twice ``sample`` rows
+    texts = docs.select(F.col("doc_id").alias("doc"), F.coalesce("text", F.lit("")).alias("text")).join(picked, "doc")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    return texts.groupBy("doc", "quality").agg(one).select("doc", "one.text", "quality")
+
+
 def id_key(column: str | Column) -> Column:
     """An id for comparing and grouping: NULL counts as the smallest id there is."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(LOWEST_ID))

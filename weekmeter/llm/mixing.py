@@ -10,7 +10,8 @@ line. A quota of whole rounds takes every block once per round; what is left tak
 blocks from a seeded start, going round at the end, so few documents are cut.
 
 All DataFrame functions. The one grouping by source is spread over ``PLACES`` parts of its line, so a
-source may hold most of the rows.
+source may hold most of the rows; an id that holds more than 1 / ``SHARE`` of the rows is spread over as
+many parts by a hash of its texts. Rows of one id and size are ordered by that hash, so reruns agree.
 
 Defined results: NULL text has size 0; documents without words are never taken; NULL source is a
 source, the last; repeated rows are documents of their own; an empty table gives no rows.
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weekmeter.llm.common import cut, ranked, read, set_aside
+from weekmeter.llm.common import LEAST_SHARE, SHARE, cut, ranked, read, set_aside
 
 BLOCK = 16
 SHARDS = 8
@@ -130,10 +131,19 @@ def mix(
             "_source": F.coalesce("source", F.lit("")),
             "_place": _seeded(F.col("doc_id"), seed),
             "_id": F.col("doc_id"),
+            "_text": F.xxhash64("text"),
         }
-    ).withColumn("_part", F.substring("_place", 1, 3))
+    )
     # Written once: sizes are counted once, and the line is laid out over one fixed set of rows.
-    sized = cut(sized.select(*inner, "size", "_id", "_none", "_source", "_place", "_part"))
+    sized = cut(sized.select(*inner, "size", "_id", "_none", "_source", "_place", "_text"))
+    sized = sized.withColumn("_part", F.substring("_place", 1, 3))
+    # An id that many rows share (NULL, say) has parts of its own, by its texts, behind those it would be in.
+    share = max(-(-sized.count() // SHARE), LEAST_SHARE)
+    often = sized.groupBy("_place").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > share).select("_place")
+    own = F.concat("_place", F.substring(F.hex("_text"), -3, 3))
+    sized = sized.join(F.broadcast(often.withColumn("_often", F.lit(True))), "_place", "left").withColumn(
+        "_part", F.when(F.col("_often"), own).otherwise(F.col("_part"))
+    ).drop("_often")  # at most SHARE ids are broadcast
     sources = cut(shard_quotas(source_targets(sized), block, shards))
 
     parts = sized.groupBy("_none", "_source", "_part").agg(F.sum("size").alias("_n"))
@@ -145,7 +155,7 @@ def mix(
         ),
         ["_none", "_source"],
     )
-    line = Window.partitionBy("_none", "_source", "_part").orderBy("_place", "_id", "size")
+    line = Window.partitionBy("_none", "_source", "_part").orderBy("_place", "_id", "size", "_text")
     placed = sized.withColumn(
         "_inner", F.coalesce(F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).join(parts, ["_none", "_source", "_part"])

@@ -536,7 +536,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per document: id (NULL as the smallest), n, node, component (smallest id reachable)."""
     placed = placed_nodes(docs)
     least = placed.where("n > 0").groupBy("component").agg(F.min("id").alias("least"))
-    return placed.join(least, "component", "left").select(
+    # A component may hold any share of the documents, and all empty sets are one here.
+    return join_spread(placed, least, "component", "left").select(
         "id", "n", "node", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component")
     )
 

@@ -6,7 +6,7 @@ gives the latent space. Every whole text is projected, its cosines with all labe
 in blocks (exactly, as one matrix product), and the labels of the nearest vote by similarity.
 
 The sample is bounded: at most ``SAMPLE`` labelled documents of each label, those with the smallest
-hash of their id, never held-out ones. What is broadcast is the projection and the sample's vectors:
+hash of their id, never held-out ones; one text for each id, and the lower of two labels. What is broadcast is the projection and the sample's vectors:
 some 1.5 MB, whatever the input.
 
 Defined results: NULL and empty texts have no terms and get the sample's share of good texts, as does
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekmeter.llm import words as W
-from weekmeter.llm.common import in_arrow, read
+from weekmeter.llm.common import in_arrow, labelled_sample, read
 from weekmeter.llm.quality_rules import earlier_in_row
 
 SAMPLE = 1200
@@ -118,22 +118,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit_voters(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Voters:
-    """Fit on at most ``sample`` labelled documents of each label that are not held out."""
-    known = labels.select(F.col("doc_id").alias("doc"), F.col("quality").cast("int").alias("quality"))
-    known = known.where(F.col("doc").isNotNull() & ~held_out(F.col("doc"))).dropDuplicates(["doc"])
-    picked = None
-    for quality in (0, 1):
-        part = known.where(F.col("quality") == quality).orderBy(F.xxhash64("doc"), "doc").limit(sample)
-        picked = part if picked is None else picked.union(part)
+    """Fit on at most ``sample`` labelled texts of each label that are not held out."""
+    picked = labelled_sample(docs, labels.where(~held_out(F.col("doc_id"))), sample)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [x.astype(np.float16).tobytes() for _, terms in term_counts(batch.column(1)) for x in terms]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.binary())], ["doc", "quality", "terms"])
 
     schema = T.StructType.fromDDL("doc long, quality int, terms binary")
-    # At most twice SAMPLE ids are broadcast.
-    texts = docs.select(F.col("doc_id").alias("doc"), "text").join(F.broadcast(picked), "doc")
-    table = in_arrow(texts.select("doc", "text", "quality"), work, schema).toArrow().sort_by("doc")
+    table = in_arrow(picked, work, schema).toArrow().sort_by("doc")
     empty = np.zeros(0, np.float32)
     if not table.num_rows:
         return Voters(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), empty.reshape(0, 1), empty)

@@ -5,8 +5,9 @@ decoding finds the likeliest sequence of marks of a text's lines, and the share
 lines decides whether the text stays. Base rules (too short, too repetitive) come first.
 
 The field is trained here, on a bounded sample of labelled documents (``SAMPLE`` of each label, those
-with the smallest hash of their id). A line of the sample counts as boilerplate if it occurs in no
-good document of the sample. Without labelled rows of both kinds every line is content.
+with the smallest hash of their id; one text for each id, and the lower of two labels) and of their lines
+(``CHAINS`` chains of up to ``LONGEST_CHAIN`` lines, those with the smallest hash). A line of the sample
+counts as boilerplate if it occurs in no good document of the sample. Without labelled rows of both kinds every line is content.
 
 Defined results: NULL and empty texts have no words and fail the base rules; NULL ids, repeated rows
 and extra columns are kept as they come; an empty table gives no rows.
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekmeter.llm import words as W
-from weekmeter.llm.common import in_arrow, read, set_aside
+from weekmeter.llm.common import in_arrow, labelled_sample, read, set_aside
 
 SAMPLE = 1000
+CHAINS = 1 << 14  # chains of lines to train on
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of words
 LEAST_CONTENT = 0.5
@@ -138,19 +140,22 @@ def _viterbi(scores: np.ndarray, steps: np.ndarray) -> list[bool]:
     return [m == 1 for m in reversed(marks)]
 
 
-def train(lines: DataFrame) -> LineField:
-    """Fit the field to sampled lines (bounded): columns doc, at, quality, line_hash, features."""
-    table = lines.toArrow()
+def train(chains: DataFrame) -> LineField:
+    """Fit the field to sampled chains of lines (bounded): columns doc, chain, quality, hashes, features.
+
+    All chains of a text but its last are full, so those that were not sampled leave the others' places as they are.
+    """
+    table = chains.toArrow().sort_by([("doc", "ascending"), ("chain", "ascending")])
     size = len(FEATURES)
     nothing = LineField(np.zeros(size), np.zeros((2, 2)))
     quality = table.column("quality").to_numpy()
     if not (quality == 0).any() or not (quality == 1).any():
         return nothing
-    order = np.lexsort((table.column("at").to_numpy(), table.column("doc").to_numpy()))
-    doc = table.column("doc").to_numpy()[order]
-    quality = quality[order]
-    hashes = table.column("line_hash").to_numpy()[order]
-    flat = table.column("features").combine_chunks().flatten().to_numpy().reshape(-1, size)[order]
+    hashes = table.column("hashes").combine_chunks()
+    count = np.diff(hashes.offsets.to_numpy())
+    hashes = hashes.flatten().to_numpy()
+    doc, quality = np.repeat(table.column("doc").to_numpy(), count), np.repeat(quality, count)
+    flat = table.column("features").combine_chunks().flatten().to_numpy().reshape(-1, size)
     good = np.isin(hashes, np.unique(hashes[quality == 1]))
     begin = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
     place = np.arange(len(doc)) - np.repeat(begin, np.diff(np.concatenate((begin, [len(doc)]))))
@@ -196,35 +201,40 @@ def train(lines: DataFrame) -> LineField:
     return LineField(weights, steps)
 
 
-def fit_field(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField:
-    """Train on at most ``sample`` labelled documents of each quality."""
-    known = labels.select(F.col("doc_id").alias("doc"), "quality").where("doc is not null").dropDuplicates(["doc"])
-    picked = None
-    for quality in (0, 1):
-        part = known.where(F.col("quality") == quality).orderBy(F.xxhash64("doc"), "doc").limit(sample)
-        picked = part if picked is None else picked.union(part)
-    texts = docs.select(F.col("doc_id").alias("doc"), "text").join(F.broadcast(picked), "doc")
+def fit_field(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = CHAINS) -> LineField:
+    """Train on at most ``sample`` labelled texts of each quality, and at most ``most`` chains of their lines."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         doc = batch.column(0).to_numpy()
         quality = batch.column(2).to_numpy()
         out = []
         for part in W.texts(batch.column(1)):
             found = W.words(part)
             lines = lines_of(part, found, W.word_hashes(part.data, found))
-            rows = lines.rows + part.rows.start
-            out.append((doc[rows], quality[rows], lines.hashes.view(np.int64), lines.features))
+            if not len(lines.rows):
+                continue
+            first = np.searchsorted(lines.rows, lines.rows)
+            place = np.arange(len(lines.rows)) - first
+            begin = np.flatnonzero(place % LONGEST_CHAIN == 0)
+            rows = lines.rows[begin] + part.rows.start
+            count = np.diff(np.concatenate((begin, [len(place)])))
+            out.append((doc[rows], place[begin] // LONGEST_CHAIN, quality[rows], count, lines.hashes.view(np.int64), lines.features))
         if not out:
             return None
-        doc, quality, hashes, features = (np.concatenate(x) for x in zip(*out, strict=True))
-        lists = pa.FixedSizeListArray.from_arrays(pa.array(features.ravel()), len(FEATURES)).cast(pa.list_(pa.float32()))
+        doc, chain, quality, count, hashes, features = (np.concatenate(x) for x in zip(*out, strict=True))
+        offsets = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc), pa.array(np.arange(len(doc))), pa.array(quality, pa.int32()), pa.array(hashes), lists],
-            ["doc", "at", "quality", "line_hash", "features"],
+            [
+                pa.array(doc), pa.array(chain, pa.int64()), pa.array(quality, pa.int32()),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes)),
+                pa.ListArray.from_arrays(pa.array(offsets * len(FEATURES)), pa.array(features.ravel())),
+            ],
+            ["doc", "chain", "quality", "hashes", "features"],
         )
 
-    schema = "doc long, at long, quality int, line_hash long, features array<float>"
-    return train(in_arrow(texts.select("doc", "text", F.col("quality").cast("int")), work, T.StructType.fromDDL(schema)))
+    schema = "doc long, chain long, quality int, hashes array<long>, features array<float>"
+    chains = in_arrow(labelled_sample(docs, labels, sample), work, T.StructType.fromDDL(schema))
+    return train(chains.orderBy(F.xxhash64("doc", "chain"), "doc", "chain").limit(most))
 
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content_words long"
