@@ -1,0 +1,185 @@
+"""Runs that overlap: commits, leases and clean-up."""
+
+import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+
+from tests.helpers import contract, event, location, member, raw_tables
+from weekmeter.operators import quality
+from weekmeter.plans import rebuild as plans
+from weekmeter.plans.rebuild import rebuild
+from weekmeter.schemas import TABLES
+from weekmeter.sources import commits
+from weekmeter.sources.commits import Counted, LeaseLost, Listing, Overtaken, commit, leased, newest, put_if_absent, sweep
+from weekmeter.sources.tables import children, current_versions, read_audit, read_table, read_totals
+
+ROWS = {
+    "accounts": [{"id": "a1", "name": "A"}],
+    "locations": [location("l1")],
+    "memberships": [member("m1"), member("m2")],
+    "user_contracts": [contract("c1"), contract("c2", "m2")],
+    "shifts": [event("1", "c1"), event("2", "c2")],
+    "rests": [event("1", "c1", "2024-01-09 10:00:00")],
+}
+
+
+def held(monkeypatch, spark, raw, folder, meanwhile, **choice):
+    """Run a rebuild that, with all its tables written, waits until ``meanwhile`` has run."""
+    original = commits.Lease.confirm
+    here = threading.current_thread()
+    calls = []
+
+    def confirm(self):
+        if threading.current_thread() is here and not calls:
+            calls.append(True)
+            meanwhile()
+        original(self)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(commits.Lease, "confirm", confirm)
+        return rebuild(spark, raw, folder, **choice)
+
+
+def test_overlapping_runs_of_other_groups_are_both_kept(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    raw = raw_tables(spark, **ROWS)
+    rebuild(spark, raw, folder)
+    before = current_versions(spark, folder)
+    held(monkeypatch, spark, raw, folder, lambda: rebuild(spark, raw, folder, groups=["staging"]), groups=["facts"])
+    after = current_versions(spark, folder)
+    for name, table in TABLES.items():
+        assert (after[name].run != before[name].run) == (table.group in ("staging", "facts")), name
+        assert read_table(spark, folder, name).count() >= 0
+    assert after["stg_shifts"].run != after["fct_account_billing_weekly"].run
+    assert newest(spark, folder).number == 3 and read_audit(spark, folder).select("run").distinct().count() == 3
+
+
+def test_of_two_runs_of_one_table_the_first_to_finish_wins(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    raw = raw_tables(spark, **ROWS)
+    other = raw_tables(spark, **{**ROWS, "shifts": []})
+    with pytest.raises(Overtaken, match="stg_shifts"):
+        held(monkeypatch, spark, raw, folder, lambda: rebuild(spark, other, folder, groups=["staging"]), groups=["staging"])
+    assert read_table(spark, folder, "stg_shifts").count() == 0
+    assert len(children(spark, f"{folder}/stg_shifts")) == 1 and children(spark, f"{folder}/_leases") == []
+    rebuild(spark, raw, folder, groups=["staging"])
+    assert read_table(spark, folder, "stg_shifts").count() == 2
+
+
+def test_clean_up_spares_what_an_unfinished_run_has_written(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    raw = raw_tables(spark, **ROWS)
+
+    def meanwhile():
+        for _ in range(3):
+            rebuild(spark, raw, folder, groups=["dimensions"])
+        sweep(spark, folder, TABLES)
+        assert len(children(spark, f"{folder}/fct_account_billing_weekly")) == 2
+
+    rebuild(spark, raw, folder)
+    held(monkeypatch, spark, raw, folder, meanwhile, groups=["facts"])
+    assert all(read_table(spark, folder, name).count() >= 0 for name in TABLES)
+
+
+def test_what_a_dead_run_has_written_goes_with_its_lease(spark, tmp_path):
+    folder = str(tmp_path)
+    rebuild(spark, raw_tables(spark, **ROWS), folder)
+    commits.write_text(spark, f"{folder}/_leases/dead", "x")
+    commits.write_text(spark, f"{folder}/stg_shifts/dead/part.parquet", "x")
+    sweep(spark, folder, TABLES)
+    assert len(children(spark, f"{folder}/stg_shifts")) == 2
+    time.sleep(0.05)
+    sweep(spark, folder, TABLES, lease=0.01)
+    assert children(spark, f"{folder}/stg_shifts") == [current_versions(spark, folder)["stg_shifts"].run]
+    assert children(spark, f"{folder}/_leases") == []
+
+
+def test_a_run_that_was_taken_for_dead_does_not_commit(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    raw = raw_tables(spark, **ROWS)
+    rebuild(spark, raw, folder)
+    before = current_versions(spark, folder)
+    with pytest.raises(LeaseLost):
+        held(monkeypatch, spark, raw, folder, lambda: sweep(spark, folder, TABLES, lease=0), groups=["facts"])
+    assert current_versions(spark, folder) == before
+
+
+def test_a_lease_is_renewed_and_given_back(spark, tmp_path):
+    folder = str(tmp_path)
+    with leased(spark, folder, "r", beat=0.02) as lease:
+        first = (tmp_path / "_leases" / "r").read_text()
+        time.sleep(0.5)
+        assert (tmp_path / "_leases" / "r").read_text() != first
+        lease.confirm()
+    assert children(spark, f"{folder}/_leases") == []
+
+
+def test_many_commits_at_once_lose_none(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def one(k):
+        commit(spark, folder, f"r{k}", {f"t{k}": "a int"}, {f"t{k}": Counted(None, k)}, Listing(0, {}))
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(one, range(24)))
+    assert newest(spark, folder).number == 24
+    assert {n: v.run for n, v in current_versions(spark, folder).items()} == {f"t{k}": f"r{k}" for k in range(24)}
+    assert {(r.table_name, r.rows_after) for r in read_audit(spark, folder).collect()} == {(f"t{k}", k) for k in range(24)}
+
+
+@pytest.mark.parametrize("linked", [True, False])
+def test_a_file_is_put_only_once(spark, tmp_path, monkeypatch, linked):
+    path = f"{tmp_path}/x/file"
+    if not linked:
+        original = commits.file_system
+
+        class Other:
+            def __init__(self, system):
+                self.system = system
+
+            def getScheme(self):  # noqa: N802
+                return "hdfs"
+
+            def __getattr__(self, name):
+                return getattr(self.system, name)
+
+        monkeypatch.setattr(commits, "file_system", lambda s, p: (lambda f, t: (Other(f), t))(*original(s, p)))
+    assert put_if_absent(spark, path, "one")
+    assert not put_if_absent(spark, path, "two")
+    assert open(path).read() == "one"
+    assert [x for x in children(spark, f"{tmp_path}/x") if not x.startswith(".")] == ["file"]
+
+
+def test_totals_seen_while_writing_equal_those_of_a_scan(spark, tmp_path):
+    folder = str(tmp_path)
+    rebuild(spark, raw_tables(spark, **ROWS), folder)
+    scan = quality.layer_reconciliation({name: read_table(spark, folder, name) for name in quality.RECONCILED})
+    seen = quality.reconciled_totals(spark, read_totals(spark, folder))
+    assert seen.dtypes == scan.dtypes
+    assert sorted(map(tuple, seen.collect())) == sorted(map(tuple, scan.collect()))
+    assert all(r.agrees and r.left_total > 0 for r in seen.collect())
+    # A later run of one group keeps the totals of the other tables' current versions.
+    rebuild(spark, raw_tables(spark, **ROWS), folder, groups=["facts"])
+    assert sorted(map(tuple, quality.reconciled_totals(spark, read_totals(spark, folder)).collect())) == sorted(map(tuple, seen.collect()))
+
+
+def test_totals_of_empty_tables_are_zero(spark, tmp_path):
+    folder = str(tmp_path)
+    rebuild(spark, raw_tables(spark), folder)
+    assert {(r.left_total, r.right_total, r.agrees) for r in quality.reconciled_totals(spark, read_totals(spark, folder)).collect()} == {(0, 0, True)}
+    assert plans.AUDIT.startswith("table_name")
+
+
+def test_grains_are_counted_in_one_exchange(spark):
+    from weekmeter.plans.lazy import LazyTables
+
+    lazy = LazyTables(raw_tables(spark, **{**ROWS, "accounts": ROWS["accounts"] * 3}))
+    stored = {name: spark.createDataFrame(lazy.table(name).collect(), TABLES[name].ddl) for name in TABLES}
+    found = quality.grain_duplicates(stored)
+    rows = {r.table_name: (r.duplicate_keys, r.extra_rows) for r in found.collect()}
+    assert set(rows) == set(TABLES) and rows["stg_accounts"] == (1, 2) and rows["dim_accounts"] == (1, 2)
+    assert rows["stg_shifts"] == (0, 0)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate(keys=[table_name") == 4  # two counts, each in part and in full

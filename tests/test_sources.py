@@ -256,7 +256,7 @@ def test_old_versions_go_and_the_audit_stays(spark, tmp_path):
     for _ in range(4):
         rebuild(spark, raw, str(tmp_path), groups=["staging"])
     assert len(children(spark, str(tmp_path / "stg_shifts"))) == 2
-    assert len(children(spark, str(tmp_path / "_current"))) == 2
+    assert children(spark, str(tmp_path / "_leases")) == []
     audit = read_audit(spark, str(tmp_path))
     assert audit.select("run").distinct().count() == 4 and audit.filter("table_name = 'stg_shifts' and rows_after = 4").count() == 4
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekmeter.functions.dates import contract_date
@@ -143,65 +143,98 @@ def inactive_members(memberships: DataFrame, contracts: DataFrame, activity: Dat
 
 
 def grain_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Keys that occur more than once at each table's grain, and the rows beyond the first."""
-
-    def check(name: str, df: DataFrame) -> DataFrame:
-        repeated = df.groupBy(*TABLES[name].grain).agg(_rows()).filter("row_count > 1")
-        return repeated.agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("duplicate_keys"),
-            F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("extra_rows"),
-        )
+    """Keys that occur more than once at each table's grain, and the rows beyond the first.
+
+    All tables share one exchange: a row is its table's name and a 256-bit digest of its key, counted per map
+    task first, so a key that repeats often moves little. The digest is of the key as JSON with NULLs in it,
+    which tells values and columns apart.
+    """
+
+    def keys(name: str, df: DataFrame) -> DataFrame:
+        key = F.to_json(F.struct(*TABLES[name].grain), {"ignoreNullFields": "false"})
+        return df.select(F.lit(name).alias("table_name"), F.unhex(F.sha2(key, 256)).alias("key"))
+
+    counts = _union([keys(name, df) for name, df in tables.items()]).groupBy("table_name", "key").agg(_rows())
+    more = F.col("row_count") > 1
+    found = counts.groupBy("table_name").agg(
+        F.count(F.when(more, True)).alias("duplicate_keys"), F.sum(F.when(more, F.col("row_count") - 1)).alias("extra_rows")
+    )
+    # A table without rows has a result, too.
+    names = F.explode(F.array(*map(F.lit, tables))).alias("table_name")
+    every = next(iter(tables.values())).sparkSession.range(1).select(names)
+    zero = F.lit(0).cast("bigint")
+    return every.join(found, "table_name", "left").select(
+        "table_name",
+        F.coalesce("duplicate_keys", zero).alias("duplicate_keys"),
+        F.coalesce("extra_rows", zero).alias("extra_rows"),
+    )
 
-    return _union([check(name, df) for name, df in tables.items()])
 
+# Totals that must agree: of a check, two sides, each a table and what is summed of it.
+_ROWS = "count(1)"
+LAYER_CHECKS = {
+    "events_vs_daily_counts": (
+        ("int_all_schedules", _ROWS),
+        ("int_employee_activity_daily", "sum(schedule_count)"),
+    ),
+    "daily_rows_vs_active_days": (
+        ("int_employee_activity_daily", _ROWS),
+        ("int_employee_activity_weekly", "sum(active_days_in_week)"),
+    ),
+    "location_vs_account_revenue": (
+        ("fct_location_revenue_weekly", "sum(total_location_revenue)"),
+        ("fct_account_billing_weekly", "sum(expected_weekly_revenue)"),
+    ),
+}
 
 # The tables whose totals are compared.
-RECONCILED = (
-    "int_all_schedules",
-    "int_employee_activity_daily",
-    "int_employee_activity_weekly",
-    "fct_location_revenue_weekly",
-    "fct_account_billing_weekly",
-)
+RECONCILED = tuple(dict.fromkeys(table for sides in LAYER_CHECKS.values() for table, _ in sides))
+
+
+def layer_totals(table: str) -> dict[str, Column]:
+    """The totals of a table that checks compare, by name, to be seen while the table is written."""
+    return {what: F.expr(what) for sides in LAYER_CHECKS.values() for name, what in sides if name == table}
 
 
 def layer_reconciliation(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Totals that must agree between a table and the one built from it."""
-    rows = F.count(F.lit(1))
-    checks = {
-        "events_vs_daily_counts": (
-            ("int_all_schedules", rows),
-            ("int_employee_activity_daily", F.sum("schedule_count")),
-        ),
-        "daily_rows_vs_active_days": (
-            ("int_employee_activity_daily", rows),
-            ("int_employee_activity_weekly", F.sum("active_days_in_week")),
-        ),
-        "location_vs_account_revenue": (
-            ("fct_location_revenue_weekly", F.sum("total_location_revenue")),
-            ("fct_account_billing_weekly", F.sum("expected_weekly_revenue")),
-        ),
-    }
-
-    def totals(name: str) -> DataFrame:
-        return _union(
-            [
-                tables[table].agg(
-                    F.lit(name).alias("check_name"),
-                    F.lit(side).alias("side"),
-                    F.coalesce(total.cast(MONEY), F.lit(0).cast(MONEY)).alias("total"),
-                )
-                for side, (table, total) in zip(("left", "right"), checks[name])
-            ]
-        )
+    """Totals that must agree between a table and the one built from it, from the tables' rows.
+
+    Each table is read once for all its totals.
+    """
+
+    def totals(table: str) -> DataFrame:
+        found = tables[table].agg(*[total.cast(MONEY).alias(what) for what, total in layer_totals(table).items()])
+        entries = [
+            F.struct(F.lit(check).alias("check_name"), F.lit(side).alias("side"), F.col(f"`{what}`").alias("total"))
+            for check, sides in LAYER_CHECKS.items()
+            for side, (name, what) in zip(("left", "right"), sides, strict=True)
+            if name == table
+        ]
+        return found.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*")
+
+    return _agreement(_union([totals(table) for table in RECONCILED]))
+
+
+def reconciled_totals(spark: SparkSession, seen: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """The same from the totals that were seen while the tables were written: no table is read.
+
+    ``seen`` has the totals by table (``sources.tables.read_totals``); a sum over no rows is not among them.
+    """
+    rows = [
+        (check, side, seen[table].get(what))
+        for check, sides in LAYER_CHECKS.items()
+        for side, (table, what) in zip(("left", "right"), sides, strict=True)
+    ]
+    given = spark.createDataFrame(rows, "check_name string, side string, total string")
+    return _agreement(given.withColumn("total", F.col("total").cast(MONEY)))
+
 
+def _agreement(totals: DataFrame) -> DataFrame:
     def one(side: str) -> Column:
-        return F.max(F.when(F.col("side") == side, F.col("total")))
+        return F.coalesce(F.max(F.when(F.col("side") == side, F.col("total"))), F.lit(0).cast(MONEY))
 
     return (
-        _union([totals(name) for name in checks])
-        .groupBy("check_name")
+        totals.groupBy("check_name")
         .agg(one("left").alias("left_total"), one("right").alias("right_total"))
         .withColumn("agrees", F.col("left_total") == F.col("right_total"))
     )

@@ -8,17 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weekmeter.operators import activity, attribution, dimensions, pricing, staging
 from weekmeter.operators.pricing import STANDARD_RATES, RateCard
+from weekmeter.operators.quality import layer_totals
 from weekmeter.schemas import GROUPS
 from weekmeter.session import estimated_bytes, sized_shuffles
-from weekmeter.sources.tables import (
-    Version,
-    current_versions,
-    discard,
-    finish,
-    new_run,
-    read_version,
-    write_version,
-)
+from weekmeter.sources.commits import Counted, Version, commit, leased, newest, sweep
+from weekmeter.sources.tables import discard, new_run, read_version, write_version
 from weekmeter.sources.together import run_together
 
 AUDIT = "table_name string, rows_before bigint, rows_after bigint"
@@ -54,18 +48,26 @@ def rebuild(
     """Replace the tables of the chosen groups and return the audit: one row per written table.
 
     All of them change together once the last is written; a run that fails leaves every table as it
-    was. Tables of groups left out must be in ``folder`` already. ``rows_before`` is given for the
-    two roll-ups and counts the table they read. The audit is stored with the run, too.
+    was. Runs may overlap: those of other groups are both kept, and of two that replace the same table the one
+    that finishes first wins and the other raises ``Overtaken``. Tables of groups left out must be in
+    ``folder`` already, and are read as they were when the run began. ``rows_before`` is given for the
+    two roll-ups and counts the table they read. The audit is stored with the run, too, and so are the totals
+    that ``quality.reconciled_totals`` compares.
 
     Shuffles are sized from the estimated size of the raw tables, if the session's setting is lower.
     """
-    tables = rates.tables()
     run = new_run()
-    stored_before = current_versions(spark, folder)
-    written: dict[str, int] = {}
+    with leased(spark, folder, run) as lease:
+        return _rebuild(spark, raw, folder, groups, rates, permissive, run, lease)
+
+
+def _rebuild(spark, raw, folder, groups, rates, permissive, run, lease) -> DataFrame:
+    tables = rates.tables()
+    begun = newest(spark, folder)
+    written: dict[str, Counted] = {}
 
     def stored(name: str) -> DataFrame:
-        version = Version(run, tables[name].ddl) if name in written else stored_before.get(name)
+        version = Version(run, tables[name].ddl) if name in written else begun.versions.get(name)
         if version is None:
             raise ValueError(f"no finished write of {name} in {folder}")
         return read_version(spark, folder, name, version)
@@ -119,18 +121,23 @@ def rebuild(
         for name in names:
             if tables[name].group in chosen:
                 started.append(name)
-                written[name] = write_version(steps[name](), folder, name, tables[name], run)
+                written[name] = write_version(
+                    steps[name](), folder, name, tables[name], run, layer_totals(name)
+                )
 
-    def audit_row(name: str) -> tuple[str, int | None, int]:
-        return name, written.get(tables[name].counts_input), written[name]
+    def counted(name: str) -> Counted:
+        before = written.get(tables[name].counts_input)
+        return Counted(before and before.rows_after, written[name].rows_after, written[name].totals)
 
     try:
         with sized_shuffles(spark, estimated_bytes(raw.values())):
             for phase in PHASES:
                 run_together(spark, write, [x for x in phase if any(tables[n].group in chosen for n in x)])
-        audit = [audit_row(name) for name in tables if name in written]
-        finish(spark, folder, run, {name: tables[name].ddl for name in written}, audit)
+        counts = {name: counted(name) for name in tables if name in written}
+        lease.confirm()
+        commit(spark, folder, run, {name: tables[name].ddl for name in counts}, counts, begun)
     except BaseException:
         discard(spark, folder, run, started)
         raise
-    return spark.createDataFrame(audit, AUDIT)
+    sweep(spark, folder, counts)
+    return spark.createDataFrame([(name, c.rows_before, c.rows_after) for name, c in counts.items()], AUDIT)

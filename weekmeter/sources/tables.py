@@ -1,8 +1,8 @@
-"""Stored tables: Parquet folders, one per finished run, and a small list of the versions that count.
+"""Stored tables: Parquet folders, one per finished run, and a log of commits that says which count.
 
-A run writes its tables to new folders. Only when all are written does it add one file to the list,
-which names the current version of every table; readers follow the newest list. A run that fails, or
-loses its driver, changes nothing, and a table without a finished write cannot be read.
+A run writes its tables to new folders. Only when all are written does it commit them, all at once
+(``commits``); readers follow the newest commit. A run that fails, or loses its driver, changes nothing, a table
+without a finished write cannot be read, and runs may overlap.
 """
 
 from __future__ import annotations
@@ -11,30 +11,21 @@ import tempfile
 import time
 import uuid
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weekmeter.schemas import Table
+from weekmeter.sources.commits import Counted, Version, children, history, newest, remove
 
-CURRENT = "_current"
-AUDIT = "_audit"
-LISTED = "run string, table_name string, version string, ddl string"
-AUDITED = "run string, table_name string, rows_before bigint, rows_after bigint"
-
-
-@dataclass(frozen=True)
-class Version:
-    """A finished write of a table: the run that made it and its columns."""
-
-    run: str
-    ddl: str
+__all__ = [
+    "children", "current_versions", "discard", "new_run", "read_audit", "read_table", "read_tables", "read_totals",
+    "read_version", "remove", "shared_folder", "table_path", "write_version",
+]
 
 
 def new_run() -> str:
-    """A name that sorts after those of earlier runs."""
+    """A name for a run; names of runs that start later sort after it."""
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
@@ -43,15 +34,8 @@ def table_path(folder: str, name: str, run: str) -> str:
 
 
 def current_versions(spark: SparkSession, folder: str) -> dict[str, Version]:
-    """The current version of each table of a folder, from the newest list; a few dozen rows."""
-    try:
-        listed = spark.read.schema(LISTED).json(f"{folder.rstrip('/')}/{CURRENT}/*").collect()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    newest = max((row.run for row in listed), default=None)
-    return {row.table_name: Version(row.version, row.ddl) for row in listed if row.run == newest}
+    """The current version of each table of a folder, from the newest commit."""
+    return dict(newest(spark, folder).versions)
 
 
 def read_version(spark: SparkSession, folder: str, name: str, version: Version) -> DataFrame:
@@ -77,50 +61,37 @@ def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[
 
 def read_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts of all finished runs."""
-    return spark.read.schema(AUDITED).json(f"{folder.rstrip('/')}/{AUDIT}/*")
+    return history(spark, folder).drop("totals")
+
 
+def read_totals(spark: SparkSession, folder: str) -> dict[str, dict[str, str]]:
+    """The sums that were seen while the current version of each table was written, with ``rows``; few rows."""
+    current = {name: version.run for name, version in current_versions(spark, folder).items()}
+    rows = history(spark, folder).where("totals is not null").collect() if current else []
+    return {r.table_name: r.totals for r in rows if current.get(r.table_name) == r.run}
 
-def write_version(df: DataFrame, folder: str, name: str, table: Table, run: str) -> int:
-    """Write a table for a run and return its row count, without a second scan.
+
+def write_version(
+    df: DataFrame, folder: str, name: str, table: Table, run: str, totals: Mapping[str, Column] | None = None
+) -> Counted:
+    """Write a table for a run and return its row count and some sums, without a second scan.
 
     Partitioned tables are first rebalanced on the partition column: small weeks share a task and a
     week that holds much of the table is split over several, so files are neither tiny nor huge.
 
-    The count is observed last, in the stage that writes. Spark counts each task of that stage
+    They are observed last, in the stage that writes. Spark counts each task of that stage
     once, also when an executor is lost and tasks run again; before a shuffle it could count twice.
     """
     if table.partition_by:
         df = df.hint("rebalance", *table.partition_by)
-    rows = Observation()
-    writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write
+    seen = Observation()
+    sums = {"rows": F.count(F.lit(1)), **(totals or {})}
+    writer = df.observe(seen, *[total.cast("string").alias(key) for key, total in sums.items()]).write
     if table.partition_by:
         writer = writer.partitionBy(*table.partition_by)
     writer.parquet(table_path(folder, name, run))
-    return rows.get["rows"]
-
-
-def finish(
-    spark: SparkSession, folder: str, run: str, ddl: Mapping[str, str], audit: Iterable[tuple]
-) -> None:
-    """Make the tables of a run the current ones, all at once: the new list is one file.
-
-    The version before stays for those who read it now; older ones go.
-    """
-    base = folder.rstrip("/")
-    before = current_versions(spark, folder)
-    after = before | {name: Version(run, columns) for name, columns in ddl.items()}
-    audited = [(run, *row) for row in audit]
-    spark.createDataFrame(audited, AUDITED).coalesce(1).write.json(f"{base}/{AUDIT}/{run}")
-    listed = [(run, name, version.run, version.ddl) for name, version in after.items()]
-    spark.createDataFrame(listed, LISTED).coalesce(1).write.json(f"{base}/{CURRENT}/{run}")
-    for name in ddl:
-        keep = {run} | ({before[name].run} if name in before else set())
-        for version in children(spark, f"{base}/{name}"):
-            if version < run and version not in keep:
-                remove(spark, f"{base}/{name}/{version}")
-    lists = sorted(children(spark, f"{base}/{CURRENT}"))
-    for old in lists[: max(0, lists.index(run) - 1)]:
-        remove(spark, f"{base}/{CURRENT}/{old}")
+    found = {key: value for key, value in seen.get.items() if value is not None}
+    return Counted(None, int(found["rows"]), found)
 
 
 def discard(spark: SparkSession, folder: str, run: str, names: Iterable[str]) -> None:
@@ -129,21 +100,6 @@ def discard(spark: SparkSession, folder: str, run: str, names: Iterable[str]) ->
         remove(spark, table_path(folder, name, run))
 
 
-def _file_system(spark: SparkSession, path: str):
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def children(spark: SparkSession, path: str) -> list[str]:
-    system, target = _file_system(spark, path)
-    return [x.getPath().getName() for x in system.listStatus(target)] if system.exists(target) else []
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    system, target = _file_system(spark, path)
-    system.delete(target, True)
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for written tables, under the shared folder named in ``spark.checkpoint.dir``.
 
