@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -7,11 +8,9 @@ from weekmeter.plans.lazy import LazyTables
 from weekmeter.plans.rebuild import rebuild
 from weekmeter.schemas import GROUPS, RAW_COLUMNS, RAW_FILES, TABLES
 from weekmeter.operators.pricing import Band, RateCard, Tier
-from weekmeter.sources.csv_extracts import Dialect, read_extract, read_raw, write_raw
+from weekmeter.sources.csv_extracts import Dialect, detect_dialect, read_extract, read_raw, write_raw
 from weekmeter.sources.tables import children, read_audit, read_table, remove, shared_folder
 
-MULTI_LINE = pytest.mark.parametrize("multi_line", [True, False])
-
 
 def write(folder, name, text):
     path = folder / name
@@ -19,46 +18,98 @@ def write(folder, name, text):
     return str(path)
 
 
-@MULTI_LINE
-def test_columns_are_read_by_header_name(spark, tmp_path, multi_line):
+def test_columns_are_read_by_header_name(spark, tmp_path):
     path = write(tmp_path, "x.csv", "name,extra,id\nAnna,9,007\nBert,8,08\n")
-    assert values(read_extract(spark, path, ["id", "name"], multi_line), "id", "name") == [("007", "Anna"), ("08", "Bert")]
+    assert values(read_extract(spark, path, ["id", "name"]), "id", "name") == [("007", "Anna"), ("08", "Bert")]
 
 
-@MULTI_LINE
-def test_quotes_spaces_and_empty_values(spark, tmp_path, multi_line):
+def test_quotes_spaces_and_empty_values(spark, tmp_path):
     path = write(tmp_path, "x.csv", 'id,a,b\n1,"x, ""y""", z \n2,,""\n3, true ,"\\"\n')
-    df = read_extract(spark, path, ["id", "a", "b"], multi_line)
+    df = read_extract(spark, path, ["id", "a", "b"])
     assert values(df, "id", "a", "b") == [
         ("1", 'x, "y"', " z "), ("2", None, None), ("3", " true ", "\\"),
     ]
 
 
-def test_quoted_line_break_is_kept_in_free_text(spark, tmp_path):
-    path = write(tmp_path, "x.csv", 'id,name\n1,"two\nlines"\n2,one\n')
-    assert values(read_extract(spark, path, ["id", "name"], True), "id", "name") == [("1", "two\nlines"), ("2", "one")]
+def test_quoted_line_break_is_kept(spark, tmp_path):
+    path = write(tmp_path, "x.csv", 'id,name\n1,"two\nlines"\n2,one\n3,"a\r\n\n\nb"\r\n')
+    assert values(read_extract(spark, path, ["id", "name"]), "id", "name") == [("1", "two\nlines"), ("2", "one"), ("3", "a\r\n\n\nb")]
 
 
 @pytest.mark.parametrize("columns", [["id", "a", "b"], ["id"]])
-@pytest.mark.parametrize("body", ['1,"two\nlines",x\n', '1,x,"two\nlines"\n', "1,x\n", "1,x,y,z\n"])
-def test_broken_record_fails_a_split_read(spark, tmp_path, body, columns):
+@pytest.mark.parametrize("body", ["1,x\n", "1,x,y,z\n", '1,"x,y\n', '1,5" x,y\n2,6" x,z\n', '1,x, "y\n2" ,x,z\n'])
+def test_broken_record_fails(spark, tmp_path, body, columns):
     path = write(tmp_path, "x.csv", "id,a,b\n" + body)
     with pytest.raises(Exception):
-        read_extract(spark, path, columns, False).collect()
+        read_extract(spark, path, columns).collect()
 
 
 @pytest.mark.parametrize("body", ['1,x,"two\n2,y,lines"\n', '1,x,"two\n2,y,"\n', '"1\n",x,y\n', '1,x,"a ""b\n2,y,c"" d"\n'])
-def test_torn_record_never_reads_as_two(spark, tmp_path, body):
+def test_torn_record_reads_as_one(spark, tmp_path, body):
     path = write(tmp_path, "x.csv", "id,a,b\n" + body + "3,z,ok\n")
-    with pytest.raises(Exception):
-        read_extract(spark, path, ["id", "b"], False).collect()
-    assert read_extract(spark, path, ["id", "b"], True).count() == 2
+    found = values(read_extract(spark, path, ["id", "b"]), "id", "b")
+    assert len(found) == 2 and ("3", "ok") in found
+
+
+def odd_shifts(rnd, count):
+    bits = ["plain", "two\nlines", 'a "quoted" word', "\n", '"\n"', "a,b", "\r\n", "x" * 300 + "\n\n", '""', "trailing \n"]
+    return [event(str(k), "c" + rnd.choice(bits), planification_type=rnd.choice(bits) * rnd.randint(1, 4)) for k in range(count)]
+
+
+@pytest.mark.parametrize("size", ["97b", "512b", "2k", "1m"])
+def test_line_breaks_read_right_over_any_splits(spark, tmp_path, size):
+    rnd = random.Random(size)
+    rows = odd_shifts(rnd, 120)
+    long = "a very long value\n" * 300  # goes on over many ranges
+    raw = raw_tables(spark, shifts=rows + [event("long", "c", planification_type=long)], user_contracts=[contract("1", contract_start="2023\n01")])
+    raw = {**raw, "raw_shifts": raw["raw_shifts"].coalesce(2)}
+    write_raw(spark, raw, str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        back = read_raw(spark, str(tmp_path))
+        for name in ("raw_shifts", "raw_user_contracts"):
+            assert values(back[name], *RAW_COLUMNS[name]) == values(raw[name], *RAW_COLUMNS[name])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_value_that_is_never_closed_is_named(spark, tmp_path):
+    path = write(tmp_path, "x.csv", 'id,a\n1,"x\n2,y\n')
+    with pytest.raises(ValueError, match="never closed in .*x.csv"):
+        read_extract(spark, path, ["id"])
+
+
+@pytest.mark.parametrize("delimiter", [",", ";", "\t", "|"])
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_dialects_are_found(spark, tmp_path, delimiter, quote):
+    rows = [event(str(k), f"it, is; {k}|5 o'clock \"sharp\"\tand\nso on") for k in range(30)]
+    raw = raw_tables(spark, shifts=rows, accounts=[{"id": "1", "name": "a;b,c"}])
+    write_raw(spark, raw, str(tmp_path), Dialect(delimiter, quote))
+    back = read_raw(spark, str(tmp_path))
+    for name, columns in RAW_COLUMNS.items():
+        assert values(back[name], *columns) == values(raw[name], *columns), name
+
+
+def test_dialect_of_odd_samples():
+    assert detect_dialect([]) == Dialect() == detect_dialect(["", ""]) == detect_dialect(["one", "two"])
+    assert detect_dialect(["a;b", "1;2,5", "2;3,5"]) == Dialect(";")
+    assert detect_dialect(["a\tb,c", "1\t2", "2\t3"], ["a", "b,c"]) == Dialect("\t")
+    assert detect_dialect(["a,b;c", "1,2", "3,4"], ["a"]) == Dialect(",")
+    assert detect_dialect(["'a';'b'", "'1';'it''s'"]) == Dialect(";", "'")
+    assert detect_dialect(["a,b", '1,"x']) == Dialect()
+
+
+def test_given_dialect_is_not_looked_for(spark, tmp_path):
+    path = write(tmp_path, "x.csv", "id;a,b\n1;x,y\n")
+    assert read_extract(spark, path, ["id;a"], Dialect(",")).collect()[0][0] == "1;x"
+    assert read_extract(spark, path, ["id"]).collect()[0][0] == "1"
 
 
-@MULTI_LINE
-def test_other_delimiter_and_quote(spark, tmp_path, multi_line):
+def test_other_delimiter_and_quote(spark, tmp_path):
     path = write(tmp_path, "x.csv", "id;a;b\n1;37,5;'x; ''y'' z'\n2;\"q;\n")
-    df = read_extract(spark, path, ["id", "a", "b"], multi_line, Dialect(";", "'"))
+    df = read_extract(spark, path, ["id", "a", "b"], Dialect(";", "'"))
     assert values(df, "id", "a", "b") == [("1", "37,5", "x; 'y' z"), ("2", '"q', None)]
 
 
@@ -82,36 +133,32 @@ def test_memberships_are_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-@MULTI_LINE
-def test_wrong_number_of_values_fails(spark, tmp_path, multi_line):
+def test_wrong_number_of_values_fails(spark, tmp_path):
     path = write(tmp_path, "x.csv", "id,a,b\n1,x\n")
     with pytest.raises(Exception):
-        read_extract(spark, path, ["id", "a"], multi_line).collect()
+        read_extract(spark, path, ["id", "a"]).collect()
 
 
-@MULTI_LINE
-def test_missing_column_fails(spark, tmp_path, multi_line):
+def test_missing_column_fails(spark, tmp_path):
     path = write(tmp_path, "x.csv", "id,a\n1,x\n")
     with pytest.raises(Exception):
-        read_extract(spark, path, ["id", "b"], multi_line)
+        read_extract(spark, path, ["id", "b"])
 
 
-@MULTI_LINE
-def test_folder_of_files(spark, tmp_path, multi_line):
+def test_folder_of_files(spark, tmp_path):
     write(tmp_path, "1.csv", "id,a\n1,x\n")
     write(tmp_path, "2.csv", "id,a\n2,y\n")
-    assert values(read_extract(spark, str(tmp_path), ["id", "a"], multi_line), "id", "a") == [("1", "x"), ("2", "y")]
+    assert values(read_extract(spark, str(tmp_path), ["id", "a"]), "id", "a") == [("1", "x"), ("2", "y")]
 
 
-@MULTI_LINE
-def test_files_with_different_headers_fail(spark, tmp_path, multi_line):
+def test_files_with_different_headers_fail(spark, tmp_path):
     write(tmp_path, "1.csv", "id,a\n1,x\n")
     write(tmp_path, "2.csv", "a,id\ny,2\n")
     with pytest.raises(Exception):
-        read_extract(spark, str(tmp_path), ["id", "a"], multi_line).collect()
+        read_extract(spark, str(tmp_path), ["id", "a"]).collect()
 
 
-def test_event_extracts_are_split_and_free_text_is_not(spark, tmp_path):
+def test_all_extracts_are_split(spark, tmp_path):
     lines = "".join(f"{i},c,a,2024-01-01 00:00:00,,x\n" for i in range(20000))
     for name, file in RAW_FILES.items():
         write(tmp_path, file, ",".join(RAW_COLUMNS[name]) + "\n" + (lines if name == "raw_shifts" else ""))
@@ -120,9 +167,8 @@ def test_event_extracts_are_split_and_free_text_is_not(spark, tmp_path):
         shifts = read_raw(spark, str(tmp_path))["raw_shifts"]
         assert shifts.rdd.getNumPartitions() > 5
         assert shifts.count() == 20000
-        whole = read_raw(spark, str(tmp_path), free_text=RAW_FILES)["raw_shifts"]
-        assert whole.rdd.getNumPartitions() == 1
-        assert whole.count() == 20000
+        # Ranges of whole records are not shuffled.
+        assert "Exchange" not in shifts._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 

@@ -48,8 +48,15 @@ def utc_timestamp(text: Column, permissive: bool = False) -> Column:
     dashed = F.regexp_replace(text, SLASHED_DATE, "$1-$2-$3")
     midnight = F.replace(dashed, F.lit(DAY_END), F.lit("00:00:00"))
     usual = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
-    # A date and a time to the second, and no room for more: nothing to look for but the day's end.
-    plain = usual & (F.octet_length(text) == 19) & (F.substring(text, 17, 1) == ":")
+    # A date and a time to the second, with no more than digits of a fraction behind it: nothing to look for
+    # but the day's end.
+    fraction = (
+        (F.substring(text, 20, 1) == ".")
+        & F.substring(text, 21, 1).between("0", "9")
+        & F.substring(text, 21, 9).try_cast("int").isNotNull()
+        & (F.octet_length(text) < 30)
+    )
+    plain = usual & (F.substring(text, 17, 1) == ":") & ((F.octet_length(text) == 19) | fraction)
     return (
         F.when(plain & ~text.contains(DAY_END), cast(text))
         .when(~usual & ~text.rlike(WHOLE_DATE), refused("not a whole date"))
