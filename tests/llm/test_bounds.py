@@ -109,6 +109,22 @@ def test_spread_joins_equal_plain_ones(spark, how):
     assert plain_rows == spread
 
 
+class Cluster:
+    """Stands in for a session on a cluster."""
+
+    def __init__(self, folder):
+        self.sparkContext = self
+        self.master = "spark://host:7077"
+        self.getCheckpointDir = lambda: folder
+
+
+def test_folders_of_one_machine_are_refused_on_a_cluster():
+    for folder in (None, "file:/tmp/x"):
+        with pytest.raises(ValueError, match="share"):
+            shared_path(Cluster(folder))
+    assert shared_path(Cluster("hdfs://name/x/")) == "hdfs://name/x"
+
+
 def test_cuts_are_removed(spark):
     from weekmeter.sources.tables import children
 

@@ -31,14 +31,17 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def shared_path(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the session names none and runs on one machine.
+    A folder of our own is set, and one of this machine (``file:``) taken, only where the session runs on one machine.
     """
     context = spark.sparkContext
     if not context.getCheckpointDir():
         if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="weekmeter-llm-"))
-    return context.getCheckpointDir().rstrip("/")
+    folder = context.getCheckpointDir().rstrip("/")
+    if folder.startswith("file:") and not context.master.startswith("local"):
+        raise ValueError(f"executors do not share {folder}: set spark.checkpoint.dir to a folder that they do")
+    return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
