@@ -1,5 +1,6 @@
 """Chat formatting, WARC and nearest neighbours against plain Python, and their defined results."""
 
+import gzip
 import hashlib
 import random
 
@@ -228,3 +229,64 @@ def test_probing_retrieves_every_code_within_the_radius():
         seen |= index.probe(subs[0], t)
         near = index.distances(subs[0], np.arange(500)) <= 32 * (t + 1) - 1
         assert not (near & ~seen).any()
+
+
+def test_each_block_is_indexed_once_whatever_the_batches(monkeypatch):
+    rnd = np.random.default_rng(10)
+    matrix = rnd.standard_normal((400, 16))
+    ids = np.arange(400)
+    built = []
+    monkeypatch.setattr(ann, "MultiIndex", lambda subs, real=ann.MultiIndex: built.append(len(subs)) or real(subs))
+    rows = [(block, False, int(i), matrix[i]) for block in (0, 1, 3) for i in ids if i % 4 == block]
+    rows += [(block, True, int(i), matrix[i]) for block in (0, 1, 2, 3) for i in ids[::20]]
+    rows.sort(key=lambda r: r[:2])
+    table = pa.table({
+        "block": pa.array([r[0] for r in rows], pa.int32()), "asked": [r[1] for r in rows],
+        "id": [r[2] for r in rows], "embedding": [r[3].tolist() for r in rows],
+    })
+    longest, results = float(np.linalg.norm(matrix, axis=1).max()), []
+    rotations = ann.learn_rotations(ann.on_sphere(matrix, longest))
+    for size in (1, 7, 1000):
+        built.clear()
+        parts = ann.search_blocks(table.to_batches(max_chunksize=size), 16, longest, rotations, 20)
+        results.append(sorted(tuple(r.values()) for part in parts for r in part.to_pylist()))
+        assert built == [100, 100, 100]  # the block without vectors is none
+    assert results[0] == results[1] == results[2] and len(results[0]) == 20 * 3 * 20
+
+
+def test_vectors_move_once_and_queries_to_every_block(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    rnd = np.random.default_rng(11)
+    rows = embeddings(spark, [(k, rnd.standard_normal(8).tolist()) for k in range(1000)])
+    real = ann.search_blocks
+    counter = spark.sparkContext.accumulator(0)
+
+    def counted(batches, *given):
+        def seen():
+            for batch in batches:
+                counter.add(batch.num_rows)
+                yield batch
+
+        return real(seen(), *given)
+
+    monkeypatch.setattr(ann, "search_blocks", counted)
+    assert ann.nearest(rows, rows.where("vec_id % 20 = 0")).count() == 50 * 20
+    assert counter.value == 1000 + 50 * 10
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    # One partition of long pages among short ones: by number of records its file would hold nearly all bytes.
+    monkeypatch.setattr(warc, "FILE_BYTES", 50_000)
+    long = [(k, f"http://l.org/{k}", f"{k:06d}" * 2_000) for k in range(40)]
+    short = [(k, f"http://s.org/{k}", f"<p>{k}</p>") for k in range(100, 1000)]
+    given = pages(spark, long).coalesce(1).unionAll(pages(spark, short).coalesce(1))
+    path = f"{tmp_path}/archives"
+    warc.write_archives(given, path)
+    entries = warc.read_archives(spark, path).checkpoint()
+    sizes = [r["bytes"] for r in entries.groupBy("file").agg({"payload_bytes": "sum"}).withColumnRenamed("sum(payload_bytes)", "bytes").collect()]
+    assert max(sizes) <= 50_000 + 12_000 and len(sizes) >= 9
+    merged = warc.merge_index(entries).collect()
+    assert sorted((r["page_id"], r["payload_bytes"]) for r in merged) == sorted((i, len(h)) for i, _, h in long + short)
+    # A record's offset is where it starts in its unpacked file.
+    one = merged[0]
+    assert gzip.decompress((tmp_path / "archives" / one["file"]).read_bytes())[one["offset"] :].startswith(b"WARC/1.1\r\n")

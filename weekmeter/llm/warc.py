@@ -3,7 +3,9 @@
 Writing. One record per page: ``response`` with the page's bytes, or ``revisit`` for a payload of at
 least ``LEAST`` bytes that another page's response holds (of equal payloads, the one with the greatest
 id). Records are text, so Spark's text writer lays them end to end, with the two line breaks that end a
-record as its separator; files are compressed and hold a bounded number of records.
+record as its separator. Files are compressed, and bounded by bytes: within a task, records go to the next file
+once the present one holds ``FILE_BYTES``, so that no file has more than that and one record. ``offset`` in the
+index counts bytes of the file as unpacked.
 
 Reading. Every file is parsed by the lengths its headers give; payload digests are computed anew and
 compared with the headers. The entries of one file, sorted by URL key, time and id, are a run.
@@ -24,6 +26,7 @@ import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,12 +91,21 @@ def records(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """Write the records of all pages as compressed archives of some ``FILE_BYTES`` each."""
-    size = pages.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("html")).alias("b")).first()
-    each = max(1, int(FILE_BYTES * size["n"] / max(size["b"] or 0, 1)))
+    """Write the records of all pages as compressed archives, each of ``FILE_BYTES`` and a record at most."""
+    limit = FILE_BYTES
+
+    @F.pandas_udf("int")
+    def archive(sizes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        before = 0  # bytes of the task's earlier records; only sizes go to Python
+        for batch in sizes:
+            ends = before + batch.cumsum()
+            yield ((ends - batch) // limit).astype("int32")
+            before = int(ends.max()) if len(ends) else before
+
+    size = F.octet_length("value") + F.lit(len(RECORD_END)).cast("long")
     (
-        records(pages).write.option("lineSep", RECORD_END).option("compression", "gzip")
-        .option("maxRecordsPerFile", min(each, 100_000)).text(path)
+        records(pages).withColumn("archive", archive.asNondeterministic()(size))
+        .write.partitionBy("archive").option("lineSep", RECORD_END).option("compression", "gzip").text(path)
     )
 
 
@@ -166,7 +178,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 data = content.as_py()
                 if data[:2] == b"\x1f\x8b":
                     data = gzip.decompress(data)
-                name = name.rsplit("/", 1)[-1]
+                name = "/".join(name.rsplit("/", 2)[-2:])  # a task's files differ by their folder only
                 rows = sorted(((*entry, name) for entry in parse_archive(data)), key=_order)
                 if rows:
                     yield _entries(rows, [("seq", pa.array(range(len(rows)), pa.int64()))])
