@@ -226,7 +226,10 @@ def test_probing_retrieves_every_code_within_the_radius():
     index = ann.MultiIndex(subs)
     seen = np.zeros(500, bool)
     for t in range(4):
-        seen |= index.probe(subs[0], t)
+        new = index.probe(subs[0], t, seen)
+        exactly = (np.bitwise_count(subs ^ subs[0]) == t).any(axis=1)
+        assert sorted(new) == sorted(np.flatnonzero(exactly & ~seen))
+        seen[new] = True
         near = index.distances(subs[0], np.arange(500)) <= 32 * (t + 1) - 1
         assert not (near & ~seen).any()
 
