@@ -298,6 +298,47 @@ from (select case
       from int_employee_activity_weekly w
       left join stg_user_contracts k on k.user_contract_id = w.user_contract_id and k.account_id = w.account_id)
 where reason is not null group by all""",
+    "dq_rejected_rows": PREFIX + r""",
+texts as (
+  select 'stg_locations' as table_name, id as row_id, account_id, 'archived' as field, 'unknown_flag' as reason, archived as raw_value
+  from raw_locations where archived is not null and lower(trim(archived)) not in (select word from spelling)
+  union all
+  select 'stg_memberships', id, account_id, 'active', 'unknown_flag', active
+  from raw_memberships where active is not null and lower(trim(active)) not in (select word from spelling)
+  union all
+  select 'stg_user_contracts', id, account_id, field, 'unreadable_date', text
+  from (select id, account_id, unnest(['contract_start', 'contract_end']) as field, unnest([contract_start, contract_end]) as text from raw_user_contracts)
+  where text is not null and coalesce(try_strptime(trim(text), '%Y-%m-%d'), try_strptime(trim(text), '%d/%m/%Y')) is null
+  union all
+  select 'stg_user_contracts', id, account_id, 'contract_time',
+         case when regexp_matches(lower(contract_time), '[0-9]h\s*[0-9]') then 'hours_with_minutes' else 'unreadable_hours' end, contract_time
+  from raw_user_contracts
+  where regexp_matches(lower(contract_time), '[0-9]h\s*[0-9]')
+     or (contract_time is not null and try_cast(translate(lower(trim(contract_time)), ',h', '.') as double) is null)
+  union all
+  select case event_type when 'shift' then 'stg_shifts' else 'stg_rests' end, event_id, account_id, 'user_contract_id',
+         case when user_contract_id is null then 'null_id' else 'unknown_id' end, user_contract_id
+  from tagged t where not exists (select 1 from stg_user_contracts k where k.user_contract_id = t.user_contract_id)
+  union all
+  select 'stg_user_contracts', user_contract_id, account_id, 'membership_id',
+         case when membership_id is null then 'null_id' else 'unknown_id' end, membership_id
+  from stg_user_contracts k where not exists (select 1 from stg_memberships m where m.membership_id = k.membership_id)),
+weeks as (
+  select w.user_contract_id, w.account_id, w.week_start, k.membership_id, k.location_id, case
+        when k.user_contract_id is null then 'contract_not_in_account'
+        when k.membership_id is null then 'membership_missing'
+        when not exists (select 1 from stg_memberships m where m.membership_id = k.membership_id and m.account_id = k.account_id) then 'membership_not_in_account'
+        when k.location_id is null then 'location_missing'
+        when not exists (select 1 from stg_locations s where s.location_id = k.location_id and s.account_id = k.account_id) then 'location_not_in_account'
+      end as reason
+  from int_employee_activity_weekly w
+  left join stg_user_contracts k on k.user_contract_id = w.user_contract_id and k.account_id = w.account_id)
+select table_name, row_id, account_id, null::date as week_start, field, reason, raw_value, 1::bigint as row_count from texts
+union all
+select 'int_employee_activity_weekly', user_contract_id, account_id, week_start,
+       case when reason like 'contract%' then 'user_contract_id' when reason like 'member%' then 'membership_id' else 'location_id' end as field, reason,
+       case when reason like 'contract%' then user_contract_id when reason like 'member%' then membership_id else location_id end as raw_value, count(*)::bigint
+from weeks where reason is not null group by all""",
 }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from testbed.fixture import raw_tables
-from weekmeter.operators import pricing, quality
+from weekmeter.operators import pricing, quality, rejects
 from weekmeter.plans.lazy import LazyTables
 from weekmeter.plans.rebuild import rebuild
 from weekmeter.schemas import RAW_COLUMNS, TABLES
@@ -134,6 +134,12 @@ def dq_attribution_losses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dq_rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    t = lazy_tables(spark, folder)
+    staged = {name: rejects.staged(name, t.raw) for name in rejects.STAGED}
+    return rejects.rejected(staged, t.int_employee_activity_weekly)
+
+
 CHECKS = (
     raw_csv_roundtrip,
     row_count_audit,
@@ -147,6 +153,7 @@ CHECKS = (
     dq_grain_duplicates,
     dq_layer_reconciliation,
     dq_attribution_losses,
+    dq_rejected_rows,
 )
 
 

@@ -12,7 +12,7 @@ import pytest
 
 from testbed.oracles import CHECKS, MODEL, PREFIX, STAGING
 from tests.helpers import raw_tables
-from weekmeter.operators import quality
+from weekmeter.operators import quality, rejects
 from weekmeter.plans.lazy import LazyTables
 from weekmeter.schemas import RAW_COLUMNS, TABLES
 
@@ -85,6 +85,9 @@ def test_model_equals_sql_on_dirty_extracts(spark, seed):
         "dq_attribution_losses": quality.attribution_losses(
             t.int_employee_activity_weekly, contracts, members, t.stg_locations
         ),
+        "dq_rejected_rows": rejects.rejected(
+            {name: rejects.staged(name, t.raw) for name in rejects.STAGED}, t.int_employee_activity_weekly
+        ),
     }
     for name, frame in {**frames, **reports}.items():
         sql = CHECKS[name].replace(PREFIX, SQL_PREFIX) if name in CHECKS else f"{SQL_PREFIX}select * from {name}"

@@ -240,25 +240,21 @@ def _agreement(totals: DataFrame) -> DataFrame:
     )
 
 
-def attribution_losses(
-    weekly: DataFrame, contracts: DataFrame, memberships: DataFrame, locations: DataFrame
-) -> DataFrame:
-    """Weekly rows that reach no location, counted by the first reason that applies.
-
-    The reason is found per distinct contract; activity joins last, as one row per contract and
-    account. A repeated contract counts each of its copies.
-    """
+def contract_reasons(contracts: DataFrame, memberships: DataFrame, locations: DataFrame) -> DataFrame:
+    """Distinct contracts, their copies, and the first reason for which activity reaches no location, or ``none``."""
 
     def known(df: DataFrame, key: list[str], name: str) -> DataFrame:
         return df.select(*key).distinct().withColumn(name, F.lit(True))
 
-    reasons = (
+    return (
         contracts.groupBy(*CONTRACT_KEY, "membership_id", "location_id")
         .agg(F.count(F.lit(1)).alias("copies"))
         .join(known(memberships, MEMBER_KEY, "member_known"), MEMBER_KEY, "left")
         .join(known(locations, LOCATION_KEY, "location_known"), LOCATION_KEY, "left")
         .select(
             *CONTRACT_KEY,
+            "membership_id",
+            "location_id",
             "copies",
             F.when(F.col("membership_id").isNull(), "membership_missing")
             .when(F.col("member_known").isNull(), "membership_not_in_account")
@@ -268,6 +264,17 @@ def attribution_losses(
             .alias("reason"),
         )
     )
+
+
+def attribution_losses(
+    weekly: DataFrame, contracts: DataFrame, memberships: DataFrame, locations: DataFrame
+) -> DataFrame:
+    """Weekly rows that reach no location, counted by the first reason that applies.
+
+    The reason is found per distinct contract; activity joins last, as one row per contract and
+    account. A repeated contract counts each of its copies.
+    """
+    reasons = contract_reasons(contracts, memberships, locations)
     per_contract = weekly.groupBy(*CONTRACT_KEY).agg(_rows())
     return (
         per_contract.join(reasons, CONTRACT_KEY, "left")

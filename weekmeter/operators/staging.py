@@ -1,4 +1,7 @@
-"""Typed and cleaned copies of the raw extracts: one row in, one row out, none filtered."""
+"""Typed and cleaned copies of the raw extracts: one row in, one row out, none filtered.
+
+Each operator takes further columns over the raw ones, to be computed in the same pass.
+"""
 
 from __future__ import annotations
 
@@ -13,17 +16,18 @@ def _text(source: str, name: str | None = None) -> Column:
     return F.col(source).cast("string").alias(name or source)
 
 
-def accounts(raw: DataFrame, permissive: bool = False) -> DataFrame:
+def accounts(raw: DataFrame, permissive: bool = False, *more: Column) -> DataFrame:
     return raw.select(
         _text("id", "account_id"),
         _text("name", "account_name"),
         utc_timestamp(_text("created_at"), permissive).alias("created_at"),
         _text("time_zone"),
         _text("country"),
+        *more,
     )
 
 
-def locations(raw: DataFrame, permissive: bool = False) -> DataFrame:
+def locations(raw: DataFrame, permissive: bool = False, *more: Column) -> DataFrame:
     return raw.select(
         _text("id", "location_id"),
         _text("name", "location_name"),
@@ -32,10 +36,11 @@ def locations(raw: DataFrame, permissive: bool = False) -> DataFrame:
         _text("city"),
         _text("zipcode"),
         _text("country"),
+        *more,
     )
 
 
-def memberships(raw: DataFrame, permissive: bool = False) -> DataFrame:
+def memberships(raw: DataFrame, permissive: bool = False, *more: Column) -> DataFrame:
     return raw.select(
         _text("id", "membership_id"),
         _text("user_id"),
@@ -44,10 +49,11 @@ def memberships(raw: DataFrame, permissive: bool = False) -> DataFrame:
         category(_text("role")).alias("role"),
         _text("firstname", "first_name"),
         _text("lastname", "last_name"),
+        *more,
     )
 
 
-def _events(raw: DataFrame, id_name: str, kind: str, permissive: bool) -> DataFrame:
+def _events(raw: DataFrame, id_name: str, kind: str, permissive: bool, more: tuple[Column, ...]) -> DataFrame:
     return raw.select(
         _text("id", id_name),
         _text("user_contract_id"),
@@ -55,18 +61,19 @@ def _events(raw: DataFrame, id_name: str, kind: str, permissive: bool) -> DataFr
         utc_timestamp(_text("starts_at"), permissive).alias("starts_at_utc"),
         utc_timestamp(_text("ends_at"), permissive).alias("ends_at_utc"),
         category(_text(kind)).alias(kind),
+        *more,
     )
 
 
-def rests(raw: DataFrame, permissive: bool = False) -> DataFrame:
-    return _events(raw, "rest_id", "rest_type", permissive)
+def rests(raw: DataFrame, permissive: bool = False, *more: Column) -> DataFrame:
+    return _events(raw, "rest_id", "rest_type", permissive, more)
 
 
-def shifts(raw: DataFrame, permissive: bool = False) -> DataFrame:
-    return _events(raw, "shift_id", "planification_type", permissive)
+def shifts(raw: DataFrame, permissive: bool = False, *more: Column) -> DataFrame:
+    return _events(raw, "shift_id", "planification_type", permissive, more)
 
 
-def user_contracts(raw: DataFrame, permissive: bool = False) -> DataFrame:
+def user_contracts(raw: DataFrame, permissive: bool = False, *more: Column) -> DataFrame:
     return raw.select(
         _text("id", "user_contract_id"),
         _text("membership_id"),
@@ -76,4 +83,5 @@ def user_contracts(raw: DataFrame, permissive: bool = False) -> DataFrame:
         contract_date(_text("contract_end"), permissive).alias("contract_end"),
         category(_text("contract_type")).alias("contract_type"),
         hours(_text("contract_time"), permissive).alias("contract_time"),
+        *more,
     )

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekmeter.operators import activity, attribution, dimensions, pricing, staging
+from weekmeter.operators import activity, attribution, dimensions, pricing, rejects, staging
 from weekmeter.operators.pricing import STANDARD_RATES, RateCard
 from weekmeter.operators.quality import layer_totals
 from weekmeter.schemas import GROUPS
@@ -33,6 +35,7 @@ PHASES = (
     (
         ("dim_calendar_weekly",),
         ("fct_location_revenue_weekly", "fct_account_billing_weekly"),
+        ("rejected",),
     ),
 )
 
@@ -54,6 +57,10 @@ def rebuild(
     two roll-ups and counts the table they read. The audit is stored with the run, too, and so are the totals
     that ``quality.reconciled_totals`` compares.
 
+    A permissive run splits the staged tables into good and set-aside rows as it writes them, and with the
+    intermediate group it also stores ``rejected``: which rows have texts that cannot be read, lead nowhere or are lost,
+    each with its reason and raw text (``operators.rejects``). A strict run leaves ``rejected`` as it was.
+
     Shuffles are sized from the estimated size of the raw tables, if the session's setting is lower.
     """
     run = new_run()
@@ -63,16 +70,22 @@ def rebuild(
 
 def _rebuild(spark, raw, folder, groups, rates, permissive, run, lease) -> DataFrame:
     tables = rates.tables()
+    if permissive:
+        tables["rejected"] = replace(rejects.REJECTED, group="intermediate")
     begun = newest(spark, folder)
     written: dict[str, Counted] = {}
 
-    def stored(name: str) -> DataFrame:
+    def stored(name: str, more: str = "") -> DataFrame:
         version = Version(run, tables[name].ddl) if name in written else begun.versions.get(name)
         if version is None:
             raise ValueError(f"no finished write of {name} in {folder}")
-        return read_version(spark, folder, name, version)
+        return read_version(spark, folder, name, Version(version.run, version.ddl + more))
 
     steps = {
+        "rejected": lambda: rejects.rejected(
+            {name: stored(name, f", {rejects.PROBLEM_DDL}") for name in rejects.STAGED},
+            stored("int_employee_activity_weekly"),
+        ),
         "stg_accounts": lambda: staging.accounts(raw["raw_accounts"], permissive),
         "stg_locations": lambda: staging.locations(raw["raw_locations"], permissive),
         "stg_memberships": lambda: staging.memberships(raw["raw_memberships"], permissive),
@@ -110,6 +123,11 @@ def _rebuild(spark, raw, folder, groups, rates, permissive, run, lease) -> DataF
         ),
     }
 
+    split_by: dict[str, tuple[str, ...]] = {}
+    if permissive:
+        steps |= {name: partial(rejects.staged, name, raw) for name in rejects.STAGED}
+        split_by = dict.fromkeys(rejects.STAGED, rejects.SPLIT_BY)
+
     chosen = set(groups)
     unknown = chosen.difference(GROUPS)
     if unknown:
@@ -119,10 +137,10 @@ def _rebuild(spark, raw, folder, groups, rates, permissive, run, lease) -> DataF
 
     def write(names: tuple[str, ...]) -> None:
         for name in names:
-            if tables[name].group in chosen:
+            if name in tables and tables[name].group in chosen:
                 started.append(name)
                 written[name] = write_version(
-                    steps[name](), folder, name, tables[name], run, layer_totals(name)
+                    steps[name](), folder, name, tables[name], run, layer_totals(name), split_by.get(name, ())
                 )
 
     def counted(name: str) -> Counted:
@@ -132,7 +150,7 @@ def _rebuild(spark, raw, folder, groups, rates, permissive, run, lease) -> DataF
     try:
         with sized_shuffles(spark, estimated_bytes(raw.values())):
             for phase in PHASES:
-                run_together(spark, write, [x for x in phase if any(tables[n].group in chosen for n in x)])
+                run_together(spark, write, [x for x in phase if any(n in tables and tables[n].group in chosen for n in x)])
         counts = {name: counted(name) for name in tables if name in written}
         lease.confirm()
         commit(spark, folder, run, {name: tables[name].ddl for name in counts}, counts, begun)

@@ -72,12 +72,14 @@ def read_totals(spark: SparkSession, folder: str) -> dict[str, dict[str, str]]:
 
 
 def write_version(
-    df: DataFrame, folder: str, name: str, table: Table, run: str, totals: Mapping[str, Column] | None = None
+    df: DataFrame, folder: str, name: str, table: Table, run: str, totals: Mapping[str, Column] | None = None,
+    split_by: tuple[str, ...] = (),
 ) -> Counted:
     """Write a table for a run and return its row count and some sums, without a second scan.
 
     Partitioned tables are first rebalanced on the partition column: small weeks share a task and a
-    week that holds much of the table is split over several, so files are neither tiny nor huge.
+    week that holds much of the table is split over several, so files are neither tiny nor huge. Tables are
+    ``split_by`` few values as their rows come, without a shuffle; a reader need not know of these columns.
 
     They are observed last, in the stage that writes. Spark counts each task of that stage
     once, also when an executor is lost and tasks run again; before a shuffle it could count twice.
@@ -87,8 +89,8 @@ def write_version(
     seen = Observation()
     sums = {"rows": F.count(F.lit(1)), **(totals or {})}
     writer = df.observe(seen, *[total.cast("string").alias(key) for key, total in sums.items()]).write
-    if table.partition_by:
-        writer = writer.partitionBy(*table.partition_by)
+    if table.partition_by or split_by:
+        writer = writer.partitionBy(*table.partition_by, *split_by)
     writer.parquet(table_path(folder, name, run))
     found = {key: value for key, value in seen.get.items() if value is not None}
     return Counted(None, int(found["rows"]), found)
