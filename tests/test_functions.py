@@ -152,3 +152,35 @@ def test_a_full_span_fits_a_bigint(spark):
     spans = days.groupBy(dates.span_start(day).alias("s")).agg(F.bit_or(dates.span_bit(day)).alias("b"))
     full = spans.filter(F.bit_count("b") == 63)
     assert full.count() >= 10 and full.filter("b = 9223372036854775807").count() == full.count()
+
+
+# Texts that DuckDB reads, or refuses, as a time; what it reads as no time of this calendar is refused here by name.
+ODD_TIMES = [
+    "epoch", " EPOCH ", "epoch 10:00", "12024-01-01 00:00:00", "12024-01-01", "120240-01-01 01:02:03", "294246-12-31 23:59:59",
+    "294248-01-10 04:00:00", "+2024-01-01", "2024-01-01 10", "2024-01-01T10", "2024-01-01 10:00", "2024-01-01 10:00:00 ",
+    "2024-01-01 10:00:00\n", "2024-01-01 ", "2024-01-01\n", " 2024-01-01 10:00:00", "12024/01/01 10:00:00", "99999-12-31 24:00:00",
+    "02024-01-01 10:00:00", "0012024-01-01", "12024-01-01 10:00:00.5", "2024-1-5 1", "infinite", "eepoch", "12024-13-01",
+]
+NO_TIME_HERE = {
+    "infinity": "not a finite time", "-infinity": "not a finite time", " Inf ": "not a finite time", "-44-03-15": "before year 1",
+    "-0044-03-15 10:00:00": "before year 1", "0044-03-15 (BC) 10:00:00": "before year 1",
+}
+
+
+def test_odd_times_are_read_as_duckdb_reads_them(spark):
+    duckdb = pytest.importorskip("duckdb")
+    want = [duckdb.execute("select try_cast(? as timestamp)::varchar", [value]).fetchone()[0] for value in ODD_TIMES]
+    def read(value):
+        return dates.utc_timestamp(value, permissive=True).cast("string")
+
+    got = apply(spark, read, ODD_TIMES)
+    assert [g and g.removeprefix("+") for g in got] == want
+    assert sum(w is None for w in want) == 12 and apply(spark, read, list(NO_TIME_HERE)) == [None] * len(NO_TIME_HERE)
+
+
+@pytest.mark.parametrize("value", [*NO_TIME_HERE, "2024-01-01 10", "2024-01-01\n", "2024-01-01 10:00:00\n"])
+def test_times_with_no_place_are_refused_by_name(spark, value):
+    names = list(dates.NAMED_FORMS) if value not in NO_TIME_HERE else [NO_TIME_HERE[value]]
+    with pytest.raises(ERRORS) as failure:
+        apply(spark, dates.utc_timestamp, [value])
+    assert any(name in str(failure.value) for name in names)

@@ -127,7 +127,7 @@ def test_schedules_read_contracts_once(stored_raw, no_broadcast):
 
 def test_every_table_and_check_is_registered():
     assert set(queries()) == set(TABLES) | {check.__name__ for check in CHECKS}
-    assert len(queries()) == 29
+    assert len(queries()) == 30
 
 
 def test_shuffle_partitions():

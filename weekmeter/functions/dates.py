@@ -16,11 +16,22 @@ DAY_FIRST_FORMAT = "dd/MM/yyyy"
 # A whole date, year first, that a time may follow (a slash later on belongs to a zone
 # name); an end of day written as an hour of that day, exactly; an offset or zone after a time.
 SLASHED_DATE = r"^(\s*\d+)/(\d+)/(\d+)"
-WHOLE_DATE = r"^\s*\d{1,4}([-/])\d{1,2}\1\d{1,2}([ T]|\s*\z)"
+WHOLE_DATE = r"^\s*\d+([-/])\d{1,2}\1\d{1,2}([ T]|\s*\z)"
 DAY_END = "24:00:00"
 DAY_END_EXACT = r"[ T]24:00:00(\.0*)?\s*([A-Za-z+-].*)?\z"
 ZONED_TIME = r"\d:\d.*[A-Za-z+-]"
 
+# Forms of a time that are no date with a time of day. The zeros before a longer year do not count.
+EPOCH = r"(?i)^\s*epoch\s*\z"
+NAMED_FORMS = {
+    "not a finite time": r"(?i)^\s*[+-]?inf(inity)?\s*\z",
+    "before year 1": r"(?i)^\s*-\d|\(bc\)",
+    "an hour without minutes": r"^\s*\d+[-/]\d+[-/]\d+[ T]\s*\d+\s*\z",
+    "a space or line break behind the date": r"^\s*\d+[-/]\d+[-/]\d+\s+\z",
+    "a line break behind the time": r"\d[\t-\r]+\z",
+}
+LEADING_ZEROS = r"^\s*0+(?=\d{4,}-)"
+
 
 def utc_timestamp(text: Column, permissive: bool = False) -> Column:
     """Text to a zone-less timestamp in UTC; an offset or zone in the text is converted.
@@ -29,6 +40,9 @@ def utc_timestamp(text: Column, permissive: bool = False) -> Column:
     slashes between year, month and day are read as dashes, 24:00:00 (and no later) is the next
     midnight, a text without a whole date fails (the cast would fill in January or the first), and a
     time with an offset is converted (the cast would keep its wall clock).
+
+    Texts that are no plain date and time are sorted into forms first. ``epoch`` is 1970, years may be of six digits
+    (up to 294246), and what has no place in a timestamp or is cut off is refused by name (``NAMED_FORMS``).
     """
 
     def cast(value: Column) -> Column:
@@ -45,7 +59,7 @@ def utc_timestamp(text: Column, permissive: bool = False) -> Column:
     def refused(reason: str) -> Column:
         return cast(F.concat(F.lit(f"{reason}: "), text))
 
-    dashed = F.regexp_replace(text, SLASHED_DATE, "$1-$2-$3")
+    dashed = F.regexp_replace(F.regexp_replace(text, SLASHED_DATE, "$1-$2-$3"), LEADING_ZEROS, "")
     midnight = F.replace(dashed, F.lit(DAY_END), F.lit("00:00:00"))
     usual = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
     # A date and a time to the second, with no more than digits of a fraction behind it: nothing to look for
@@ -57,9 +71,13 @@ def utc_timestamp(text: Column, permissive: bool = False) -> Column:
         & (F.octet_length(text) < 30)
     )
     plain = usual & (F.substring(text, 17, 1) == ":") & ((F.octet_length(text) == 19) | fraction)
+    read_plain = F.when(plain & ~text.contains(DAY_END), cast(text)).when(
+        text.rlike(EPOCH), F.lit("1970-01-01").cast("timestamp_ntz")
+    )
+    for name, form in NAMED_FORMS.items():
+        read_plain = read_plain.when(text.rlike(form), refused(name))
     return (
-        F.when(plain & ~text.contains(DAY_END), cast(text))
-        .when(~usual & ~text.rlike(WHOLE_DATE), refused("not a whole date"))
+        read_plain.when(~usual & ~text.rlike(WHOLE_DATE), refused("not a whole date"))
         .when(
             text.contains(DAY_END),
             F.when(text.rlike(DAY_END_EXACT), read(midnight) + F.expr("interval 1 day")).otherwise(
