@@ -188,9 +188,10 @@ def repeated_text(seed):
     return rows + [(k + 1, t) for k, t in rows[10:20]] + [(500, " ".join(["again"] * 70)), (501, "x y " * 30)]
 
 
-@pytest.mark.parametrize("block", [50, 10**6])
-def test_removed_words_equal_those_of_plain_windows(documents, monkeypatch, block):
+@pytest.mark.parametrize(("block", "pieces"), [(50, 2), (50, 10**6), (10**6, 2)])
+def test_removed_words_equal_those_of_plain_windows(documents, monkeypatch, block, pieces):
     monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    monkeypatch.setattr(substring_dedup, "LEAST_PIECES", pieces)
     rows = repeated_text(block)
     got = sorted((r["id"], r["n_words"], r["n_removed"], r["kept_sha256"].hex()) for r in substring_dedup.deduplicated(documents(rows).repartition(3)).collect())
     assert got == sorted((i, n, m, plain.sha(t)) for i, n, m, t in plain.without_repeats(rows))
@@ -211,6 +212,48 @@ def test_factors_point_to_equal_earlier_words(documents):
     assert count > 20
 
 
+def block_of(*texts):
+    """Index and parse of a block that holds every window of some texts, in order."""
+    windows = [(k, a, tuple(t[a : a + 20])) for k, t in enumerate(texts) for a in range(len(t) - 19)]
+    number = {w: n for n, w in enumerate(dict.fromkeys(w for _, _, w in windows))}
+    owner, at = (np.array([w[c] for w in windows]) for c in (0, 1))
+    index = substring_dedup.Index(np.array([number[w] for _, _, w in windows], np.uint64))
+    return owner, at, substring_dedup.parse(index, owner, owner, at)
+
+
+def test_greedy_factors_and_windows_over_their_ends():
+    a, b = [f"a{k}" for k in range(30)], [f"b{k}" for k in range(40)]
+    seam = ["x", *a[-15:], *b[:15], "y"]
+    owner, at, found = block_of(a, b, seam, ["new", *a, *b, "end"])
+    got = [
+        (int(at[x]), int(n) + 19, int(owner[s]), int(at[s]), bool(f))
+        for x, s, n, f in zip(found.begin, found.source, found.count, found.factor, strict=True)
+    ]
+    # Both passages are factors; the windows over the end of the first that the seam holds are found by themselves.
+    assert got == [(1, 30, 0, 0, True), (16, 30, 2, 1, False), (31, 40, 1, 0, True)]
+
+
+def test_a_text_of_one_word_is_factored_into_the_one_window_the_reference_has():
+    owner, at, found = block_of(["again"] * 70)
+    assert at[found.begin[found.factor]].tolist() == [1, 21, 41] and set(at[found.source]) == {0}
+    assert set(found.count) == {1} and sorted(at[found.begin]) == list(range(1, 51))
+
+
+def test_only_factors_and_windows_over_their_ends_are_covered():
+    words = substring_dedup.cover(100, [{"start": 5, "length": 20}], [(10, 3)])
+    assert words.nonzero()[0].tolist() == list(range(5, 32))
+    assert not substring_dedup.cover(30, [], []).any()
+
+
+def test_null_ids_and_equal_rows_keep_their_own_words(documents):
+    rnd = random.Random(4)
+    shared = [rnd.choice(WORDS) + str(k) for k in range(25)]
+    rows = [(None, " ".join([f"own{k}", *shared])) for k in range(12)] + [(9, " ".join(shared))] * 5
+    found = substring_dedup.deduplicated(documents(rows).repartition(4)).collect()
+    # One of the rows without an id is the earliest; all others lose the passage, and so do the rows of id 9.
+    assert sorted((r["n_words"], r["n_removed"]) for r in found) == [(25, 25)] * 5 + [(26, 0)] + [(26, 25)] * 11
+
+
 def test_substring_dedup_on_odd_rows(spark, documents):
     rows = [*ODD, (30, LONG), (None, " ".join(WORDS)), (31, " ".join(WORDS) + " tail"), (7, "same row")]
     docs = documents(rows, id=1, sha=2, kept=3, anchors=4)

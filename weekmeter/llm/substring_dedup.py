@@ -1,16 +1,20 @@
-"""Substring dedup by an exact join of window hashes, which takes the place of a relative Lempel-Ziv parse.
+"""Substring dedup by relative Lempel-Ziv parsing.
 
-A window is ``WINDOW`` consecutive words. The reference is the corpus itself, in blocks:
+A window is ``WINDOW`` consecutive words. The corpus is its own reference, cut into blocks that are indexed:
 
 1. Anchors. Each window picks the least hash among its ``ANCHOR``-word grams, so equal windows pick
    equal anchors, about two words in thirteen start one, and an anchor that occurs once in the corpus rules
    out all windows that pick it. Only windows with a repeated anchor go on.
-2. Local blocks. The windows a task holds are indexed, and looked up in that index: a window that
-   occurs earlier in the block gets a pointer there. Only its first place in the block goes further,
-   so a passage in a third of all documents sends one row per block, not one per document.
-3. All blocks. The first places meet by window hash; each but the earliest gets a pointer to it.
-4. Cover. The words of every window that has a pointer go. Factors list the pointers of a document in
-   runs, as long as the next window points to the next word of the same source; they decide nothing.
+2. Blocks of documents. A task indexes the documents it holds, about ``BLOCK`` windows at a time. The reference
+   of a block has every window once, at its earliest place, so a place of a document can begin at most one match of
+   ``WINDOW`` words, and following that match as far as the words agree gives the longest. Each document is
+   factored greedily: the longest match from a place is a factor, and the next begins behind it; a place
+   without one is a word by itself. Windows over the end of a factor are looked up one by one.
+3. Blocks of anchors. Only reference windows of a block go further, in pieces of consecutive windows with
+   one anchor, so a passage in a third of all documents sends its pieces once per block, not once per
+   document. Pieces of one anchor meet in one block, whatever documents they come from, and are factored there in
+   the same way. The pieces of an anchor with a large share of them are split into windows, dealt by window.
+4. Cover. The words of all factors, and of the windows found over their ends, go.
 
 Documents with one word sequence are copies: the one with the smallest id is looked up, of the others
 every word is covered. Windows are told apart by 64-bit hashes, word sequences by SHA-256.
@@ -26,6 +30,7 @@ import hashlib
 import itertools
 import zlib
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekmeter.llm import words as W
-from weekmeter.llm.common import cut, from_key, id_key, in_arrow, let_go, read, set_aside
+from weekmeter.llm.common import cut, from_key, id_key, in_arrow, join_spread, let_go, read, set_aside
 
 WINDOW = 20
 ANCHOR = 9
-BLOCK = 1_500_000  # anchors, or windows, that one local block holds at least before it is indexed
+BLOCK = 1_500_000  # anchors, or windows, that one block holds at least before it is indexed
+PIECE_SHARE = 1 << 16
+LEAST_PIECES = 1 << 12  # an anchor with more pieces than this, and than one in PIECE_SHARE, is dealt by window
 
 EMPTY = hashlib.sha256(b"").digest()
 
@@ -84,11 +91,6 @@ def _offsets(lengths: Iterable[int]) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(np.fromiter(lengths, np.int64)))).astype(np.int32)
 
 
-def _longs(parts: list[np.ndarray], kind=pa.int64()) -> pa.Array:
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(_offsets(len(x) for x in parts)), pa.array(flat, kind))
-
-
 def word_rows(docs: DataFrame) -> DataFrame:
     """Per document: id, node, sha, n, and anchors: ``known`` to repeat within its block, ``sent`` to be checked.
 
@@ -168,70 +170,121 @@ def _node(digest: bytes) -> int:
 
 
 def packed_words(docs: DataFrame) -> DataFrame:
-    """id and the words of each document, one space between them, compressed: less to move than the text."""
+    """id, node and the words of each document, one space between them, compressed: less to move than the text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).cast(pa.large_binary())
-        packed = [zlib.compress(b" ".join((x.as_py() or b"").split()), 1) for x in texts]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["id", "packed"])
+        texts = [b" ".join((x.as_py() or b"").split()) for x in batch.column(1).cast(pa.large_binary())]
+        nodes = [_node(hashlib.sha256(x).digest()) for x in texts]
+        packed = [zlib.compress(x, 1) for x in texts]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())], ["id", "node", "packed"]
+        )
 
-    schema = T.StructType.fromDDL("id long, packed binary")
+    schema = T.StructType.fromDDL("id long, node long, packed binary")
     return in_arrow(docs.select(id_key("doc_id").alias("id"), "text"), work, schema)
 
 
-def _run_starts(owner: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray) -> np.ndarray:
-    """Where a pointer does not go on from the one before it, word by word in both texts."""
-    if not len(at):
-        return np.zeros(0, np.int64)
-    goes_on = (np.diff(owner) == 0) & (np.diff(at) == 1) & (np.diff(source) == 0) & (np.diff(source_at) == 1)
-    return np.flatnonzero(np.concatenate(([True], ~goes_on)))
+class Index:
+    """The windows of a block, in the order of their places, and its reference: each window's earliest place."""
 
+    def __init__(self, value: np.ndarray):
+        by = np.argsort(value, kind="stable")
+        ordered = value[by]
+        new = np.concatenate(([True], ordered[1:] != ordered[:-1])) if len(by) else np.zeros(0, bool)
+        self.earliest = np.zeros(len(by), np.int64)
+        self.earliest[by] = by[np.flatnonzero(new)][np.cumsum(new) - 1]
 
-def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Per candidate: its words packed, the windows it sends on, and pointers found in its own block.
+    @property
+    def reference(self) -> np.ndarray:
+        return self.earliest == np.arange(len(self.earliest))
+
+
+class Found(NamedTuple):
+    """What a parse finds, in runs of consecutive windows: place in the block of the first window of each run and of
+    its source, number of windows, and whether the run is a factor or windows over the end of one."""
+
+    begin: np.ndarray
+    source: np.ndarray
+    count: np.ndarray
+    factor: np.ndarray
+
+
+def parse(index: Index, owner: np.ndarray, doc: np.ndarray, at: np.ndarray) -> Found:
+    """Factor the documents of a block greedily against its reference.
 
-    Pointers of consecutive windows to consecutive words of one source are one entry with their count.
+    ``owner`` is the row that a window is of, ``doc`` the document: rows of one document are no source of each other.
     """
+    source = index.earliest
+    # A match is followed as long as the next word of the text is the next of the reference.
+    placed = np.flatnonzero(~index.reference & ((doc[source] != doc) | (at[source] != at)))
+    heads = source[placed]
+    goes_on = np.zeros(len(placed), bool)
+    goes_on[1:] = (
+        (np.diff(owner[placed]) == 0) & (np.diff(at[placed]) == 1)
+        & (np.diff(owner[heads]) == 0) & (np.diff(at[heads]) == 1)
+    )
+    begin = np.flatnonzero(~goes_on)
+    matches = np.diff(np.append(begin, len(placed)))
+    starts = at[placed[begin]]
+    runs: list[tuple[int, int, bool]] = []
+    before, reach = -1, 0
+    for row, first, start, count in zip(
+        owner[placed[begin]].tolist(), begin.tolist(), starts.tolist(), matches.tolist(), strict=True
+    ):
+        if row != before:
+            before, reach = row, 0
+        over = min(max(reach - start, 0), count)  # windows that begin within the last factor
+        if over:
+            runs.append((first, over, False))
+        if over < count:
+            runs.append((first + over, count - over, True))
+            reach = start + count - 1 + WINDOW
+    first, count, factor = (np.array(x, np.int64) for x in zip(*runs, strict=True)) if runs else [np.zeros(0, np.int64)] * 3
+    return Found(placed[first], heads[first], count, factor.astype(bool))
+
+
+RUN = "at int, count int, source long, source_at int, factor boolean"
+
+
+def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Per candidate: its words packed, the pieces it sends on, and what is found in its own block of documents."""
     schema = (
-        "id long, node long, packed binary, sent array<long>, sent_at array<int>, "
-        "at array<int>, count array<int>, source array<long>, source_at array<int>"
+        "id long, node long, packed binary, pieces array<struct<anchor long, at int, windows array<long>>>, "
+        f"found array<struct<{', '.join(x.strip().replace(' ', ':') for x in RUN.split(','))}>>"
     )
 
     def indexed(rows: list[tuple]) -> pa.RecordBatch:
-        ids, nodes, packed, windows, places = zip(*rows, strict=True)
         # Rows by id and fingerprint, so that the first of equal windows is the earliest.
-        order = sorted(range(len(rows)), key=lambda k: (ids[k], nodes[k]))
-        ids, nodes, packed, windows, places = (
-            [x[k] for k in order] for x in (ids, nodes, packed, windows, places)
-        )
-        owner = np.repeat(np.arange(len(ids)), [len(x) for x in windows])
-        value, at = np.concatenate(windows), np.concatenate(places)
-        by = np.argsort(value, kind="stable")
-        v = value[by]
-        new = np.concatenate(([True], v[1:] != v[:-1])) if len(v) else np.zeros(0, bool)
-        head = np.zeros(len(v), np.int64)
-        head[by] = by[np.flatnonzero(new)][np.cumsum(new) - 1]  # the earliest equal window of each
-        first = head == np.arange(len(v))
+        rows = sorted(rows, key=lambda row: row[:2])
+        ids, nodes, packed, windows, anchors, places = zip(*rows, strict=True)
         id_of, node_of = np.array(ids, np.int64), np.array(nodes, np.int64)
-        # The same document may be there twice.
-        same = (owner[head] != owner) & (id_of[owner[head]] == id_of[owner]) & (node_of[owner[head]] == node_of[owner]) & (at[head] == at)
-        pointed = ~first & ~same
-
-        def split(flat: np.ndarray, chosen: np.ndarray, kind) -> pa.Array:
-            lengths = np.bincount(owner[chosen], minlength=len(ids))
-            return pa.ListArray.from_arrays(pa.array(_offsets(lengths.tolist())), pa.array(flat, kind))
-
-        places = np.flatnonzero(pointed)
-        heads = head[places]
-        begin = _run_starts(owner[places], at[places], owner[heads], at[heads])
-        count = np.diff(np.append(begin, len(places)))
-        places, heads = places[begin], heads[begin]
+        owner = np.repeat(np.arange(len(rows)), [len(x) for x in windows])
+        value, anchor, at = np.concatenate(windows), np.concatenate(anchors), np.concatenate(places)
+        doc = _numbered(id_of, node_of)[owner]
+        index = Index(value)
+        found = parse(index, owner, doc, at)
+        runs = pa.StructArray.from_arrays(
+            [pa.array(at[found.begin], pa.int32()), pa.array(found.count, pa.int32()),
+             pa.array(id_of[owner[found.source]], pa.int64()), pa.array(at[found.source], pa.int32()), pa.array(found.factor)],
+            ["at", "count", "source", "source_at", "factor"],
+        )
+        sent = np.flatnonzero(index.reference)
+        apart = np.ones(len(sent), bool)
+        apart[1:] = (np.diff(owner[sent]) != 0) | (np.diff(at[sent]) != 1) | (anchor[sent][1:] != anchor[sent][:-1])
+        begin = np.flatnonzero(apart)
+        pieces = pa.StructArray.from_arrays(
+            [pa.array(anchor[sent[begin]].view(np.int64)), pa.array(at[sent[begin]], pa.int32()),
+             W.lists(value[sent], np.diff(np.append(begin, len(sent))))],
+            ["anchor", "at", "windows"],
+        )
+
+        def by_row(column: pa.Array, of: np.ndarray) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(_offsets(np.bincount(owner[of], minlength=len(rows)).tolist())), column)
+
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()), pa.array(packed, pa.binary()),
-             split(value[first].view(np.int64), first, pa.int64()), split(at[first], first, pa.int32()),
-             split(at[places], places, pa.int32()), split(count, places, pa.int32()),
-             split(id_of[owner[heads]], places, pa.int64()), split(at[heads], places, pa.int32())],
-            ["id", "node", "packed", "sent", "sent_at", "at", "count", "source", "source_at"],
+             by_row(pieces, sent[begin]), by_row(runs, found.begin)],
+            ["id", "node", "packed", "pieces", "found"],
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,49 +292,106 @@ def block_parse(docs: DataFrame, anchors: DataFrame) -> DataFrame:
         for batch in batches:
             ids, nodes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             packed, wanted = batch.column(2).to_pylist(), batch.column(3)
-            texts = [zlib.decompress(x) for x in packed]
-            for part, _, windows, grams, place, bounds, counts in _anchored(pa.array(texts, pa.large_binary())):
+            texts = pa.array([zlib.decompress(x) for x in packed], pa.large_binary())
+            for part, _, windows, grams, place, bounds, counts in _anchored(texts):
                 for k, row in enumerate(part.rows):
-                    if _node(hashlib.sha256(texts[row]).digest()) != nodes[row]:
-                        continue  # another text of the same id
                     span = slice(bounds[k], bounds[k] + counts[k])
-                    list_ = wanted[row].values.to_numpy().view(np.uint64)
-                    at = np.flatnonzero(np.isin(grams[place[span]], list_))
-                    if block.add(len(at) + 1, ids[row], nodes[row], packed[row], windows[span][at], at):
+                    anchors = grams[place[span]]
+                    at = np.flatnonzero(np.isin(anchors, wanted[row].values.to_numpy().view(np.uint64)))
+                    if block.add(len(at) + 1, ids[row], nodes[row], packed[row], windows[span][at], anchors[at], at):
                         yield indexed(block.take())
         if block.rows:
             yield indexed(block.take())
 
-    texts = packed_words(docs).join(anchors, "id")
+    texts = packed_words(docs).join(anchors, ["id", "node"])
     return texts.select("id", "node", "packed", "anchors").mapInArrow(run, schema)
 
 
+def _numbered(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Number rows that are sorted by some columns; rows that agree in all of them get one number."""
+    new = np.zeros(len(sorted_columns[0]), bool)
+    for column in sorted_columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.cumsum(new)
+
+
+def dealt_pieces(parsed: DataFrame) -> DataFrame:
+    """key, id, node, at, windows: equal windows of all blocks have one key, and no key holds many pieces.
+
+    The anchor is the key, but for anchors with more than 1 / ``PIECE_SHARE`` of the pieces (and more than
+    ``LEAST_PIECES``), whose windows are their own keys. There are fewer than ``PIECE_SHARE`` such anchors,
+    whatever the input, so their list is broadcast.
+    """
+    total = parsed.agg(F.sum(F.size("pieces"))).first()[0] or 0
+    unit = max(-(-total // PIECE_SHARE), LEAST_PIECES)
+    pieces = parsed.select("id", "node", F.inline("pieces"))
+    hot = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > unit)
+    keyed = pieces.join(F.broadcast(hot.select("anchor", F.lit(True).alias("hot"))), "anchor", "left")
+    whole = F.array(F.struct(F.col("anchor").alias("key"), "at", "windows"))
+    single = F.transform(
+        "windows", lambda w, k: F.struct(w.alias("key"), (F.col("at") + k).alias("at"), F.array(w).alias("windows"))
+    )
+    return keyed.select("id", "node", F.inline(F.when(F.col("hot"), single).otherwise(whole)))
+
+
+def anchor_parse(pieces: DataFrame) -> DataFrame:
+    """What is found in blocks of anchors, a row per run: id, node, and the columns of ``RUN``."""
+
+    def indexed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        ids, nodes, starts = (table.column(c).to_numpy() for c in ("id", "node", "at"))
+        windows = table.column("windows").combine_chunks()
+        windows = windows.chunk(0) if isinstance(windows, pa.ChunkedArray) else windows
+        flat, counts = windows.flatten().to_numpy(), windows.value_lengths().to_numpy().astype(np.int64)
+        order = np.lexsort((starts, nodes, ids))
+        value = flat[W.segments(counts[order], (np.cumsum(counts) - counts)[order])]
+        ids, nodes, counts = ids[order], nodes[order], counts[order]
+        row = np.repeat(np.arange(len(ids)), counts)
+        doc = _numbered(ids, nodes)[row]
+        at = W.segments(counts, starts[order].astype(np.int64))
+        found = parse(Index(value), doc, doc, at)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids[row[found.begin]]), pa.array(nodes[row[found.begin]]), pa.array(at[found.begin], pa.int32()),
+             pa.array(found.count, pa.int32()), pa.array(ids[row[found.source]]), pa.array(at[found.source], pa.int32()),
+             pa.array(found.factor)],
+            ["id", "node", "at", "count", "source", "source_at", "factor"],
+        )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, last = [], 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column("key").to_numpy()
+            if size >= BLOCK:
+                other = key != last
+                end = int(other.argmax()) if other.any() else len(key)  # the last key is taken whole
+                held.append(batch.slice(0, end))
+                if end == len(key):
+                    continue
+                yield indexed(held)
+                held, size, batch = [], 0, batch.slice(end)
+            held.append(batch)
+            size += len(batch.column("windows").flatten())
+            last = key[-1]
+        if held:
+            yield indexed(held)
+
+    by_key = pieces.repartition("key").sortWithinPartitions("key")
+    return by_key.select("key", "id", "node", "at", "windows").mapInArrow(run, f"id long, node long, {RUN}")
+
+
 def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
     """The covered words of each candidate: id, node, sha, n, factors, words removed, the text kept and its digest.
 
     A factor is (start, length, source id, source start), in words. The text kept is given if ``texts``
     asks for it, and NULL if it is the whole.
     """
-    sent = parsed.select("id", "node", F.explode(F.arrays_zip("sent", "sent_at")).alias("w"))
-    place = F.struct("id", "node", F.col("w.sent_at").alias("at"))
-    meet = Window.partitionBy("window")
-    later = (
-        sent.select(F.col("w.sent").alias("window"), place.alias("p"))
-        .withColumn("first", F.min("p").over(meet))
-        .where("first <> p")
-    )
-    pointers = later.groupBy(F.col("p.id").alias("id"), F.col("p.node").alias("node")).agg(
-        F.collect_list(
-            F.struct(
-                F.col("p.at").alias("at"), F.col("first.id").alias("source"), F.col("first.at").alias("source_at")
-            )
-        ).alias("more")
-    )
-    local = ["at", "count", "source", "source_at"]
-    more = {"at": "array<int>", "source": "array<long>", "source_at": "array<int>"}
-    joined = parsed.select("id", "node", "packed", *local).join(pointers, ["id", "node"], "left").select(
-        "id", "node", "packed", *local,
-        *[F.coalesce(F.col(f"more.{c}"), F.array().cast(kind)).alias(f"more_{c}") for c, kind in more.items()],
+    one = F.struct("at", "count", "source", "source_at", "factor")
+    across = anchor_parse(dealt_pieces(parsed)).groupBy("id", "node").agg(F.collect_list(one).alias("more"))
+    both = F.concat("found", F.coalesce("more", F.array().cast(parsed.schema["found"].dataType)))
+    joined = parsed.select("id", "node", "packed", "found").join(across, ["id", "node"], "left").select(
+        "id", "node", "packed", both.alias("found")
     )
     schema = (
         "id long, node long, sha binary, n long, "
@@ -293,52 +403,41 @@ def factors(parsed: DataFrame, texts: bool = False) -> DataFrame:
     )
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), factor, pa.int64(), pa.string(), pa.binary()]
 
-    def pointers_of(batch: pa.RecordBatch, row: int) -> list[np.ndarray]:
-        """Place, source and place there of every pointer of a document."""
-        lists = {name: batch.column(name)[row].values.to_numpy().astype(np.int64) for name in batch.schema.names[3:]}
-        count = lists["count"]
-        own = W.segments(count, lists["at"]), np.repeat(lists["source"], count), W.segments(count, lists["source_at"])
-        return [np.concatenate((x, lists[f"more_{name}"])) for x, name in zip(own, more, strict=True)]
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for row in range(batch.num_rows):
+            joined = zlib.decompress(batch.column("packed")[row].as_py())
+            words = joined.split(b" ")
+            runs = batch.column("found")[row].values.flatten()
+            at, count, source, source_at, is_factor = (x.to_numpy(zero_copy_only=False) for x in runs)
+            found = [
+                {"start": int(at[k]), "length": int(count[k]) + WINDOW - 1, "source": int(source[k]), "source_start": int(source_at[k])}
+                for k in sorted(np.flatnonzero(is_factor).tolist(), key=lambda k: (at[k], count[k]))
+            ]
+            over_ends = [(int(a), int(n)) for a, n in zip(at[~is_factor], count[~is_factor], strict=True)]
+            covered = cover(len(words), found, over_ends)
+            removed = int(covered.sum())
+            kept = b" ".join(itertools.compress(words, ~covered))
+            out.append((
+                batch.column("id")[row].as_py(), batch.column("node")[row].as_py(),
+                hashlib.sha256(joined).digest(), len(words), found, removed,
+                kept.decode() if removed and texts else None, hashlib.sha256(kept).digest(),
+            ))
+        columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            columns, ["id", "node", "sha", "n", "factors", "n_removed", "kept", "kept_sha256"]
+        )
+
+    return in_arrow(joined, lambda batch: work(batch) if batch.num_rows else None, T.StructType.fromDDL(schema))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in range(batch.num_rows):
-                joined = zlib.decompress(batch.column("packed")[row].as_py())
-                words = joined.split(b" ")
-                found, covered = parse(len(words), *pointers_of(batch, row))
-                removed = int(covered.sum())
-                kept = b" ".join(itertools.compress(words, ~covered))
-                out.append((
-                    batch.column("id")[row].as_py(), batch.column("node")[row].as_py(),
-                    hashlib.sha256(joined).digest(), len(words), found, removed,
-                    kept.decode() if removed and texts else None, hashlib.sha256(kept).digest(),
-                ))
-            if out:
-                columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    columns, ["id", "node", "sha", "n", "factors", "n_removed", "kept", "kept_sha256"]
-                )
-
-    return joined.mapInArrow(run, schema)
-
-
-def parse(size: int, at: np.ndarray, source: np.ndarray, source_at: np.ndarray):
-    """List the pointers of one document in runs, as factors; also which of its words the pointers cover."""
-    order = np.argsort(at)
-    at, source, source_at = at[order], source[order], source_at[order]
+
+def cover(size: int, found: list[dict], over_ends: list[tuple[int, int]]) -> np.ndarray:
+    """The words of a document that its factors hold, or windows over their ends: first place and number of these."""
     edges = np.zeros(size + 1, np.int64)
-    np.add.at(edges, at, 1)
-    np.add.at(edges, at + WINDOW, -1)
-    covered = np.cumsum(edges[:-1]) > 0
-    if not len(at):
-        return [], covered
-    begin = _run_starts(np.zeros(len(at)), at, source, source_at)
-    end = np.concatenate((begin[1:], [len(at)])) - 1
-    return [
-        {"start": int(at[b]), "length": int(at[e] - at[b]) + WINDOW, "source": int(source[b]), "source_start": int(source_at[b])}
-        for b, e in zip(begin, end, strict=True)
-    ], covered
+    for start, length in [(f["start"], f["length"]) for f in found] + [(a, n + WINDOW - 1) for a, n in over_ends]:
+        edges[start] += 1
+        edges[start + length] -= 1
+    return np.cumsum(edges[:-1]) > 0
 
 
 def _parsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -346,10 +445,10 @@ def _parsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = cut(word_rows(docs))
     parsed = cut(block_parse(docs, repeated_anchors(rows)))
     let_go(docs.sparkSession)
-    first = rows.groupBy("node", "sha").agg(F.min("id").alias("first"))
-    alike = rows.groupBy("id", "node", "sha", "n").agg(F.count(F.lit(1)).alias("rows"))
+    alike = cut(rows.groupBy("id", "node", "sha", "n").agg(F.count(F.lit(1)).alias("rows")))
+    first = alike.groupBy("node", "sha").agg(F.min("id").alias("first"))
     copy = (F.col("id") != F.col("first")) & (F.col("n") >= WINDOW)
-    return alike.join(first, ["node", "sha"]).withColumn("copy", copy).drop("first"), parsed
+    return join_spread(alike, first, ["node", "sha"]).withColumn("copy", copy).drop("first"), parsed
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
