@@ -45,7 +45,7 @@ WINDOW = 20
 ANCHOR = 9
 BLOCK = 1_500_000  # anchors, or windows, that one block holds at least before it is indexed
 PIECE_SHARE = 1 << 16
-LEAST_PIECES = 1 << 12  # an anchor with more pieces than this, and than one in PIECE_SHARE, is dealt by window
+LEAST_PIECES = 1 << 8  # an anchor with more pieces than this, and than one in PIECE_SHARE, is dealt by window
 
 EMPTY = hashlib.sha256(b"").digest()
 
