@@ -54,7 +54,7 @@ def raw_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     def digests(df: DataFrame, name: str, side: str) -> DataFrame:
         values = F.to_json(F.struct(*RAW_COLUMNS[name]), {"ignoreNullFields": "false"})
         own = [F.lit(int(side == s)).alias(s) for s in ("w", "r")]
-        return df.select(F.lit(name).alias("table_name"), F.sha2(values, 256).alias("row"), *own)
+        return df.select(F.lit(name).alias("table_name"), F.unhex(F.sha2(values, 256)).alias("row"), *own)
 
     try:
         write_raw(spark, written, target, DIALECTS)

@@ -2,6 +2,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import contract, dicts, event, location, member, raw_frame, raw_tables, values
 from weekmeter.plans.lazy import LazyTables
@@ -9,6 +10,7 @@ from weekmeter.plans.rebuild import rebuild
 from weekmeter.schemas import GROUPS, RAW_COLUMNS, RAW_FILES, TABLES
 from weekmeter.operators.pricing import Band, RateCard, Tier
 from weekmeter.sources.csv_extracts import Dialect, detect_dialect, read_extract, read_raw, write_raw
+from weekmeter.sources.csv_records import csv_records
 from weekmeter.sources.tables import children, read_audit, read_table, remove, shared_folder
 
 
@@ -75,6 +77,39 @@ def test_line_breaks_read_right_over_any_splits(spark, tmp_path, size):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("size", ["1k", "64k", "1g"])
+def test_values_go_on_over_pieces_files_and_ranges(spark, tmp_path, size):
+    rnd, expected = random.Random(size), []
+    for file in range(6):
+        rows = [(f"{file}-{k}", "x\n" * rnd.choice([0, 0, 0, 1, 3]) + str(k)) for k in range(rnd.choice([5, 40, 1100]))]
+        rows += [(f"{file}-long", "a line\n\n" * rnd.choice([30, 600, 1800]) + "z"), (f"{file}-last", "q")]
+        write(tmp_path, f"{file}.csv", "id,a\n" + "".join(f'{i},"{a}"\n' if "\n" in a else f"{i},{a}\n" for i, a in rows))
+        expected += rows
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        assert values(read_extract(spark, str(tmp_path), ["id", "a"]), "id", "a") == sorted(expected)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_lines_of_a_torn_range_are_dealt_out(spark, tmp_path):
+    rows = "".join(f'{k},"two\nlines"\n' if k % 50 == 0 else f"{k},one\n" for k in range(40000))
+    path = write(tmp_path, "x.csv", "id,a\n" + rows)
+    settings = {"spark.sql.files.maxPartitionBytes": "1g", "spark.sql.files.openCostInBytes": "1g", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() == 1
+        records = csv_records(spark, path, '"')
+        counts = [r["count"] for r in records.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(counts) == 40001 and max(counts) < 40001 / 3
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_a_value_that_is_never_closed_is_named(spark, tmp_path):
     path = write(tmp_path, "x.csv", 'id,a\n1,"x\n2,y\n')
     with pytest.raises(ValueError, match="never closed in .*x.csv"):

@@ -38,13 +38,13 @@ MIB, GIB = 1 << 20, 1 << 30
 SHUFFLED_PER_INPUT_BYTE = 1.3
 
 
-def shuffle_partitions(shuffled_bytes: float, least: int = 8) -> int:
+def shuffle_partitions(shuffled_bytes: float, least: int = 8, usual: int = 256 * MIB) -> int:
     """Shuffle partitions for a shuffle of a known size; adaptive execution merges small ones.
 
-    256 MiB each up to 4096 of them; above that their size and their number both grow with the square
+    ``usual`` bytes each up to 4096 of them; above that their size and their number both grow with the square
     root, to 4 GiB each, because the blocks of a shuffle are map tasks times partitions.
     """
-    return max(least, math.ceil(shuffled_bytes / _each(shuffled_bytes, 256 * MIB, 4 * GIB)))
+    return max(least, math.ceil(shuffled_bytes / _each(shuffled_bytes, usual, 4 * GIB)))
 
 
 def scan_bytes(input_bytes: float) -> int:
