@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from weekmeter.llm import bpe, mixing, ngram_join, quality_rules, substring_dedup
-from weekmeter.llm.common import prepared, remove, shared_path
+from weekmeter.llm.common import prepare, prepared, remove, shared_path
 
 STAGES = [
     ("quality rules", prepared(quality_rules.keep_good)),
@@ -31,6 +31,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each stage's result is written to the shared folder, and removed once the next one is written; the
     last one stays for the frame that is returned.
     """
+    prepare(spark)
     target = f"{shared_path(spark)}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):

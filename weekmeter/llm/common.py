@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +33,8 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def shared_path(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``.
 
-    A folder of our own is set, and one of this machine (``file:``) taken, only where the session runs on one machine.
+    A folder of our own is set only where the session runs on one machine. One that machines mount (``file:``) is
+    taken there, and on a cluster where ``find_shared`` has seen that executors share it.
     """
     context = spark.sparkContext
     if not context.getCheckpointDir():
@@ -39,11 +42,53 @@ def shared_path(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="weekmeter-llm-"))
     folder = context.getCheckpointDir().rstrip("/")
-    if folder.startswith("file:") and not context.master.startswith("local"):
+    if folder.startswith("file:") and not context.master.startswith("local") and folder not in _seen:
         raise ValueError(f"executors do not share {folder}: set spark.checkpoint.dir to a folder that they do")
     return folder
 
 
+_seen: set[str] = set()
+
+
+def find_shared(spark: SparkSession) -> None:
+    """On a cluster, try whether the folder for cut points is shared where its name (``file:``) does not tell.
+
+    Such a folder may be a mount of all machines or a disk of each. Where the session names none, or one that is
+    not shared, a folder in the warehouse is set, as the session's own tables lie there, if that one is.
+    """
+    context = spark.sparkContext
+    named = (context.getCheckpointDir() or "").rstrip("/")
+    if context.master == "local" or context.master.startswith("local["):
+        return
+    if named and (context.master.startswith("local") or not named.startswith("file:")):
+        return
+    _seen.discard(named)
+    if named and seen_by_all(spark, named):
+        _seen.add(named)
+        return
+    instead = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/weekmeter-shared"
+    if seen_by_all(spark, instead):
+        context.setCheckpointDir(instead)
+        _seen.add(context.getCheckpointDir().rstrip("/"))
+
+
+def seen_by_all(spark: SparkSession, folder: str) -> bool:
+    """Whether all that executors write under a folder is there when it is read.
+
+    Tasks are dealt out in turns, so each executor there is writes a file. Those that come later are not tried
+    before the next query.
+    """
+    tasks = 2 * spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size()
+    path = f"{folder}/seen-{uuid.uuid4().hex}"
+    try:
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        return spark.read.schema("id long").parquet(path).count() == tasks
+    except (PySparkException, Py4JError):
+        return False
+    finally:
+        _delete(spark, path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there.
 
@@ -213,7 +258,8 @@ _shipped: set[str] = set()
 def prepare(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, and bound the batches they exchange.
 
-    Checkpoints whose frames are gone are removed from now on: Spark reads that setting at each checkpoint.
+    Checkpoints whose frames are gone are removed from now on: Spark reads that setting at each checkpoint. On a
+    cluster the folder for them is tried each time (``find_shared``).
 
     ``BATCH`` bytes of rows go to Python at a time: with long texts, Spark's default number of rows
     makes batches that do not fit several times into an executor. Set for good, and only downwards.
@@ -222,6 +268,7 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH))
     context = spark.sparkContext
     context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    find_shared(spark)
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
@@ -237,6 +284,10 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package has written under the shared folder."""
     if not path.startswith(shared_path(spark) + "/"):
         raise ValueError(f"{path} is not under the shared folder")
+    _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
     gateway = spark.sparkContext._jvm
     target = gateway.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
