@@ -9,6 +9,7 @@ import pytest
 
 import corpus_pipeline
 from weekmeter.llm import common
+from weekmeter.llm.queries import queries
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +110,15 @@ def test_of_two_folders_the_one_that_is_shared_is_taken(cluster, named, monkeypa
     monkeypatch.setattr(common, "seen_by_all", lambda spark, at: "warehouse" in at and tried(spark, at))
     common.prepare(cluster)
     assert "/weekmeter-shared/" in common.shared_path(cluster)
+
+
+QUERIES = ["op3_sharding"]
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_runs_where_executors_share_a_mount(spark, folder, monkeypatch, name):
+    query = queries()[name]
+    alone = rows(query(spark, folder))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert rows(query(spark, folder)) == alone and alone
+    common._seen.clear()
