@@ -112,7 +112,7 @@ def test_of_two_folders_the_one_that_is_shared_is_taken(cluster, named, monkeypa
     assert "/weekmeter-shared/" in common.shared_path(cluster)
 
 
-QUERIES = ["op3_sharding", "op4_substring_dedup", "op5_warc", "op7_mixing", "op10_ann", "op11_line_dedup"]
+QUERIES = ["op3_sharding", "op4_substring_dedup", "op5_warc", "op7_mixing", "op8_ngram_join", "op10_ann", "op11_line_dedup"]
 
 
 @pytest.mark.parametrize("name", QUERIES)
