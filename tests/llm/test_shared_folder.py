@@ -83,6 +83,7 @@ def test_files_that_are_missing_or_cannot_be_written_are_noticed(spark, tmp_path
     (tmp_path / "plain").write_text("x")
     assert common.seen_by_all(spark, f"file:{tmp_path}/there")
     assert not common.seen_by_all(spark, f"file:{tmp_path}/plain/x")
+    assert not common.seen_by_all(spark, "nosuchstore://name/x")
     reader = type(spark.read)
     monkeypatch.setattr(reader, "parquet", lambda self, *paths, f=reader.parquet: f(self, *paths).where("id > 0"))
     assert not common.seen_by_all(spark, f"file:{tmp_path}/there")

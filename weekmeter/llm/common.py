@@ -81,12 +81,13 @@ def seen_by_all(spark: SparkSession, folder: str) -> bool:
     tasks = 2 * spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size()
     path = f"{folder}/seen-{uuid.uuid4().hex}"
     try:
-        spark.range(0, tasks, 1, tasks).write.parquet(path)
-        return spark.read.schema("id long").parquet(path).count() == tasks
+        try:
+            spark.range(0, tasks, 1, tasks).write.parquet(path)
+            return spark.read.schema("id long").parquet(path).count() == tasks
+        finally:
+            _delete(spark, path)
     except (PySparkException, Py4JError):
         return False
-    finally:
-        _delete(spark, path)
 
 
 def cut(df: DataFrame) -> DataFrame:
